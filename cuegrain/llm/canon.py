@@ -58,7 +58,7 @@ def _alone(ch: str) -> str:
         return ""
     if unicodedata.category(ch) == "Zs" or ch == "\t":
         return _SPACE
-    if ch in "  \x85":
+    if ch in "\u2028\u2029\x85":
         return _BREAK
     tag, _, rest = unicodedata.decomposition(ch).rpartition(">")
     parts = rest.split()

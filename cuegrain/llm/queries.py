@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from ..registry import Registry, load
 from . import sql
 from .canon import look_alike_pairs
+from .lexicon import encode, token_sizes
 from .minmax import expand_pairs, near_duplicates
 from .nearest import nearest_in_time
+from .packing import pack
 from .repeats import repeated_share
 from .split import split_oversized
+from .stuffing import keyword_pages
 
 REGISTRY = Registry()
 
@@ -52,3 +55,32 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments whose transcript repeats itself for at least 0.30 of its letters and digits."""
     shares = repeated_share(load(spark, sf_dir, "segments"), key="segment_id", text="transcript_raw")
     return shares.filter("kept > 0 AND share >= 0.30").select("segment_id").distinct()
+
+
+@REGISTRY.add("p7_ids")
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode(load(spark, sf_dir, "documents"), key="doc_id", text="text")
+
+
+def _packed(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    sizes = token_sizes(load(spark, sf_dir, "documents"), key="doc_id", text="text")
+    return pack(sizes, key="doc_id", size="tokens", capacity=4096, method=method)
+
+
+@REGISTRY.add("p8_pack")
+def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in containers of 4,096 tokens."""
+    return _packed(spark, sf_dir, "best_fit")
+
+
+@REGISTRY.add("p8_buckets")
+def p8_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the named method alone, for comparison."""
+    return _packed(spark, sf_dir, "buckets")
+
+
+@REGISTRY.add("p9_found")
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are mainly keywords, links, tags or labels."""
+    return keyword_pages(load(spark, sf_dir, "documents"), key="doc_id", text="text").filter("spam").select("doc_id").distinct()

@@ -14,7 +14,7 @@ from .flat import FlatText, chunks
 # Characters that end a sentence, close a quotation behind one, end a clause.
 SENTENCE_ENDS = "。｡！!？?；;…\n"
 CLOSERS = "」』”’）)"
-CLAUSE_ENDS = "，,、､：: 　"
+CLAUSE_ENDS = "，,、､：: \u3000"
 
 CLAUSE, SENTENCE = 1, 2
 

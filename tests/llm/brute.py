@@ -6,7 +6,7 @@ import unicodedata
 
 def pieces(text, limit=500, least=250, overlap=50):
     ends = {m.end() for m in re.finditer(r"[。｡！!？?；;…\n]+[」』”’）)]*", text)} | {m.end() for m in re.finditer(r"\.(?=[ \n]|\Z)", text)}
-    clauses = {m.end() for m in re.finditer("[，,、､：: 　]", text)}
+    clauses = {m.end() for m in re.finditer("[，,、､：: \u3000]", text)}
     out, start = [], 0
     while True:
         if len(text) - start <= limit:
