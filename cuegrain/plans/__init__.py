@@ -1,10 +1,12 @@
 """Query plans and their SQL twins."""
 
+import importlib
+
 from ..registry import Registry
 
+_MODULES = ["incremental", "text"]
+
 
 def all_registries() -> list[Registry]:
     """The registries of the core."""
-    from . import incremental
-
-    return [incremental.REGISTRY]
+    return [importlib.import_module(f".{name}", __name__).REGISTRY for name in _MODULES]
