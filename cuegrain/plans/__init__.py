@@ -4,7 +4,7 @@ import importlib
 
 from ..registry import Registry
 
-_MODULES = ["incremental", "text"]
+_MODULES = ["incremental", "text", "timeline"]
 
 
 def all_registries() -> list[Registry]:
