@@ -4,7 +4,7 @@ import importlib
 
 from ..registry import Registry
 
-_MODULES = ["incremental", "text", "timeline"]
+_MODULES = ["incremental", "text", "timeline", "signals"]
 
 
 def all_registries() -> list[Registry]:
