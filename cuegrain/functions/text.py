@@ -99,7 +99,7 @@ def cer(hypothesis: Column, reference: Column) -> Column:
 
 def clean_caption(text: Column) -> Column:
     """A caption's text without tags and entities, white space as one blank."""
-    text = F.trim(F.regexp_replace(text, "<[^>]*>", ""))
+    text = F.trim(F.regexp_replace(text, "<[^>]+>", ""))
     text = F.regexp_replace(text, r"(?U)\s+", " ")
     for name, char in fixed.ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(char))

@@ -4,7 +4,7 @@ import importlib
 
 from ..registry import Registry
 
-_MODULES = ["incremental", "text", "timeline", "signals"]
+_MODULES = ["incremental", "text", "timeline", "signals", "pipeline"]
 
 
 def all_registries() -> list[Registry]:
