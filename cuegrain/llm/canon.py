@@ -135,22 +135,26 @@ def one_form(rows: DataFrame, suspects_only: bool = False) -> DataFrame:
     the same; raw is a hash of the text as stored. Rows whose text is null or has no
     visible character give no row; repeated rows give one. Null entities are one entity.
 
-    suspects_only: only rows for which another text of the kind and entity has the
-    same letters once accents are off, which includes every row that shares its form
-    with a different text; the collation, the expensive part, then runs on those few.
+    The collation, the expensive part, runs on the suspects alone: rows for which another
+    text of the kind and entity has the same letters once accents are off, which includes
+    every row that shares its form with a different text. suspects_only: no other rows.
     """
     spark = rows.sparkSession
     base_from, base_to = _arguments(base_map())
+    look_from, look_to = _arguments(look_map())
     rows = rows.select("kind", "key", "entity", "text").filter("text IS NOT NULL")
     rows = rows.withColumn("raw", F.xxhash64("text")).withColumn("_base", F.translate("text", base_from, base_to))
     rows = rows.filter(F.col("_base").rlike(r"[^\s]")).withColumn("_base", F.xxhash64("_base"))
+    several = rows.groupBy("kind", "entity", "_base").agg(F.min("raw").alias("_lo"), F.max("raw").alias("_hi")).filter("_lo <> _hi")
+    same = (rows["kind"] == several["kind"]) & rows["entity"].eqNullSafe(several["entity"]) & (rows["_base"] == several["_base"])
+    columns = ["kind", "key", "entity", "raw"]
+    suspects = rows.join(several, same, "left_semi").dropDuplicates(columns)
+    formed = spark.sql(_CLASSES, args={"look_from": look_from, "look_to": look_to}, rows=suspects.select(*columns, "text"))
     if suspects_only:
-        several = rows.groupBy("kind", "entity", "_base").agg(F.min("raw").alias("_lo"), F.max("raw").alias("_hi")).filter("_lo <> _hi")
-        same = (rows["kind"] == several["kind"]) & rows["entity"].eqNullSafe(several["entity"]) & (rows["_base"] == several["_base"])
-        rows = rows.join(several, same, "left_semi")
-    rows = rows.dropDuplicates(["kind", "key", "entity", "raw"])
-    look_from, look_to = _arguments(look_map())
-    return spark.sql(_CLASSES, args={"look_from": look_from, "look_to": look_to}, rows=rows.select("kind", "key", "entity", "raw", "text"))
+        return formed
+    # Alone among its kind and entity, a text's class is its own mapped value.
+    alone = rows.join(several, same, "left_anti").select(*columns, F.translate("text", look_from, look_to).alias("form")).dropDuplicates(columns)
+    return formed.unionByName(alone)
 
 
 def look_alike_pairs(rows: DataFrame) -> DataFrame:

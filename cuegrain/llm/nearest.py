@@ -63,14 +63,14 @@ def _match(tolerance: float):
     return match
 
 
-def nearest_in_time(left: DataFrame, right: DataFrame, *, entity: str, left_id: str, left_time: str, right_id: str, right_time: str, tolerance: float, cell: float | None = None) -> DataFrame:
+def nearest_in_time(left: DataFrame, right: DataFrame, *, entity: str, left_id: str, left_time: str, right_id: str, right_time: str, tolerance: float, cell: float | None = None, per_shard: int = ROWS_PER_SHARD) -> DataFrame:
     """(left_id, right_id, gap): for each left row the right row of the same entity with the least |time difference|, if at most ``tolerance``.
 
     Both tables are cut into cells of (entity, time range); a right row goes to every
     cell that its margin of ``tolerance`` reaches, so that each left row finds its
     neighbours in its own cell. Cells are hashed to shards, which are co-grouped; a
     shard's size is set by the number of rows, and an entity that holds much of the
-    data is spread by its time ranges. Within a shard a binary search runs over all
+    data is spread by its time ranges, a crowded range by a hash of its left rows. Within a shard a binary search runs over all
     left rows at once and compares the two neighbouring times.
 
     Rows with a null entity, id or time, and NaN, match nothing. Repeated left rows
@@ -94,10 +94,16 @@ def nearest_in_time(left: DataFrame, right: DataFrame, *, entity: str, left_id:
     )
     spark = left.sparkSession
     rows = left.count() + right.count()
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_SHARD))
-    shard = F.pmod(F.xxhash64("entity", "cell"), F.lit(shards)).cast("int").alias("shard")
-    cells = F.sequence(F.floor((at - margin) / width), F.floor((at + margin) / width))
-    spread = points.withColumn("cell", F.explode(cells)).select("entity", "cell", "t", "right_id", shard)
-    homed = wanted.withColumn("cell", F.floor(at / width)).select("entity", "cell", "t", "left_id", shard)
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_shard))
+    homed = wanted.withColumn("cell", F.floor(at / width))
+    # A cell with more left rows than a shard should hold is dealt to several, each with all right rows of the cell.
+    crowded = homed.groupBy("entity", "cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_shard).select("entity", "cell", F.ceil(F.col("n") / per_shard).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    homed = homed.join(crowded, ["entity", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("left_id"), parts).cast("int"))
+    spread = points.withColumn("cell", F.explode(F.sequence(F.floor((at - margin) / width), F.floor((at + margin) / width))))
+    spread = spread.join(crowded, ["entity", "cell"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    shard = F.pmod(F.xxhash64("entity", "cell", "part"), F.lit(shards)).cast("int").alias("shard")
+    spread = spread.select("entity", "cell", "t", "right_id", shard)
+    homed = homed.select("entity", "cell", "t", "left_id", shard)
     schema = f"left_id {dict(homed.dtypes)['left_id']}, right_id {dict(spread.dtypes)['right_id']}, gap double"
     return homed.groupBy("shard").cogroup(spread.groupBy("shard")).applyInArrow(_match(tolerance), schema)

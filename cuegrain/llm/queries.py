@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.grouping import connected_components
 from ..registry import Registry, load
+from ..session import cut
 from . import sql
-from .canon import look_alike_pairs
+from .canon import look_alike_pairs, one_form
 from .lexicon import encode, token_sizes
 from .minmax import expand_pairs, near_duplicates
 from .nearest import nearest_in_time
@@ -35,12 +37,22 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("segment_id", "piece_no", "char_from", "char_to").distinct()
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segments = load(spark, sf_dir, "segments").select(F.lit("segment").alias("kind"), F.col("segment_id").alias("key"), F.col("video_id").alias("entity"), F.col("transcript_raw").alias("text"))
+    slides = load(spark, sf_dir, "slide_raw").select(F.lit("slide").alias("kind"), F.col("read_id").alias("key"), F.col("video_id").alias("entity"), F.col("parsed.slide_text").alias("text"))
+    return segments.unionByName(slides)
+
+
 @REGISTRY.add("p4_found")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of a video that look the same in other characters."""
-    segments = load(spark, sf_dir, "segments").select(F.lit("segment").alias("kind"), F.col("segment_id").alias("key"), F.col("video_id").alias("entity"), F.col("transcript_raw").alias("text"))
-    slides = load(spark, sf_dir, "slide_raw").select(F.lit("slide").alias("kind"), F.col("read_id").alias("key"), F.col("video_id").alias("entity"), F.col("parsed.slide_text").alias("text"))
-    return look_alike_pairs(segments.unionByName(slides)).withColumnRenamed("kind", "rec_kind")
+    return look_alike_pairs(_texts(spark, sf_dir)).withColumnRenamed("kind", "rec_kind")
+
+
+@REGISTRY.add("p4_forms")
+def p4_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in its one form."""
+    return one_form(_texts(spark, sf_dir)).select(F.col("kind").alias("rec_kind"), "key", "form").distinct()
 
 
 @REGISTRY.add("p5_found", sql.P5)
@@ -50,6 +62,17 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_pairs(links, members).select(F.col("a").alias("read_a"), F.col("b").alias("read_b")).distinct()
 
 
+@REGISTRY.add("p5_groups", sql.P5_GROUPS)
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every read of a page with its group, the least read that it's linked to, and the links of its text to different texts."""
+    links, members = near_duplicates(load(spark, sf_dir, "slide_out"), key="read_id", text="parsed.slide_text")
+    links = cut(links.select("a", "b"), "links")
+    groups = connected_components(links)
+    count = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
+    out = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").join(count, "rep", "left")
+    return out.select(F.col("key").alias("read_id"), F.coalesce("component", "rep").alias("page"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
 @REGISTRY.add("p6_found")
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments whose transcript repeats itself for at least 0.30 of its letters and digits."""

@@ -9,15 +9,28 @@ j AS (SELECT boundary_id, segment_id, abs(t - t_start) AS gap,
 SELECT DISTINCT boundary_id, segment_id FROM j WHERE n = 1 AND gap <= 10.0
 """
 
-P5 = """
-WITH t AS (
+_P5 = """
+WITH RECURSIVE t AS (
   SELECT DISTINCT read_id, replace(replace(parsed.slide_text, ' ', ''), chr(10), '') AS x FROM slide_out),
 g AS (
-  SELECT read_id, list_distinct(list_transform(range(1, length(x) - 1), lambda i: substr(x, i::INT, 3))) AS grams
+  SELECT read_id, x, list_distinct(list_transform(range(1, length(x) - 1), lambda i: substr(x, i::INT, 3))) AS grams
   FROM t WHERE length(x) >= 40),
 e AS (SELECT read_id, len(grams) AS n, unnest(grams) AS gram FROM g),
 c AS (
   SELECT a.read_id AS read_a, b.read_id AS read_b, count(*) AS shared, any_value(a.n) + any_value(b.n) AS total
-  FROM e a JOIN e b ON a.gram = b.gram AND a.read_id < b.read_id GROUP BY ALL)
-SELECT DISTINCT read_a, read_b FROM c WHERE shared / (total - shared) >= 0.6
+  FROM e a JOIN e b ON a.gram = b.gram AND a.read_id < b.read_id GROUP BY ALL),
+found AS (SELECT DISTINCT read_a, read_b FROM c WHERE shared / (total - shared) >= 0.6)
 """
+
+P5 = _P5 + "SELECT read_a, read_b FROM found"
+
+P5_GROUPS = (
+    _P5
+    + """, ed AS (SELECT read_a AS x, read_b AS y FROM found UNION SELECT read_b, read_a FROM found),
+rc AS (SELECT x AS n, y AS m FROM ed UNION SELECT rc.n, ed.y FROM rc JOIN ed ON rc.m = ed.x),
+cm AS (SELECT n, min(m) AS m FROM rc GROUP BY n),
+k AS (SELECT a.read_id, count(DISTINCT b.x) AS links FROM g a JOIN ed ON ed.x = a.read_id JOIN g b ON b.read_id = ed.y AND b.x <> a.x GROUP BY a.read_id)
+SELECT g.read_id, least(g.read_id, coalesce(cm.m, g.read_id)) AS page, coalesce(links, 0) AS links
+FROM g LEFT JOIN cm ON cm.n = g.read_id LEFT JOIN k ON k.read_id = g.read_id
+"""
+)

@@ -14,8 +14,8 @@ from cuegrain.llm.stuffing import keyword_pages
 LEFT, RIGHT = "b long, e string, t double, segment_id int", "s string, e string, t double, gap string"
 
 
-def nearest(spark, left, right):
-    out = nearest_in_time(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), entity="e", left_id="b", left_time="t", right_id="s", right_time="t", tolerance=10.0)
+def nearest(spark, left, right, **more):
+    out = nearest_in_time(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), entity="e", left_id="b", left_time="t", right_id="s", right_time="t", tolerance=10.0, **more)
     return sorted(map(tuple, out.collect()))
 
 
@@ -38,6 +38,7 @@ def test_nearest_equals_all_pairs(spark):
         if near and near[0] <= 10.0:
             expected.append((b, near[1], near[0]))
     assert nearest(spark, left, right) == sorted(expected)
+    assert nearest(spark, left, right, per_shard=7) == sorted(expected)  # crowded cells are dealt out
 
 
 def test_split_rows(spark):
@@ -77,6 +78,7 @@ def test_near_duplicates(spark):
     expected = sorted((a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.6)
     assert sorted(map(tuple, expand_pairs(links, members).distinct().collect())) == expected
     assert {r["key"]: r["rep"] for r in members.collect()} == {"a": "a", "b": "a", "g": "a", "c": "c", "d": "d", "h": "h"}
+    assert sorted(map(tuple, links.select("a", "b").collect())) == sorted((a, b) for a, b in expected if {a, b} <= set("acdh"))
     links, members = near_duplicates(df.limit(0), key="id", text="parsed.t")
     assert links.count() == 0 == members.count()
 
