@@ -4,7 +4,7 @@ import importlib
 
 from ..registry import Registry
 
-_MODULES = ["incremental", "text", "timeline", "signals", "pipeline"]
+_MODULES = ["incremental", "text", "timeline", "signals", "pipeline", "composed"]
 
 
 def all_registries() -> list[Registry]:
