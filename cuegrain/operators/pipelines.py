@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut
 from . import intervals as I
 from . import segmentation as S
 from . import signals as Sg
@@ -20,7 +21,8 @@ def align_segments(cues: DataFrame, ends: DataFrame, slides: DataFrame, *, entit
     """
     topics = S.topic_boundaries(cues, entity=entity, order="cue", time="t_start", text="text", block_chars=block_chars, alpha=alpha)
     thinned = topics.join(ends, entity).groupBy(entity, "duration").agg(F.collect_list("t").alias("_t")).select(entity, F.explode(S.keep_min_length(F.col("_t"), F.col("duration"), least)).alias("t"))
-    windows = I.windows_between(thinned, ends, entity=entity, time="t", end="duration")
+    # Used three times below; written once.
+    windows = cut(I.windows_between(thinned, ends, entity=entity, time="t", end="duration"), "windows")
     assigned = I.assign_to_windows(cues, windows, entity=entity, cue="cue", span=("t_start", "t_end"))
     parts = cues.join(assigned, "cue").groupBy(entity, "w_index").agg(F.array_sort(F.collect_list(F.struct("t_start", "cue", F.coalesce("text", F.lit("")).alias("x")))).alias("p"))
     named = windows.withColumn("_w", F.concat_ws("#", entity, F.format_string("%03d", F.col("w_index").cast("int"))))

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import cut
 from .intervals import asof, overlaps
 
 
@@ -68,7 +69,7 @@ def depth_cuts(scores: DataFrame, *, entity: str, order: str, score: str, alpha:
 def topic_boundaries(cues: DataFrame, *, entity: str, order: str, time: str, text: str, block_chars: int = 40, window: int = 3, alpha: float = 0.75) -> DataFrame:
     """(entity, t): starts of topics. Entities with fewer than four blocks have none."""
     b = blocks(cues, entity=entity, order=order, time=time, text=text, least=block_chars)
-    b = b.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(entity))).filter("_n >= 4").drop("_n")
+    b = cut(b.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(entity))).filter("_n >= 4").drop("_n"), "blocks")
     return depth_cuts(gap_scores(b, entity=entity, window=window), entity=entity, order="i", score="score", alpha=alpha).select(entity, F.col("t_next").alias("t"))
 
 

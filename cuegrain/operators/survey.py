@@ -30,10 +30,10 @@ def series_baseline(profiles: DataFrame, *, series: str, ratio: str) -> DataFram
 
 def mismatches(profiles: DataFrame, *, series: str) -> DataFrame:
     """(series, problem, value): least separation of two-mode profiles, greatest density, mean share in between, where beyond the limits. Profiles have ratio, separation, density, midband."""
-    x = profiles.groupBy(series).agg(F.min(F.when(~single_mode(F.col("ratio")), F.col("separation"))).alias("s"), F.max("density").alias("d"), F.avg("midband").alias("m"))
+    x = profiles.groupBy(series).agg(F.min(F.when(~single_mode(F.col("ratio")), F.col("separation"))).alias("_sep"), F.max("density").alias("_den"), F.avg("midband").alias("_mid"))
     problem = lambda name, value, bad: F.when(bad, F.struct(F.lit(name).alias("problem"), F.round(value, 6).alias("value")))
-    found = F.array(problem("separation", F.col("s"), F.col("s") < SEPARATION), problem("density", F.col("d"), F.col("d") > DENSITY), problem("midband", F.col("m"), F.col("m") > MIDBAND))
-    return x.select(series, F.explode(F.filter(found, lambda p: p.isNotNull())).alias("p")).select(series, "p.*")
+    found = F.array(problem("separation", F.col("_sep"), F.col("_sep") < SEPARATION), problem("density", F.col("_den"), F.col("_den") > DENSITY), problem("midband", F.col("_mid"), F.col("_mid") > MIDBAND))
+    return x.select(series, F.explode(F.filter(found, lambda p: p.isNotNull())).alias("_p")).select(series, "_p.*")
 
 
 def deviations(profiles: DataFrame, baselines: DataFrame, *, series: str, ratio: str) -> DataFrame:
