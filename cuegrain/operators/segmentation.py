@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,19 +33,64 @@ def blocks(cues: DataFrame, *, entity: str, order: str, time: str, text: str, le
     return parts.select(entity, "block", "t", F.array_join(F.transform("p", lambda x: x["x"]), "").alias("text"))
 
 
+#: Neighbouring blocks that are scored together, and blocks that one task's group should hold.
+RANGE, BLOCKS_PER_SHARD = 64, 20_000
+
+
+def _grams(text: str, n: int) -> np.ndarray:
+    cps = np.frombuffer("".join((text or "").split()).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    if len(cps) < n:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(len(cps) - n + 1, np.uint64)
+    for i in range(n):
+        out = out * np.uint64(0x110000) + cps[i : i + len(out)]
+    return out
+
+
+def _gap_sums(window: int, n: int):
+    def run(table: pa.Table) -> pa.Table:
+        entity = table["entity"].combine_chunks()
+        code = entity.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        part, block = table["part"].to_numpy(), table["block"].to_numpy()
+        order = np.lexsort((block, part, code))
+        texts = table["text"].to_pylist()
+        edges = np.flatnonzero(np.diff(code[order]) | np.diff(part[order])) + 1
+        rows, sums = [], []
+        for group in np.split(order, edges):
+            grams = [_grams(texts[r], n) for r in group]
+            _, ids = np.unique(np.concatenate(grams), return_inverse=True)
+            where = np.repeat(np.arange(len(group)), [len(g) for g in grams])
+            width = int(ids.max(initial=-1)) + 1
+            running = np.zeros((len(group) + 1, width), np.int64)
+            np.add.at(running, (where + 1, ids), 1)
+            running = running.cumsum(0)
+            own = np.flatnonzero((block[group] // RANGE == part[group]) & (np.arange(len(group)) < len(group) - 1))
+            left = running[own + 1] - running[np.maximum(own + 1 - window, 0)]
+            right = running[np.minimum(own + 1 + window, len(group))] - running[own + 1]
+            rows.append(group[own])
+            sums.append(np.stack([(left * right).sum(1), (left * left).sum(1), (right * right).sum(1)]))
+        at = np.concatenate(rows)
+        ab, aa, bb = np.concatenate(sums, axis=1)
+        return pa.table({"entity": entity.take(pa.array(at)), "i": pa.array(block[at], pa.int32()), "ab": ab, "aa": aa, "bb": bb})
+
+    return run
+
+
 def gap_scores(block_rows: DataFrame, *, entity: str, window: int, n: int = 2) -> DataFrame:
-    """(entity, i, t_next, score): cosine of the n-gram counts of up to ``window`` blocks left of and right of each gap.
+    """(entity, i, t_next, score): cosine of the n-gram counts of up to ``window`` blocks left of and right of each gap; n is at most 3.
 
-    Counts are sparse rows (block, gram, n), spread to the gaps that they touch and summed; a
-    sum of counts has the same cosine as their mean.
+    A sum of counts has the same cosine as their mean. Blocks, numbered without gaps, go to ranges of
+    neighbours with a margin of ``window``, and ranges by hash to shards, so that an entity that
+    holds much of the data is spread; counts are exact integers.
     """
-    counts = block_rows.select(entity, "block", F.explode(T.gram_list(T.strip_space(F.col("text")), n)).alias("g")).groupBy(entity, "block", "g").agg(F.count(F.lit(1)).alias("n"))
-    left = counts.select(entity, "g", "n", F.explode(F.sequence(F.col("block"), F.col("block") + window - 1)).alias("i"), F.lit(0).alias("side"))
-    right = counts.filter(F.col("block") > 0).select(entity, "g", "n", F.explode(F.sequence(F.greatest(F.col("block") - window, F.lit(0)), F.col("block") - 1)).alias("i"), F.lit(1).alias("side"))
-    sides = left.unionByName(right).groupBy(entity, "i", "g").agg(F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("b"))
-    sums = sides.groupBy(entity, "i").agg(F.sum(F.col("a") * F.col("b")).alias("ab"), F.sum(F.col("a") * F.col("a")).alias("aa"), F.sum(F.col("b") * F.col("b")).alias("bb"))
-    order = W.partitionBy(entity).orderBy("block")
-    gaps = block_rows.select(entity, F.col("block").alias("i"), F.lead("t").over(order).alias("t_next")).filter("t_next IS NOT NULL")
+    blocks_ = cut(block_rows.select(entity, "block", "t", "text"), "blocks")
+    shards = max(int(blocks_.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks_.count() // BLOCKS_PER_SHARD))
+    b = F.col("block")
+    parts = F.explode(F.sequence(F.greatest(F.floor((b - window) / RANGE), F.lit(0)), F.floor((b + window) / RANGE)))
+    spread = blocks_.select(F.col(entity).alias("entity"), b.cast("bigint").alias("block"), "text", parts.alias("part"))
+    spread = spread.withColumn("shard", F.pmod(F.xxhash64("entity", "part"), F.lit(shards)).cast("int"))
+    sums = spread.groupBy("shard").applyInArrow(_gap_sums(window, n), f"entity {dict(spread.dtypes)['entity']}, i int, ab bigint, aa bigint, bb bigint").withColumnRenamed("entity", entity)
+    gaps = blocks_.select(entity, b.alias("i"), F.lead("t").over(W.partitionBy(entity).orderBy("block")).alias("t_next")).filter("t_next IS NOT NULL")
     cosine = F.when((F.col("aa") > 0) & (F.col("bb") > 0), F.round(F.col("ab") / F.sqrt(F.col("aa").cast("double") * F.col("bb")), 9)).otherwise(0.0)
     return gaps.join(sums, [entity, "i"], "left").select(entity, "i", "t_next", F.coalesce(cosine, F.lit(0.0)).alias("score"))
 
@@ -69,7 +115,7 @@ def depth_cuts(scores: DataFrame, *, entity: str, order: str, score: str, alpha:
 def topic_boundaries(cues: DataFrame, *, entity: str, order: str, time: str, text: str, block_chars: int = 40, window: int = 3, alpha: float = 0.75) -> DataFrame:
     """(entity, t): starts of topics. Entities with fewer than four blocks have none."""
     b = blocks(cues, entity=entity, order=order, time=time, text=text, least=block_chars)
-    b = cut(b.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(entity))).filter("_n >= 4").drop("_n"), "blocks")
+    b = b.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(entity))).filter("_n >= 4").drop("_n")
     return depth_cuts(gap_scores(b, entity=entity, window=window), entity=entity, order="i", score="score", alpha=alpha).select(entity, F.col("t_next").alias("t"))
 
 
