@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import cut, shared_dir
 from .flat import ClassTable, FlatText, chunks
 
 #: Folder of the tokenizers' files.
@@ -362,11 +362,21 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
 def build_lexicon(df: DataFrame, text: str, name: str, folder: str, words: int = WORDS) -> str:
     """Compile the most frequent words of the column; returns the name under which executors find the file.
 
-    The words come from counts over all rows, ties by the word itself. At most
-    ``words`` of them, of at most WORD_BYTES bytes, reach the driver.
+    The words come from counts over all rows. A histogram of the counts, by 64ths of a
+    power of two, gives the least count that at most ``words`` words reach; those words, of at
+    most WORD_BYTES bytes, are all that reaches the driver, from however many tasks.
     """
     spark = df.sparkSession
-    top = count_words(df, text).orderBy(F.col("n").desc(), "word").limit(words).select("word").collect()
+    grade = F.floor(F.log2("n") * 64).cast("int").alias("grade")
+    counted = cut(count_words(df, text).filter("n >= 2").select("word", "n", grade), "words")
+    least, total = None, 0
+    # At most 64 rows for each power of two.
+    for row in sorted(counted.groupBy("grade").agg(F.count(F.lit(1)).alias("m")).collect(), reverse=True):
+        total += row["m"]
+        if total > words:
+            break
+        least = row["grade"]
+    top = counted.filter(F.col("grade") >= least).select("word").collect() if least is not None else []
     merge = tokenizer(name, folder)
     lexicon = Transducer.build({(w := bytes(r["word"])): merge._encode_single_piece(w) for r in top})
     return publish(spark, lexicon)
