@@ -27,7 +27,7 @@ FUNCTION_WORDS = "a an the of is are was were be been to in on at by for from wi
 _MARKUP = re.compile(
     r"<[A-Za-z/!][^<>\n]{0,400}>"
     r"|(?:https?://|www\.)[^\s<>\"'()\[\]，。；、｜]+"
-    r"|\b[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,12}/[^\s<>\"'()\[\]，。；、｜]*"
+    r"|(?<![A-Za-z0-9.-])(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,12}+/[^\s<>\"'()\[\]，。；、｜]*"
     r"|[#＃@＠][^\s#＃@＠,，。;；、]+"
 )
 _MARK = "\ue000"

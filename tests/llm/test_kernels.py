@@ -170,3 +170,24 @@ def test_bad_parameters():
 
     with pytest.raises(ValueError):
         split_oversized(None, key="k", text="t", t_start="a", t_end="b", limit=10, least=10)
+
+
+def test_very_long_texts():
+    from time import monotonic
+
+    from cuegrain.llm.stuffing import _MARKUP, list_stretches
+
+    began = monotonic()
+    encoder = Encoder(Transducer.build({}), "byte_bpe_50k", TOKENIZERS)
+    for text in ("a-" * 200_000 + "/", "a." * 200_000 + " x/", "骨架血脈經絡" * 50_000, "今天先講骨架，再講血脈。" * 30_000):
+        flat = FlatText(pa.array([text]))
+        _MARKUP.sub("x", text)
+        list_stretches(flat, 18)
+        repeated_chars(text, 3)
+        kept, repeated = repeated_shares(flat, 12)
+        assert repeated[0] > 0.9 * kept[0]
+        _, _, start, stop = cut_points(boundary_strengths(flat.cps, flat.at), flat.at, 500, 250, 50)
+        assert stop[-1] == len(text) and (stop - start).max() <= 500
+        ids, at = encoder.ids(flat)
+        assert tokenizer("byte_bpe_50k", TOKENIZERS).decode(ids.tolist()) == text and at.tolist() == [0, len(ids)]
+    assert monotonic() - began < 60  # nothing is quadratic
