@@ -110,7 +110,7 @@ def base_map() -> dict[str, str]:
     return out
 
 
-def _arguments(table: dict[str, str]) -> tuple[str, str]:
+def translate_arguments(table: dict[str, str]) -> tuple[str, str]:
     """from and to of SQL's translate: characters without a counterpart are deleted."""
     kept = sorted(k for k, v in table.items() if v)
     gone = sorted(k for k, v in table.items() if not v)
@@ -140,8 +140,8 @@ def one_form(rows: DataFrame, suspects_only: bool = False) -> DataFrame:
     every row that shares its form with a different text. suspects_only: no other rows.
     """
     spark = rows.sparkSession
-    base_from, base_to = _arguments(base_map())
-    look_from, look_to = _arguments(look_map())
+    base_from, base_to = translate_arguments(base_map())
+    look_from, look_to = translate_arguments(look_map())
     rows = rows.select("kind", "key", "entity", "text").filter("text IS NOT NULL")
     rows = rows.withColumn("raw", F.xxhash64("text")).withColumn("_base", F.translate("text", base_from, base_to))
     rows = rows.filter(F.col("_base").rlike(r"[^\s]")).withColumn("_base", F.xxhash64("_base"))

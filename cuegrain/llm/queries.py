@@ -9,7 +9,7 @@ from ..operators.grouping import connected_components
 from ..registry import Registry, load
 from ..session import cut
 from . import sql
-from .canon import look_alike_pairs, one_form
+from .canon import look_alike_pairs, look_map, one_form, translate_arguments
 from .lexicon import encode, token_sizes
 from .minmax import expand_pairs, near_duplicates
 from .nearest import nearest_in_time
@@ -30,7 +30,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("left_id").alias("boundary_id"), F.col("right_id").alias("segment_id")).distinct()
 
 
-@REGISTRY.add("p3_found")
+@REGISTRY.add("p3_found", sql.P3)
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pieces of transcripts of more than 500 characters."""
     pieces = split_oversized(load(spark, sf_dir, "segments"), key="segment_id", text="transcript_raw", t_start="t_start", t_end="t_end")
@@ -43,7 +43,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.unionByName(slides)
 
 
-@REGISTRY.add("p4_found")
+@REGISTRY.add("p4_found", sql.p4(*translate_arguments(look_map())))
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of a video that look the same in other characters."""
     return look_alike_pairs(_texts(spark, sf_dir)).withColumnRenamed("kind", "rec_kind")
@@ -73,7 +73,7 @@ def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("key").alias("read_id"), F.coalesce("component", "rep").alias("page"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
-@REGISTRY.add("p6_found")
+@REGISTRY.add("p6_found", sql.P6)
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments whose transcript repeats itself for at least 0.30 of its letters and digits."""
     shares = repeated_share(load(spark, sf_dir, "segments"), key="segment_id", text="transcript_raw")

@@ -34,3 +34,38 @@ SELECT g.read_id, least(g.read_id, coalesce(cm.m, g.read_id)) AS page, coalesce(
 FROM g LEFT JOIN cm ON cm.n = g.read_id LEFT JOIN k ON k.read_id = g.read_id
 """
 )
+
+# Boundaries by character, the strongest cut for every start by a window frame, then the steps.
+P3 = """
+WITH RECURSIVE t AS (SELECT DISTINCT segment_id, transcript_raw AS x, length(transcript_raw) AS n FROM segments WHERE length(transcript_raw) > 500),
+ch AS (SELECT segment_id, i, substr(x, i::INT, 1) AS c, substr(x, (i + 1)::INT, 1) AS d FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM t)),
+f AS (SELECT *, contains('。｡！!？?；;…' || chr(10), c) AS r, contains('」』”’）)', c) AS q, contains('，,、､：: ' || chr(12288), c) AS clause FROM ch),
+g AS (SELECT *, r OR (q AND coalesce(last_value(CASE WHEN NOT q THEN r END IGNORE NULLS) OVER (PARTITION BY segment_id ORDER BY i ROWS UNBOUNDED PRECEDING), false)) AS inside FROM f),
+h AS (SELECT *, coalesce(lead(inside) OVER w, false) AS follows, coalesce(lead(r) OVER w, false) AS next_r FROM g WINDOW w AS (PARTITION BY segment_id ORDER BY i)),
+b AS (SELECT segment_id, i AS e, CASE WHEN (inside AND (NOT follows OR (q AND next_r))) OR (c = '.' AND d IN ('', ' ', chr(10))) THEN 2 WHEN clause THEN 1 ELSE 0 END AS w FROM h
+      UNION ALL SELECT segment_id, 0, 0 FROM t),
+m AS (SELECT segment_id, e AS s, max(w * 1000000000 + e) OVER (PARTITION BY segment_id ORDER BY e ROWS BETWEEN 251 FOLLOWING AND 500 FOLLOWING) % 1000000000 AS stop FROM b),
+p AS (SELECT segment_id, n, 1 AS piece_no, 0::BIGINT AS s, CASE WHEN n <= 500 THEN n ELSE stop END AS stop FROM t JOIN m USING (segment_id) WHERE s = 0
+      UNION ALL SELECT p.segment_id, p.n, piece_no + 1, m.s, CASE WHEN p.n - m.s <= 500 THEN p.n ELSE m.stop END FROM p JOIN m ON m.segment_id = p.segment_id AND m.s = p.stop - 50 WHERE p.stop < p.n)
+SELECT segment_id, piece_no, s::INT AS char_from, stop::INT AS char_to FROM p
+"""
+
+P6 = r"""
+WITH s AS (SELECT DISTINCT segment_id, regexp_replace(transcript_raw, '[^\p{L}\p{N}]', '', 'g') AS k FROM segments WHERE transcript_raw IS NOT NULL),
+g AS (SELECT segment_id, i, substr(k, i::INT, 12) AS gram FROM (SELECT *, unnest(range(1, length(k) - 10)) AS i FROM s WHERE length(k) >= 12)),
+r AS (SELECT segment_id, i FROM (SELECT *, row_number() OVER (PARTITION BY segment_id, gram ORDER BY i) AS n FROM g) WHERE n > 1),
+c AS (SELECT segment_id, count(DISTINCT i + o) AS repeated FROM r, range(0, 12) u(o) GROUP BY segment_id)
+SELECT DISTINCT segment_id FROM s JOIN c USING (segment_id) WHERE repeated / length(k) >= 0.30
+"""
+
+
+def p4(look_from: str, look_to: str) -> str:
+    """The look map of the operator with composition by NFC in place of the collation."""
+    quoted = ["'" + x.replace("'", "''") + "'" for x in (look_from, look_to)]
+    return f"""
+WITH a AS (SELECT DISTINCT 'segment' AS rec_kind, segment_id AS key, video_id, transcript_raw AS x FROM segments WHERE transcript_raw IS NOT NULL
+  UNION SELECT 'slide', read_id, video_id, parsed.slide_text FROM slide_raw WHERE parsed.slide_text IS NOT NULL),
+f AS (SELECT *, nfc_normalize(translate(x, {quoted[0]}, {quoted[1]})) AS form FROM a)
+SELECT DISTINCT l.rec_kind, l.key AS key_a, r.key AS key_b FROM f l JOIN f r ON l.rec_kind = r.rec_kind AND l.video_id = r.video_id AND l.form = r.form AND l.key < r.key AND l.x <> r.x
+WHERE regexp_matches(l.form, '[^\\s]')
+"""
