@@ -63,7 +63,14 @@ def alpha_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.alpha_sweep(_scores(spark, sf_dir), _ALPHAS, entity="video_id").groupBy("alpha", "video_id").agg(F.count(F.lit(1)).alias("cuts"))
 
 
-@REGISTRY.add("closest_alpha")
+@REGISTRY.add(
+    "closest_alpha",
+    f"""WITH RECURSIVE {_TOPICS}, {_SCORES}, {_DEPTHS}, zz AS (SELECT *, avg(depth) OVER (PARTITION BY video_id) AS m, stddev_pop(depth) OVER (PARTITION BY video_id) AS s FROM z), {_SWEEP},
+    al AS ({' UNION ALL '.join(f'SELECT * FROM sw{i}' for i in range(len(_ALPHAS)))}), ct AS (SELECT alpha, video_id, count(*) AS c FROM al GROUP BY ALL),
+    wt AS (SELECT video_id, count(DISTINCT t) AS n FROM golden_boundaries WHERE status = 'confirmed' AND t IS NOT NULL AND kind = 'topic' GROUP BY video_id),
+    gr AS (SELECT wt.video_id, n, a.alpha, coalesce(c, 0) AS c FROM wt CROSS JOIN (VALUES {', '.join(f'({a}::DOUBLE)' for a in _ALPHAS)}) a(alpha) LEFT JOIN ct ON ct.video_id = wt.video_id AND ct.alpha = a.alpha),
+    rk AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY abs(c - n), alpha) AS r FROM gr) SELECT video_id, alpha, c AS cuts FROM rk WHERE r = 1""",
+)
 def closest_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alpha whose cuts come nearest to the number of confirmed topics."""
     wanted = marks(spark, sf_dir, "topic").groupBy("video_id").agg(F.count(F.lit(1)).alias("n"))

@@ -16,7 +16,7 @@ from ..registry import Registry, load
 from ..sources import captions
 from ..sources.keyed import KeyedTable
 from ..session import scratch
-from .text import _FORMS, _SQL_ENTITIES, reads, sql_containment, sql_grams, sql_strip
+from .text import _FORMS, _SQL_ENTITIES, reads, sql_containment, sql_grams, sql_markdown, sql_split_long, sql_strip
 from .timeline import cues, ends
 
 REGISTRY = Registry()
@@ -89,7 +89,12 @@ def content_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.content_yield(cues(spark, sf_dir).withColumnRenamed("text", "transcript"), blocks(spark, sf_dir))
 
 
-@REGISTRY.add("chunks")
+@REGISTRY.add(
+    "chunks",
+    f"""WITH {_GATES}, pl AS (SELECT segment_id, block_index, type, {sql_markdown('text')} AS p FROM vd WHERE reason = ''), pc AS (SELECT segment_id, block_index, type, {sql_split_long('p', 800)} AS p FROM pl WHERE p <> ''),
+    un AS (SELECT segment_id, block_index, type, unnest(p) AS x, generate_subscripts(p, 1) - 1 AS k FROM pc)
+    SELECT segment_id || printf('#b%02d', block_index) || CASE WHEN k > 0 THEN '-' || k ELSE '' END AS chunk_id, segment_id, type, length(x) AS n_chars, substr(sha256(x), 1, 16) AS content_sha, list_sort(list_distinct(regexp_extract_all(x, '({'|'.join(fixed.REFERENTIAL)})'))) AS referential FROM un""",
+)
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of the blocks that pass the gates."""
     c = P.build_chunks(P.check_blocks(blocks(spark, sf_dir), copies=False))

@@ -77,22 +77,34 @@ def gram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seg.select(F.explode(T.gram_list(T.strip_space(F.col("transcript_raw")), 2)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _sql_markdown(x: str) -> str:
+def sql_markdown(x: str) -> str:
     for pattern, to in fixed.MARKDOWN:
         x = f"regexp_replace({x}, '{pattern}', '{to.replace('$', chr(92))}', 'g')"
     return f"trim(regexp_replace({x}, '{WS}+', ' ', 'g'))"
 
 
-@REGISTRY.add("plain_text", f"SELECT doc_id, length(p) AS n_chars, substr(sha256(p), 1, 16) AS content_sha FROM (SELECT doc_id, {_sql_markdown('text')} AS p FROM documents WHERE text IS NOT NULL)")
+@REGISTRY.add("plain_text", f"SELECT doc_id, length(p) AS n_chars, substr(sha256(p), 1, 16) AS content_sha FROM (SELECT doc_id, {sql_markdown('text')} AS p FROM documents WHERE text IS NOT NULL)")
 def plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without markdown, and their content hash."""
     plain = load(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", T.strip_markdown(F.col("text")).alias("p"))
     return plain.select("doc_id", F.length("p").alias("n_chars"), T.content_sha(F.col("p")).alias("content_sha"))
 
 
-@REGISTRY.add("long_text_pieces")
+def sql_split_long(x: str, most: int) -> str:
+    """Pieces of a text: a reduction over its sentences, as (done, open) pairs."""
+    closed = "CASE WHEN a.open = '' THEN a.done ELSE list_append(a.done, a.open) END"
+    hard = f"list_transform(range(0, ((length(x.open) - 1) // {most})), lambda i: substr(x.open, (i * {most} + 1)::INT, {most}))"
+    rest = f"substr(x.open, ((length(x.open) - 1) // {most} * {most} + 1)::INT, {most})"
+    row = "{'done': []::VARCHAR[], 'open': %s}"
+    folded = f"""list_reduce(list_prepend({row % "''"}, list_transform(regexp_extract_all({x}, '[^。！？；]*[。！？；]|[^。！？；]+$'), lambda s: {row % 's'})), lambda a, x:
+      CASE WHEN length(x.open) > {most} THEN {{'done': list_concat({closed}, {hard}), 'open': {rest}}}
+           WHEN length(a.open) + length(x.open) <= {most} THEN {{'done': a.done, 'open': a.open || x.open}} ELSE {{'done': {closed}, 'open': x.open}} END)"""
+    return f"CASE WHEN length({x}) <= {most} THEN [{x}] ELSE (SELECT CASE WHEN f.open = '' THEN f.done ELSE list_append(f.done, f.open) END FROM (SELECT {folded} AS f)) END"
+
+
+@REGISTRY.add("long_text_pieces", f"SELECT doc_id, (i - 1)::INT AS piece, length(x) AS n_chars, substr(sha256(x), 1, 16) AS content_sha FROM (SELECT doc_id, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM (SELECT doc_id, {sql_split_long('text', 800)} AS p FROM documents WHERE text IS NOT NULL))")
 def long_text_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentence-packed pieces of at most 800 characters; a fold, tested against a plain version."""
+    """Sentence-packed pieces of at most 800 characters."""
     docs = load(spark, sf_dir, "documents").filter("text IS NOT NULL")
     return docs.select("doc_id", F.posexplode(T.split_long(F.col("text"), 800)).alias("piece", "text")).select("doc_id", "piece", F.length("text").alias("n_chars"), T.content_sha(F.col("text")).alias("content_sha"))
 
