@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text as T
@@ -209,11 +209,17 @@ def chunk_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transcript_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speech rate, most frequent 6-gram and punctuation of transcripts."""
     seg = load(spark, sf_dir, "segments").filter("transcript_raw IS NOT NULL").select("segment_id", (F.col("t_end") - F.col("t_start")).alias("d"), F.col("transcript_raw").alias("t")).distinct()
-    counts = seg.select("segment_id", F.explode(T.gram_list(F.col("t"), 6)).alias("gram")).groupBy("segment_id", "gram").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.groupBy("segment_id").agg(F.max("n").alias("top"))
-    return seg.join(top, "segment_id", "left").select(
+    # Equal grams lie side by side once sorted, so that the longest run is found within the row.
+    zero = F.struct(F.lit(None).cast("string").alias("g"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(state: Column, gram: Column) -> Column:
+        run = F.when(gram == state["g"], state["run"] + 1).otherwise(1)
+        return F.struct(gram.alias("g"), run.alias("run"), F.greatest(state["best"], run).alias("best"))
+
+    top = F.aggregate(F.sort_array(T.gram_list(F.col("t"), 6)), zero, step, lambda s: s["best"])
+    return seg.withColumn("top", top).select(
         "segment_id",
         F.round(F.when(F.col("d") > 0, F.length("t") / F.col("d")), 6).alias("chars_per_sec"),
-        F.coalesce("top", F.lit(0)).alias("top_6gram"),
+        F.col("top").cast("bigint").alias("top_6gram"),
         F.round(F.when(F.length("t") > 0, F.regexp_count("t", F.lit("[，。！？；：、]")) / F.length("t")), 6).alias("punctuation"),
     )
