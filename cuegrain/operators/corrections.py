@@ -58,11 +58,18 @@ def propose(texts: DataFrame, terms: DataFrame, *, key: str, text: str, similari
     return best.select(key, "before", F.col("b.term").alias("after"), (-F.col("b.s")).alias("score"))
 
 
+def _together(**rows: DataFrame) -> DataFrame:
+    """One row of the counts that several one-row tables hold."""
+    out = None
+    for row in rows.values():
+        out = row if out is None else out.unionByName(row, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
+
+
 def set_scores(applied: DataFrame, expected: DataFrame) -> DataFrame:
     """One row (tp, fp, fn, precision, recall, f1) of two sets of rows with the same columns; nulls are equal."""
     a, e = applied.distinct(), expected.distinct()
-    both = a.intersect(e).agg(F.count(F.lit(1)).alias("tp"))
-    x = both.crossJoin(a.agg(F.count(F.lit(1)).alias("na"))).crossJoin(e.agg(F.count(F.lit(1)).alias("ne")))  # three rows of one count each
+    x = _together(tp=a.intersect(e).agg(F.count(F.lit(1)).alias("tp")), na=a.agg(F.count(F.lit(1)).alias("na")), ne=e.agg(F.count(F.lit(1)).alias("ne")))
     precision = F.when(F.col("na") > 0, F.col("tp") / F.col("na")).otherwise(F.when(F.col("ne") == 0, 1.0).otherwise(0.0))
     recall = F.when(F.col("ne") > 0, F.col("tp") / F.col("ne")).otherwise(F.when(F.col("na") == 0, 1.0).otherwise(0.0))
     x = x.withColumn("precision", precision).withColumn("recall", recall)
@@ -76,7 +83,7 @@ def outcome_scores(applied: DataFrame, expected: DataFrame, texts: DataFrame) ->
     good = lambda column: F.contains(F.coalesce(column, F.lit("")), F.col("after")) & ~F.contains(F.coalesce(column, F.lit("")), F.col("before"))
     a = applied.join(t, "key", "left").agg(F.count_if(good("ideal")).alias("tp"), F.count(F.lit(1)).alias("na"))
     e = expected.join(t, "key", "left").agg(F.count_if(good("corrected")).alias("fixed"), F.count(F.lit(1)).alias("ne"))
-    x = a.crossJoin(e)  # a row each
+    x = _together(a=a, e=e)
     precision = F.when(F.col("na") > 0, F.col("tp") / F.col("na")).otherwise(F.when(F.col("ne") == 0, 1.0).otherwise(0.0))
     recall = F.when(F.col("ne") > 0, F.col("fixed") / F.col("ne")).otherwise(F.when(F.col("na") == 0, 1.0).otherwise(0.0))
     return x.select("tp", (F.col("na") - F.col("tp")).alias("fp"), (F.col("ne") - F.col("fixed")).alias("fn"), F.round(precision, 9).alias("precision"), F.round(recall, 9).alias("recall"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-QUERY_BLOCK, CORPUS_BLOCK = 4_096, 50_000
+#: Rows of a block, and queries that are multiplied at once.
+QUERY_BLOCK, CORPUS_BLOCK, AT_ONCE = 65_536, 50_000, 512
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -43,23 +44,29 @@ def nearest_vectors(queries: DataFrame, corpus: DataFrame, *, ident: str, vector
         qi, ci = (np.asarray(t["id"].to_pylist(), object) for t in (left, right))
         out_q, out_c, out_s = [], [], []
         if len(a) and len(b):
-            if metric == "cosine":
-                norm = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
-                scores = np.round(norm(a) @ norm(b).T, 9)
-            else:
-                scores = np.stack([-np.round(np.abs(b - row).mean(1), 9) for row in a])
             order = np.argsort(ci, kind="stable")
-            bar = qi[:, None] == ci[None, :]
+            ids, b = ci[order], b[order]
+            if metric == "cosine":
+                a, b = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300) for m in (a, b))
             if grouped:
-                bar = bar | (np.asarray(left["g"].to_pylist(), object)[:, None] == np.asarray(right["g"].to_pylist(), object)[None, :])
-            scores = np.where(bar, -np.inf, scores)[:, order]
-            ids = ci[order]
-            for i in range(len(a)):
-                top = np.argsort(-scores[i], kind="stable")[:k]
-                top = top[np.isfinite(scores[i][top])]
-                out_q += [qi[i]] * len(top)
-                out_c += ids[top].tolist()
-                out_s += scores[i][top].tolist()
+                qg, cg = (np.asarray(t["g"].to_pylist(), object) for t in (left, right))
+                cg = cg[order]
+            for start in range(0, len(a), AT_ONCE):
+                part = slice(start, start + AT_ONCE)
+                if metric == "cosine":
+                    scores = np.round(a[part] @ b.T, 9)
+                else:
+                    scores = np.stack([-np.round(np.abs(b - row).mean(1), 9) for row in a[part]])
+                bar = qi[part][:, None] == ids[None, :]
+                if grouped:
+                    bar = bar | (qg[part][:, None] == cg[None, :])
+                scores = np.where(bar, -np.inf, scores)
+                for i, row in enumerate(scores):
+                    top = np.argsort(-row, kind="stable")[:k]
+                    top = top[np.isfinite(row[top])]
+                    out_q += [qi[start + i]] * len(top)
+                    out_c += ids[top].tolist()
+                    out_s += row[top].tolist()
         return pa.table({"query": pa.array(out_q, left.schema.field("id").type), "found": pa.array(out_c, right.schema.field("id").type), "score": pa.array(out_s, pa.float64())})
 
     kind = dict(q.dtypes)["id"]
