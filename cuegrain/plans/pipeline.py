@@ -23,11 +23,11 @@ REGISTRY = Registry()
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Derived blocks: descriptions of slides, and what the next segment of a video begins with."""
+    """Derived blocks: descriptions of slides, the next segment of a video, and corrected transcripts."""
     slides = reads(spark, sf_dir).filter("description IS NOT NULL").select("video_id", F.col("read_id").alias("segment_id"), F.lit(0).alias("block_index"), F.lit("圖表描述").alias("type"), F.lit("slide_ocr").alias("kind"), F.col("description").alias("text"), "slide_text", F.lit(None).cast("string").alias("transcript"), F.lit(None).cast("string").alias("corrected")).distinct()
     seg = load(spark, sf_dir, "segments").select("segment_id", "video_id", "transcript_raw", "transcript_corrected").distinct()
     after = F.lead("transcript_raw").over(W.partitionBy("video_id").orderBy("segment_id"))
-    said = seg.withColumn("_n", after).select("video_id", "segment_id", F.lit(1).alias("block_index"), F.lit("口頭延伸").alias("type"), F.lit("transcript").alias("kind"), F.substring("_n", 1, 60).alias("text"), F.lit(None).cast("string").alias("slide_text"), F.col("transcript_raw").alias("transcript"), F.col("_n").alias("corrected")).filter("text IS NOT NULL")
+    said = seg.withColumn("_n", after).select("video_id", "segment_id", F.lit(1).alias("block_index"), F.lit("口頭延伸").alias("type"), F.lit("transcript").alias("kind"), F.col("_n").alias("text"), F.lit(None).cast("string").alias("slide_text"), F.col("transcript_raw").alias("transcript"), F.col("_n").alias("corrected")).filter("text IS NOT NULL")
     own = seg.filter("transcript_corrected IS NOT NULL").select("video_id", "segment_id", F.lit(2).alias("block_index"), F.lit("白話解說").alias("type"), F.lit("transcript").alias("kind"), F.col("transcript_corrected").alias("text"), F.lit(None).cast("string").alias("slide_text"), F.col("transcript_raw").alias("transcript"), F.col("transcript_corrected").alias("corrected"))
     return slides.unionByName(said).unionByName(own)
 

@@ -12,6 +12,7 @@ from cuegrain.operators import provenance as P
 from cuegrain.operators import retrieval as R
 from cuegrain.operators import signals as Sg
 from cuegrain.operators import state as St
+from cuegrain.plans import pipeline as Q
 from cuegrain.sources import captions
 from cuegrain.sources.keyed import KeyedTable, lines_without
 from pyspark.sql import functions as F
@@ -46,6 +47,18 @@ def test_verdicts(spark):
     assert [c["chunk_id"] for c in P.build_chunks(long).orderBy("chunk_id").collect()] == ["s#b00", "s#b00-1"]
 
 
+def test_blocks_hold_whole_transcripts(spark, tmp_path):
+    said = ["脈" * 30 + "絡" * 40 + "。", "".join(chr(0x4E00 + i % 700) + "。" * (i % 50 == 49) for i in range(1900)), None, "", "短"]
+    seg = [(f"v#{i}", "v", x, None) for i, x in enumerate(said)]
+    spark.createDataFrame(seg, "segment_id string, video_id string, transcript_raw string, transcript_corrected string").write.parquet(f"{tmp_path}/segments.parquet")
+    spark.createDataFrame([], "read_id string, video_id string, slide_id string, parsed struct<slide_text: string, description: string>").write.parquet(f"{tmp_path}/slide_out.parquet")
+    b = {r["segment_id"]: r["text"] for r in Q.blocks(spark, str(tmp_path)).collect()}
+    assert b == {f"v#{i}": said[i + 1] for i in (0, 2, 3)}
+    v = P.check_blocks(Q.blocks(spark, str(tmp_path))).withColumn("status", F.lit("verified"))
+    pieces = P.build_chunks(v).filter("segment_id = 'v#0'").orderBy("chunk_id").collect()
+    assert "".join(r["text"] for r in pieces) == said[1] and len(pieces) > 1
+
+
 def test_sets_components_and_groups(spark):
     rng = random.Random(1)
     rows = []
