@@ -137,9 +137,9 @@ def slide_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT read_id, before, term AS "after", round(1 - d / n, 9) AS score FROM k WHERE r = 1""",
 )
 def proposed_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stretches of first reads that miss a lexicon term of 4 or 5 characters by one."""
-    r = reads(spark, sf_dir, "slide_raw").filter("slide_text IS NOT NULL").select("read_id", "slide_text").distinct()
-    return C.propose(r, slide_lexicon(spark, sf_dir), key="read_id", text="slide_text", similarity=0.75, least=4, most=5)
+    """Stretches of transcripts that are nearly a lexicon term of 3 to 12 characters."""
+    s = load(spark, sf_dir, "segments").filter("transcript_raw IS NOT NULL").select("segment_id", "transcript_raw").distinct()
+    return C.propose(s, slide_lexicon(spark, sf_dir), key="segment_id", text="transcript_raw", similarity=0.75)
 
 
 @REGISTRY.add(

@@ -140,6 +140,23 @@ def test_corrections(spark):
     assert list(C.outcome_scores(rows((1, "形照胚也", "形兆胚也")), rows((1, "形照", "形兆")), t).first()) == [1, 0, 0, 1.0, 1.0]
 
 
+def test_proposals_take_all_lengths_of_transcripts(spark, tmp_path):
+    terms = ["形兆胚", *("".join(chr(0x5000 + 40 * n + i) for i in range(n)) for n in range(4, 13))]
+    said = ["今日" + t[:-1] + "誤也" for t in terms]
+    spark.createDataFrame([(f"v#{i:02}", x) for i, x in enumerate(said)], "segment_id string, transcript_raw string").write.parquet(f"{tmp_path}/segments.parquet")
+    for t, x in (("slide_out", " ".join(terms)), ("slide_raw", terms[1][:-1] + "誤")):
+        spark.createDataFrame([("r", "v", "s", (x,))], "read_id string, video_id string, slide_id string, parsed struct<slide_text: string>").write.parquet(f"{tmp_path}/{t}.parquet")
+    want = set()
+    for i, x in enumerate(said):
+        for n in range(3, 13):
+            for w in {x[k : k + n] for k in range(len(x) - n + 1)}:
+                near = [(-sum(a == b for a, b in zip(w, t)) / n, t) for t in terms if len(t) == n and t != w]
+                if w not in terms and near and -min(near)[0] >= 0.75:
+                    want.add((f"v#{i:02}", w, min(near)[1], round(-min(near)[0], 9)))
+    assert {len(t) for _, _, t, _ in want} == set(range(4, 13))
+    assert set(map(tuple, Q.proposed_corrections(spark, str(tmp_path)).collect())) == want
+
+
 def test_states_and_quota(spark):
     assert St.downstream()["S1b"] == ["S1c", "S3", "S4", "S4a", "S5", "S6"] and St.downstream()["S6"] == []
     day = lambda x: spark.createDataFrame([(x,)], "t timestamp").select(St.quota_day(F.col("t")), St.next_reset(F.col("t"))).first()
