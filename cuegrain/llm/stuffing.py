@@ -1,198 +1,465 @@
 """Pages of strung-together keywords, links, tags and labels.
 
-Sentences hold function words at short intervals; keyword strings, link lists, tag
-clouds, price labels and menu paths don't. A stretch without any for long has no
-clause structure. For pages of which such stretches make up the greater part, the
-page's suffix automaton tells how much of them is covered by substrings that occur
-more than once on the page.
+Two kinds of evidence are combined for every clause of a page. The first is coverage:
+the share of its characters that lie in maximal substrings which the page repeats, from
+the page's suffix automaton. Strung-together keywords repeat a few phrases in ever new
+order, price labels and menu paths repeat their frame, prose does neither. The second is
+clause structure: how much the clause's words and characters are those that the corpus
+uses in clauses of little coverage rather than in those of great coverage, learned from
+the document frequencies of all pages. No list of words of any language is used.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .flat import FlatText, chunks, visible
 from .repeats import window_hashes
 
-# Function words. Characters that are common parts of nouns are left out.
-FUNCTION_CHARS = "的了是在不就也都這这那有沒没要為为從从到我你他她們们請请只才再又跟與与或但而且若如所以什麼么誰谁嗎吗呢吧啊讓让被很先別别每個个之其它說说講讲問问會会能可錯错停拆第同等想常另當当遇將将慢快已何怎全剩決决嗯今昨此"
-FUNCTION_WORDS = "a an the of is are was were be been to in on at by for from with and or but not so if then than that this these those it its we you they he she his her our your their has have had do does did can will would could should may must as when while where which who what how why into after before more most only each every no nobody never".split()
-
 _MARKUP = re.compile(
-    r"<[A-Za-z/!][^<>\n]{0,400}>"
+    r"<[A-Za-z/!][^<>\n]*>"
     r"|(?:https?://|www\.)[^\s<>\"'()\[\]，。；、｜]+"
     r"|(?<![A-Za-z0-9.-])(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,12}+/[^\s<>\"'()\[\]，。；、｜]*"
     r"|[#＃@＠][^\s#＃@＠,，。;；、]+"
 )
-_MARK = "\ue000"
+_MARK, _DIGIT = 0xE000, 0x30
+
+#: Bits that a character tells about the text: a letter or sign, one of a large script, a number. A substring
+#: counts as repeated from twice log2(page length) bits, about the longest repeat that chance gives.
+LETTER_BITS, LARGE_BITS, NUMBER_BITS = 2.0, 5.5, 3.0
+#: A passage that comes again is so long at least, after at least so many symbols, and has a sign behind a clause of so many units (a word is two).
+PASSAGE, PASSAGE_SHIFT, PASSAGE_CLAUSE = 24, 8, 8
+#: Pages that the pooled frequency counts for in the learned weights, and the share of pages below which a unit has none.
+PRIOR_PAGES, LEAST_SHARE = 20, 0.002
+#: A clause teaches from this distance to the first model's threshold on; weights are cut at the second.
+TEACHES, STRONGEST = 0.5, 3.0
+#: Bytes of text that are taken at once.
+BYTES = 1 << 20
+#: Runs of at most, or at least, so many words or characters between signs.
+SHORT_RUN, LONG_RUN = 6, 40
 
-#: A stretch without a function word counts as a list from so many units (a CJK character is one, a Latin word or number two), or with a link or tag in it.
-LIST_UNITS = 18
-#: Repeated substrings of at least so many characters count; a list must be covered by them to this share.
-REPEAT_CHARS, REPEAT_SHARE = 3, 0.1
-#: Above this length of a page the same coverage is found by hashed windows, which need less memory.
-AUTOMATON_CHARS = 200_000
+FEATURES = ["constant"] + [f"{name}{where}" for name in ("cover", "short runs", "long runs", "sentence end", "links and tags", "sentence case") for where in ("", ", with neighbours")]
+# Fitted by fit_stuffing.py. FIRST has the columns of FEATURES; SECOND has the mean weight, and that with neighbours, besides.
+FIRST = np.array([-1.17, 0.94, 4.61, -0.13, 1.45, -0.91, -1.11, -3.39, 0.15, 2.58, 1.25, -0.37, -0.36])
+SECOND = np.array([3.43, 0.62, 2.26, 0.34, 0.01, -0.19, -0.25, -1.58, 1.21, 2.23, 1.59, 0.31, 1.25, -1.69, -2.18])
 
 
 class SuffixAutomaton:
-    """All substrings of a text; states carry length, suffix link and number of occurrences."""
-
-    def __init__(self, text: str) -> None:
-        self.length, self.link, self.count = [0], [-1], [0]
-        edges: list[dict[str, int]] = [{}]
-        self.at: list[int] = []  # state of every prefix
-        last = 0
-        for ch in text:
-            state = len(edges)
-            edges.append({})
-            self.length.append(self.length[last] + 1)
-            self.link.append(0)
-            self.count.append(1)
-            p = last
-            while p != -1 and ch not in edges[p]:
-                edges[p][ch] = state
-                p = self.link[p]
-            if p != -1:
-                q = edges[p][ch]
-                if self.length[p] + 1 == self.length[q]:
-                    self.link[state] = q
-                else:
-                    clone = len(edges)
-                    edges.append(dict(edges[q]))
-                    self.length.append(self.length[p] + 1)
-                    self.link.append(self.link[q])
-                    self.count.append(0)
-                    while p != -1 and edges[p].get(ch) == q:
-                        edges[p][ch] = clone
-                        p = self.link[p]
-                    self.link[q] = self.link[state] = clone
-            last = state
-            self.at.append(state)
-        for state in sorted(range(1, len(edges)), key=self.length.__getitem__, reverse=True):
-            if self.link[state] > 0:
-                self.count[self.link[state]] += self.count[state]
-
-    def repeated(self, least: int) -> np.ndarray:
-        """Whether each character lies in a repeated maximal substring of at least ``least`` characters."""
-        n = len(self.at)
-        cover = np.zeros(n + 1, np.int64)
-        for end, state in enumerate(self.at, 1):
-            if self.count[state] < 2:
-                state = self.link[state]
-            size = self.length[state]
-            if size >= least:
-                cover[end - size] += 1
-                cover[end] -= 1
-        return np.cumsum(cover)[:n] > 0
-
-
-def repeated_chars(text: str, least: int) -> np.ndarray:
-    """Coverage of a page; a page beyond AUTOMATON_CHARS by windows of ``least`` characters, whose union is the same."""
-    if len(text) <= AUTOMATON_CHARS:
-        return SuffixAutomaton(text).repeated(least)
-    cps = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    hashes = window_hashes(cps, least)
-    _, back, times = np.unique(hashes, return_inverse=True, return_counts=True)
-    hit = np.flatnonzero(times[back] > 1)
-    cover = np.zeros(len(cps) + 1, np.int64)
-    cover[hit] += 1
-    cover[hit + least] -= 1
-    return np.cumsum(cover)[:-1] > 0
-
-
-def _packed(words: list[str]) -> np.ndarray:
-    return np.array(sorted({int.from_bytes(w.encode()[:8].rjust(8, b"\0"), "big") for w in words if len(w) <= 8}), np.uint64)
-
-
-_FUNCTION = np.zeros(0x10000, bool)
-_FUNCTION[[ord(c) for c in FUNCTION_CHARS]] = True
-_PACKED = _packed(FUNCTION_WORDS)
-
-
-def list_stretches(flat: FlatText, units: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(visible characters, those in stretches without clause structure, mark of the latter by code point); links and tags are masked already."""
-    cps = flat.cps
-    n, texts = len(cps), len(flat.at) - 1
+    """The suffix automata of many pages at once, in array form.
+
+    A state is a class of substrings with the same ends. Sorted by their reversed
+    prefixes, the ends of a state are neighbours, so that states are the intervals of
+    that order, a state's longest substring is the common suffix of its interval, and a
+    suffix link leads to the enclosing interval. This form needs no table of edges per
+    state and is built by doubling ranks, for all pages of a batch in the same sorts;
+    a page's size changes nothing but the memory, about 100 bytes a character.
+    """
+
+    def __init__(self, symbols: np.ndarray, at: np.ndarray) -> None:
+        n = len(symbols)
+        self.n = n
+        page = np.repeat(np.arange(len(at) - 1), np.diff(at))[::-1]
+        _, code = np.unique(symbols[::-1], return_inverse=True)
+        key = page * np.int64(code.max(initial=0) + 1) + code.reshape(-1)
+        # End (exclusive) of every reversed prefix: where its page begins.
+        stop = n - np.repeat(at[:-1], np.diff(at))[::-1]
+        order = np.argsort(key, kind="stable")
+        self.levels: list[np.ndarray] = []
+        rank = np.empty(n, np.int64)
+        rank[order] = self._starts(key[order])
+        width, active = 1, self._shared(rank[order], order)
+        self.levels.append(rank)
+        while len(active):
+            beyond = active + width
+            second = np.where(beyond < stop[active], rank[np.minimum(beyond, n - 1)] + 1, 0)
+            sort = np.lexsort((second, rank[active]))
+            place, first, second = active[sort], rank[active][sort], second[sort]
+            new = np.ones(len(place), bool)
+            new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+            group = np.ones(len(place), bool)
+            group[1:] = first[1:] != first[:-1]
+            index = np.arange(len(place))
+            inside = np.maximum.accumulate(np.where(new, index, 0)) - np.maximum.accumulate(np.where(group, index, 0))
+            rank = rank.copy()
+            rank[place] = first + inside
+            self.levels.append(rank)
+            active = self._shared(rank[place], place)
+            width *= 2
+        self.order = np.empty(n, np.int64)
+        self.order[rank] = np.arange(n)
+
+    @staticmethod
+    def _starts(ordered: np.ndarray) -> np.ndarray:
+        new = np.ones(len(ordered), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        return np.maximum.accumulate(np.where(new, np.arange(len(ordered)), 0))
+
+    @staticmethod
+    def _shared(ordered: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Places whose rank isn't theirs alone, by rank."""
+        same = ordered[1:] == ordered[:-1]
+        return place[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(place) else place
+
+    def longest_repeats(self) -> np.ndarray:
+        """For every position the length of the longest substring ending there that its page holds more than once."""
+        n = self.n
+        if n < 2:
+            return np.zeros(n, np.int64)
+        a, b = self.order[:-1].copy(), self.order[1:].copy()
+        common = np.zeros(n - 1, np.int64)
+        for level in range(len(self.levels) - 1, -1, -1):
+            rank = self.levels[level]
+            ok = (a < n) & (b < n)
+            same = ok.copy()
+            same[ok] = rank[a[ok]] == rank[b[ok]]
+            step = same.astype(np.int64) << level
+            common += step
+            a += step
+            b += step
+        most = np.zeros(n, np.int64)
+        most[1:] = common
+        most[:-1] = np.maximum(most[:-1], common)
+        out = np.empty(n, np.int64)
+        out[self.order] = most
+        return out[::-1]
+
+
+@dataclass
+class Pages:
+    """Pages as symbols: links and tags one symbol each, numbers one, letters in lower case. shown: visible characters that a symbol stands for."""
+
+    symbols: np.ndarray
+    at: np.ndarray
+    shown: np.ndarray
+    capital: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str]) -> Pages:
+        masked = [_MARKUP.sub(lambda m: chr(_MARK) * len(m[0]), t) for t in texts]
+        flat = FlatText(pa.array(masked, pa.large_string()))
+        cps, first = flat.cps, np.zeros(len(flat.cps) + 1, bool)
+        first[flat.at] = True
+        digit = (cps >= 0x30) & (cps <= 0x39)
+        symbols = np.where(digit, np.uint32(_DIGIT), np.where((cps >= 0x41) & (cps <= 0x5A), cps | 0x20, cps)).astype(np.uint32)
+        joins = np.zeros(len(cps), bool)
+        joins[1:] = (symbols[1:] == symbols[:-1]) & (digit[1:] | (symbols[1:] == _MARK)) & ~first[1 : len(cps)]
+        starts = np.flatnonzero(~joins)
+        seen = (visible(cps).astype(bool) | (cps == _MARK)).astype(np.int64)
+        shown = np.add.reduceat(seen, starts) if len(starts) else seen
+        capital = ((cps >= 0x41) & (cps <= 0x5A)) | ((cps >= 0xC0) & (cps <= 0xDE)) | ((cps >= 0x0391) & (cps <= 0x03A9)) | ((cps >= 0x0400) & (cps <= 0x042F))
+        return Pages(symbols[starts], np.searchsorted(starts, flat.at), shown, capital[starts])
+
+    def only(self, kept: np.ndarray) -> Pages:
+        return Pages(self.symbols[kept], np.concatenate([[0], np.cumsum(kept)])[self.at], self.shown[kept], self.capital[kept])
+
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
+
+
+def _large(symbols: np.ndarray) -> np.ndarray:
+    return ((symbols >= 0x3040) & (symbols <= 0x9FFF)) | ((symbols >= 0xAC00) & (symbols <= 0xD7A3)) | ((symbols >= 0xF900) & (symbols <= 0xFAFF)) | ((symbols >= 0x20000) & (symbols <= 0x3FFFF)) | ((symbols >= 0x3400) & (symbols <= 0x4DBF))
+
+
+def _sentence_ends(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a sentence ends with the symbol."""
+    n = len(symbols)
+    out = np.isin(symbols, [ord(c) for c in "。｡！!？?；;…"])
+    after = np.full(n, 0x20, np.uint32)
+    after[:-1] = symbols[1:]
+    after[at[1:][np.diff(at) > 0] - 1] = 0x20
+    return out | ((symbols == ord(".")) & ((after == 0x20) | (after == 0x0A)))
+
+
+def _clause_ends(pages: Pages) -> np.ndarray:
+    """Whether the symbol ends a sentence or clause of at least PASSAGE_CLAUSE units."""
+    symbols, n = pages.symbols, len(pages.symbols)
+    stops = _sentence_ends(symbols, pages.at)
+    signs = stops | np.isin(symbols, [ord(c) for c in "，,"])
+    weight = np.zeros(n)
+    at, _ = units(symbols, pages.at)
+    weight[at] = np.where(_large(symbols[at]), 1, 2)
+    breaks = ~((weight > 0) | _letters(symbols) | (symbols == 0x20) | (symbols == _DIGIT))
+    breaks[pages.at[:-1][np.diff(pages.at) > 0]] = True
+    run = np.cumsum(breaks)
+    before = np.concatenate([[0], run[:-1]])
+    signs[pages.at[:-1][np.diff(pages.at) > 0]] = False
+    return signs & (np.bincount(run, weight, n + 1)[before] >= PASSAGE_CLAUSE)
+
+
+def copied_passages(pages: Pages) -> np.ndarray:
+    """Source of every symbol: itself, or in a later copy of a passage of clauses the symbol it copies.
+
+    Speech and copied paragraphs come again with their signs at the end of clauses; strings
+    of keywords have none, or short items between them.
+    """
+    n = len(pages.symbols)
+    source = np.arange(n)
+    if n <= PASSAGE:
+        return source
+    owner = pages.owner()
+    hashes = window_hashes(pages.symbols, PASSAGE)
+    inside = np.flatnonzero(owner[: len(hashes)] == owner[PASSAGE - 1 :])
+    key = hashes[inside] ^ (owner[inside].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(key, kind="stable")
+    key, place = key[order], inside[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    first = place[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+    later, shift = place[~new], (place - first)[~new]
+    keep = (shift >= PASSAGE_SHIFT) & (owner[later] == owner[later - shift])
+    for i in range(PASSAGE):  # equal hashes are compared character by character
+        keep &= pages.symbols[later + i] == pages.symbols[later - shift + i]
+    later, shift = later[keep], shift[keep]
+    if not len(later):
+        return source
+    sort = np.argsort(later)
+    later, shift = later[sort], shift[sort]
+    opens = np.ones(len(later), bool)
+    opens[1:] = (later[1:] != later[:-1] + 1) | (shift[1:] != shift[:-1])
+    begin = later[opens]
+    end = np.append(later[:-1][opens[1:]], later[-1]) + PASSAGE
+    ended = np.concatenate([[0], np.cumsum(_clause_ends(pages))])
+    for lo, hi, back in zip(begin, end, shift[opens]):
+        if ended[hi] > ended[lo]:
+            source[lo:hi] = source[np.arange(lo, hi) - back]
+    return source
+
+
+def covered_symbols(pages: Pages) -> np.ndarray:
+    """Whether each symbol lies in a maximal substring that its page repeats; links and tags count with the second."""
+    n = len(pages.symbols)
     if not n:
-        return np.zeros(texts, np.int64), np.zeros(texts, np.int64), np.zeros(0, bool)
+        return np.zeros(0, bool)
+    repeats = SuffixAutomaton(pages.symbols, pages.at).longest_repeats()
+    need = 2 * np.log2(np.maximum(np.diff(pages.at), 2))[pages.owner()]
+    bits = np.where(_large(pages.symbols), LARGE_BITS, LETTER_BITS)
+    bits[pages.symbols == _DIGIT] = NUMBER_BITS
+    mark = pages.symbols == _MARK
+    bits[mark] = need[mark]
+    total = np.concatenate([[0.0], np.cumsum(bits)])
+    end = np.arange(1, n + 1)
+    hit = np.flatnonzero((repeats > 0) & (total[end] - total[end - repeats] >= need - 1e-6))
+    cover = np.zeros(n + 1, np.int64)
+    np.add.at(cover, hit + 1 - repeats[hit], 1)
+    cover[hit + 1] -= 1
+    return np.cumsum(cover)[:n] > 0
+
+
+def _letters(symbols: np.ndarray) -> np.ndarray:
+    return ((symbols >= 0x61) & (symbols <= 0x7A)) | (symbols == 0x27) | ((symbols >= 0xC0) & (symbols <= 0x1FFF)) | ((symbols >= 0x2C00) & (symbols <= 0x2DFF))
+
+
+def units(symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position, id) of every unit: a character of a large script, or a word of letters, by a 64-bit hash."""
+    n = len(symbols)
+    large = _large(symbols)
+    letter = _letters(symbols)
     first = np.zeros(n + 1, bool)
-    first[flat.at] = True
-    seen = visible(cps).astype(bool)
-    lower = cps | 0x20
-    latin = ((lower >= 0x61) & (lower <= 0x7A)) | ((cps >= 0xC0) & (cps <= 0x24F))
-    word = latin | ((cps >= 0x30) & (cps <= 0x39)) | (cps == 0x27)
-    mark = cps == ord(_MARK)
-    opens = word.copy()
-    opens[1:] &= ~word[:-1] | first[1:n]
-    begin = np.flatnonzero(opens)
-    ends_at = word.copy()
-    ends_at[:-1] &= ~word[1:] | first[1:n]
-    end = np.flatnonzero(ends_at) + 1
-    size = end - begin
-    packed = np.zeros(len(begin), np.uint64)
-    short = size <= 8
-    for i in range(8):
-        inside = short & (size > i)
-        packed[inside] = (packed[inside] << np.uint64(8)) | lower[begin[inside] + i].astype(np.uint64)
-    is_function = short & np.isin(packed, _PACKED)
-    function = _FUNCTION[np.minimum(cps, 0xFFFF)]
-    function[begin[is_function]] = True
-    mark_opens = mark.copy()
-    mark_opens[1:] &= ~mark[:-1] | first[1:n]
-    weight = (seen & ~word & ~mark).astype(np.int64)
-    punctuation = (cps < 0x30) | ((cps >= 0x3000) & (cps <= 0x303F)) | ((cps >= 0xFF00) & (cps <= 0xFF20)) | ((cps >= 0x2000) & (cps <= 0x206F))
-    weight[punctuation] = 0
-    weight[begin] = 2
-    weight[mark_opens] = units  # a link or tag makes a list of the stretch it lies in
-    # Stretches run between function words and ends of texts.
-    breaks = function | first[:n]
-    stretch = np.cumsum(breaks) - 1
-    weight[function] = 0
-    total = np.bincount(stretch, weight)
-    listed = (total >= units)[stretch] & ~function
-    text = flat.owner()
-    shown = np.bincount(text, seen, texts).astype(np.int64)
-    inside = np.bincount(text, seen & listed, texts).astype(np.int64)
-    return shown, inside, listed
-
-
-def keyword_pages(df: DataFrame, *, key: str, text: str, share: float = 0.5, units: int = LIST_UNITS, least: int = REPEAT_CHARS, cover: float = REPEAT_SHARE) -> DataFrame:
+    first[at] = True
+    opens = letter.copy()
+    opens[1:] &= ~letter[:-1] | first[1:n]
+    start = np.flatnonzero(opens)
+    mixed = (symbols.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(29)
+    word = np.zeros(len(start), np.uint64)
+    live, step = np.arange(len(start)), 0
+    while len(live):
+        word[live] = (word[live] * np.uint64(0x9E3779B97F4A7C15)) ^ mixed[start[live] + step]
+        step += 1
+        here = start[live] + step
+        ok = here < n
+        ok[ok] = letter[here[ok]] & ~first[here[ok]]
+        live = live[ok]
+    position = np.concatenate([np.flatnonzero(large), start])
+    ids = np.concatenate([mixed[large], word])
+    order = np.argsort(position, kind="stable")
+    return position[order], ids[order].view(np.int64)
+
+
+def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a / np.maximum(b, 1e-9)
+
+
+@dataclass
+class Clauses:
+    """Clauses of a batch's pages and what is measured of each.
+
+    page, shown, marked, covered: by clause its page, visible characters, those of links
+    and tags, and those in repeats, copies of passages counted with their source.
+    features: by clause, the columns of FEATURES. unit_clause, unit: its words and characters.
+    """
+
+    pages: int
+    page: np.ndarray
+    shown: np.ndarray
+    marked: np.ndarray
+    covered: np.ndarray
+    features: np.ndarray
+    unit_clause: np.ndarray
+    unit: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str]) -> Clauses:
+        every = Pages.of(texts)
+        source = copied_passages(every)
+        kept = source == np.arange(len(source))
+        once = every.only(kept)
+        symbols, at, n = once.symbols, once.at, len(once.symbols)
+        stops = _sentence_ends(symbols, at)
+        opens = np.zeros(n + 1, bool)
+        opens[at] = True
+        opens[1:] |= stops | (symbols == 0x0A)
+        opens = opens[:n]
+        clause = np.cumsum(opens) - 1
+        count = int(clause[-1]) + 1 if n else 0
+        page = once.owner()[opens]
+        mark = symbols == _MARK
+        inside = covered_symbols(once)
+        unit_at, unit = units(symbols, at)
+        total = lambda by: np.bincount(clause, by, count)
+        shown, is_unit = total(once.shown), np.zeros(n)
+        is_unit[unit_at] = 1
+        many = total(is_unit)
+        # Runs of words between signs and line ends: lists have short ones, or none that end.
+        space = (symbols == 0x20) | (symbols == _DIGIT)
+        breaks = ~(is_unit.astype(bool) | _letters(symbols) | space)
+        breaks[at[:-1][np.diff(at) > 0]] = True
+        run = np.cumsum(breaks)
+        length = np.bincount(run, is_unit)[run] if n else is_unit
+        last = np.zeros(count, np.int64)
+        last[clause] = np.arange(n)
+        seen = np.flatnonzero((symbols != 0x20) & (symbols != 0x0A))
+        head = np.full(count, -1)
+        head[clause[seen][::-1]] = seen[::-1]
+        ended = stops[last].astype(float)
+        cased = ended * (head >= 0) * once.capital[np.maximum(head, 0)] * (many >= 4) if count else ended
+
+        def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """The ratio over the clause and its two neighbours."""
+            return _ratio(_with_neighbours(a, page), _with_neighbours(b, page))
+
+        one = np.ones(count)
+        pairs = [(total(once.shown * inside), shown), (total(is_unit * (length <= SHORT_RUN)), many), (total(is_unit * (length >= LONG_RUN)), many), (ended, one), (total(once.shown * mark), shown), (cased, one)]
+        features = np.stack([one] + [x for a, b in pairs for x in (_ratio(a, b), near(a, b))], 1)
+        weight = np.bincount((np.cumsum(kept) - 1)[source], every.shown, n) if n else np.zeros(0)
+        return Clauses(len(texts), page, total(weight), total(weight * mark), total(weight * inside), features, clause[unit_at], unit)
+
+    def teach(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+        """(unit, pages whose sentences have it, pages whose lists have it, pages with sentences, pages with lists), by the first model."""
+        score = self.features @ FIRST
+        found, sizes = [], []
+        for chosen in (score < -TEACHES, score > TEACHES):
+            sizes.append(len(np.unique(self.page[chosen])))
+            mine = chosen[self.unit_clause]
+            pairs = np.unique(np.stack([self.page[self.unit_clause[mine]], self.unit[mine]]), axis=1)
+            found.append(np.unique(pairs[1], return_counts=True))
+        unit = np.union1d(found[0][0], found[1][0])
+        counts = np.zeros((2, len(unit)), np.int64)
+        for i, (ids, n) in enumerate(found):
+            counts[i, np.searchsorted(unit, ids)] = n
+        return unit, counts[0], counts[1], sizes[0], sizes[1]
+
+    def glue(self, known: Learned) -> np.ndarray:
+        """Columns: a clause's mean weight, the same with its neighbours, and how far its units are known."""
+        count = len(self.page)
+        weight, sure = known.of(self.unit)
+        many = np.bincount(self.unit_clause, minlength=count).astype(float)
+        sums, sures = np.bincount(self.unit_clause, weight, count), np.bincount(self.unit_clause, sure, count)
+        wide = lambda x: _with_neighbours(x, self.page)
+        return np.stack([sums / np.maximum(many, 3), _ratio(wide(sums), wide(np.maximum(many, 3))), _ratio(wide(sures), wide(many))], 1)
+
+    def scores(self, known: Learned) -> np.ndarray:
+        """Above 0: a list. As far as the corpus doesn't know a clause's units, by coverage and form alone."""
+        glue = self.glue(known)
+        both = np.concatenate([self.features, glue[:, :2]], 1) @ SECOND
+        return glue[:, 2] * both + (1 - glue[:, 2]) * (self.features @ FIRST)
+
+
+def _with_neighbours(values: np.ndarray, page: np.ndarray) -> np.ndarray:
+    out = values.astype(float).copy()
+    if len(page):
+        same = page[1:] == page[:-1]
+        out[1:] += values[:-1] * same
+        out[:-1] += values[1:] * same
+    return out
+
+
+@dataclass
+class Learned:
+    """Weights of units (sorted): above 0 in sentences, below in lists; sure: 0 to 1 by the pages that show it."""
+
+    unit: np.ndarray
+    weight: np.ndarray
+    sure: np.ndarray
+
+    @staticmethod
+    def from_counts(unit: np.ndarray, in_sentences: np.ndarray, in_lists: np.ndarray, sentences: int, lists: int) -> Learned:
+        order = np.argsort(unit)
+        unit, a, b = unit[order], in_sentences[order].astype(float), in_lists[order].astype(float)
+        pooled = (a + b) / max(sentences + lists, 1)
+        weight = np.log((a + PRIOR_PAGES * pooled) / (sentences + PRIOR_PAGES)) - np.log((b + PRIOR_PAGES * pooled) / (lists + PRIOR_PAGES))
+        return Learned(unit, np.clip(weight, -STRONGEST, STRONGEST), (a + b) / (a + b + PRIOR_PAGES))
+
+    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.unit):
+            return np.zeros(len(ids)), np.zeros(len(ids))
+        at = np.minimum(np.searchsorted(self.unit, ids), len(self.unit) - 1)
+        known = self.unit[at] == ids
+        return np.where(known, self.weight[at], 0.0), np.where(known, self.sure[at], 0.0)
+
+
+def learn(texts: DataFrame) -> Learned:
+    """Weights of the units of all texts (one column, text), by the pages whose sentences or lists have them.
+
+    Each batch sends its counts by unit, which are added up in a shuffle. Units of at
+    least LEAST_SHARE of the pages come to the driver: at most a page's mean number of
+    different units, divided by that share, whatever the number of pages.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in chunks(whole, 0, BYTES):
+                unit, a, b, sentences, lists = Clauses.of(batch.column(0).fill_null("").to_pylist()).teach()
+                ids = pa.array(np.append(unit, 0), mask=np.append(np.zeros(len(unit), bool), True))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(np.append(a, sentences)), pa.array(np.append(b, lists))], ["unit", "a", "b"])
+
+    counts = cut(texts.mapInArrow(count, "unit bigint, a bigint, b bigint").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "units")
+    pages = counts.filter("unit IS NULL").collect()
+    sentences, lists = (pages[0]["a"], pages[0]["b"]) if pages else (0, 0)
+    rows = counts.filter(F.col("unit").isNotNull() & (F.col("a") + F.col("b") >= LEAST_SHARE * (sentences + lists))).toArrow()
+    return Learned.from_counts(*(np.asarray(rows[c].to_numpy(), np.int64) for c in ("unit", "a", "b")), sentences, lists)
+
+
+def keyword_pages(df: DataFrame, *, key: str, text: str, share: float = 0.5) -> DataFrame:
     """(key, visible, listed, covered, spam) of every row.
 
-    visible: visible characters; listed: those in stretches without clause structure,
-    links and tags among them; covered: those of the listed that lie in repeated
-    maximal substrings of at least ``least`` characters. spam: more than ``share`` of the visible
-    characters are listed, and at least ``cover`` of the listed are covered. The suffix
-    automaton is built where the listed characters pass ``share``, since without that
-    no coverage makes a page spam; elsewhere covered is null.
+    visible: visible characters; covered: those in maximal substrings that the page
+    repeats, by its suffix automaton; listed: those of clauses that coverage and clause
+    structure together make a list, and of links and tags anywhere. spam: more than
+    ``share`` of the visible characters are listed. Later copies of a whole passage with
+    sentence ends are judged as its first copy is, so that prose said twice stays prose.
 
     Null, empty and blank texts have no visible character and are no spam; repeated
-    rows give a row each. Other columns are not read.
+    rows give a row each. Other columns are not read. The texts are read twice: for the
+    corpus's weights (a job of its own), and for the decision.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    known = df.sparkSession.sparkContext.broadcast(learn(rows.select("text")))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in chunks(whole, 1):
-                texts = batch.column(1).fill_null("").to_pylist()
-                masked = [_MARKUP.sub(lambda m: _MARK * len(m[0]), t) if ("/" in t or "<" in t or "#" in t or "＃" in t or "@" in t or "＠" in t) else t for t in texts]
-                flat = FlatText(pa.array(masked, pa.large_string()))
-                shown, inside, listed = list_stretches(flat, units)
-                covered = np.full(len(texts), -1, np.int64)
-                seen = visible(flat.cps).astype(bool) if len(flat.cps) else listed
-                for i in np.flatnonzero(inside > share * shown):
-                    here = slice(flat.at[i], flat.at[i + 1])
-                    covered[i] = int((repeated_chars(texts[i], least) & listed[here] & seen[here]).sum())
-                spam = (inside > share * shown) & (covered >= cover * inside)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(shown), pa.array(inside), pa.array(covered, mask=covered < 0), pa.array(spam)],
-                    ["key", "visible", "listed", "covered", "spam"],
-                )
+            for batch in chunks(whole, 1, BYTES):
+                c = Clauses.of(batch.column(1).fill_null("").to_pylist())
+                listed = np.where(c.scores(known.value) > 0, c.shown, c.marked)
+                shown, inside, covered = (np.bincount(c.page, x, c.pages).astype(np.int64) for x in (c.shown, listed, c.covered))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shown), pa.array(inside), pa.array(covered), pa.array(inside > share * shown)], ["key", "visible", "listed", "covered", "spam"])
 
     return rows.mapInArrow(judge, f"key {dict(rows.dtypes)['key']}, visible bigint, listed bigint, covered bigint, spam boolean").withColumnRenamed("key", key)

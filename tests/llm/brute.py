@@ -32,3 +32,8 @@ def repeated(text, n=12):
 def shingles(text, n=3):
     x = text.replace(" ", "").replace("\n", "")
     return {x[i : i + n] for i in range(len(x) - n + 1)} if len(x) >= 40 else None
+
+
+def longest_repeats(text):
+    """For every position the longest substring ending there that occurs more than once."""
+    return [max((n for n in range(1, end + 1) if sum(text.startswith(text[end - n : end], i) for i in range(len(text))) > 1), default=0) for end in range(1, len(text) + 1)]

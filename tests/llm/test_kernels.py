@@ -12,7 +12,7 @@ from cuegrain.llm.nearest import bisect_slices
 from cuegrain.llm.packing import best_fit_plan, bucket_bounds, bucket_plan
 from cuegrain.llm.repeats import repeated_shares, window_hashes
 from cuegrain.llm.split import boundary_strengths, cut_points
-from cuegrain.llm.stuffing import SuffixAutomaton, repeated_chars
+from cuegrain.llm.stuffing import PASSAGE, Clauses, Learned, Pages, SuffixAutomaton, copied_passages, covered_symbols, units
 
 HARD = ["", "'s", "it's we'll  x", " 's", "''s", "'re's", "\n's x", "  \n  y", "x  ", " a", "a　　b", "'l l", "'sfoo bar", "I'D i'd", "１２3 ½", "éa", "<|endoftext|>", "😀've", "x'", "'ll", "͸ a͸'s", "\x1cs \x85 t"]
 
@@ -51,16 +51,49 @@ def test_repeats_equal_plain_version():
         assert len(hashes) == 10 - n and (n > 6 or hashes[0] == hashes[3])
 
 
-def test_suffix_automaton_coverage_equals_windows(monkeypatch):
-    for text in [*some_texts(3, "abc", 30, 60), "", "a", "aaaa", "標籤一 標籤二 標籤一"]:
-        plain = np.zeros(len(text), bool)
-        for i in range(len(text) - 2):
-            if sum(text.startswith(text[i : i + 3], j) for j in range(len(text))) > 1:
-                plain[i : i + 3] = True
-        assert SuffixAutomaton(text).repeated(3).tolist() == plain.tolist()
-        monkeypatch.setattr("cuegrain.llm.stuffing.AUTOMATON_CHARS", -1)
-        assert repeated_chars(text, 3).tolist() == plain.tolist()
-        monkeypatch.undo()
+def test_suffix_automaton_equals_all_substrings():
+    texts = [*some_texts(3, "abc", 30, 60), "", "a", "aaaa", "標籤一 標籤二 標籤一", "abab" * 9]
+    flat = FlatText(pa.array(texts))
+    got = SuffixAutomaton(flat.cps, flat.at).longest_repeats()
+    assert got.tolist() == [n for t in texts for n in brute.longest_repeats(t)]
+    assert SuffixAutomaton(flat.cps[:0], np.zeros(3, np.int64)).longest_repeats().tolist() == []
+
+
+def test_coverage_and_copies():
+    pages = Pages.of(["see https://a.test/x and https://b.test/y", "no 12 no 345 no 6", "", "one https://c.test/z"])
+    assert [chr(c) for c in pages.symbols[: pages.at[1]]] == list("see \ue000 and \ue000") and pages.shown[4] == len("https://a.test/x")
+    inside = covered_symbols(pages)
+    assert inside[4] and inside[10] and not inside[pages.at[3] :].any()
+    passage = "The miller walked down to the river. There he listened to the water."
+    copies = Pages.of([passage + " " + passage, "kiln kit servo deal " * 9, "x" * 30 + passage])
+    source = copied_passages(copies)
+    later = np.flatnonzero(source != np.arange(len(source)))
+    assert later.tolist() == list(range(len(passage) + 1, 2 * len(passage) + 1)) and (later - source[later] == len(passage) + 1).all()
+    assert len(passage) > PASSAGE
+
+
+def test_units_and_learned_weights():
+    pages = Pages.of(["It's 骨架 it's", "骨"])
+    at, ids = units(pages.symbols, pages.at)
+    assert at.tolist() == [0, 5, 6, 8, 12] and ids[0] == ids[3] and ids[1] == ids[4] != ids[2]
+    known = Learned.from_counts(np.array([7, 3]), np.array([90, 0]), np.array([0, 40]), 100, 50)
+    weight, sure = known.of(np.array([3, 7, 5]))
+    assert weight[0] < -1 < 1 < weight[1] and weight[2] == sure[2] == 0 and sure[1] == 90 / 110
+    nothing = Learned.from_counts(np.array([7]), np.array([9]), np.array([0]), 10, 0)
+    assert abs(nothing.of(np.array([7]))[0][0]) < 1e-9
+    assert Clauses.of(["", ""]).features.shape == (0, 13)
+
+
+def test_fitting_separates():
+    from cuegrain.llm.fit_stuffing import fit
+
+    prose = ["The miller walked down to the river. Then he listened to the water.", "春雨落下，山谷漸漸染綠。農夫清晨牽牛耕田。"] * 20
+    lists = ["kiln kit, servo deal, kiln deal, servo kit, kiln kit, servo deal", "租車價格租車推薦租車價格租車優惠租車推薦"] * 20
+    first, second = fit(prose + lists, lambda c: c.page >= len(prose))
+    c = Clauses.of(prose + lists)
+    assert ((c.features @ first > 0) == (c.page >= len(prose))).all() and len(second) == 15
+    with pytest.raises(ValueError):
+        fit([""] * 2001, len)
 
 
 def test_words_equal_the_pattern():
@@ -175,15 +208,12 @@ def test_bad_parameters():
 def test_very_long_texts():
     from time import monotonic
 
-    from cuegrain.llm.stuffing import _MARKUP, list_stretches
-
     began = monotonic()
     encoder = Encoder(Transducer.build({}), "byte_bpe_50k", TOKENIZERS)
     for text in ("a-" * 200_000 + "/", "a." * 200_000 + " x/", "骨架血脈經絡" * 50_000, "今天先講骨架，再講血脈。" * 30_000):
         flat = FlatText(pa.array([text]))
-        _MARKUP.sub("x", text)
-        list_stretches(flat, 18)
-        repeated_chars(text, 3)
+        covered = Clauses.of([text])
+        assert covered.covered.sum() > 0.9 * covered.shown.sum() or "。" in text
         kept, repeated = repeated_shares(flat, 12)
         assert repeated[0] > 0.9 * kept[0]
         _, _, start, stop = cut_points(boundary_strengths(flat.cps, flat.at), flat.at, 500, 250, 50)

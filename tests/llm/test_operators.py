@@ -97,10 +97,38 @@ def test_repeats_and_pages(spark):
         assert (kept, repeated) == brute.repeated(text) and share == pytest.approx(repeated / max(kept, 1))
     pages = {r["id"]: r for r in keyword_pages(df, key="id", text="text").collect()}
     assert {k for k, r in pages.items() if r["spam"]} == {3, 4, 5, None}
-    assert pages[7]["visible"] == pages[9]["visible"] == 0 and pages[2]["covered"] is None
+    assert pages[7]["visible"] == pages[9]["visible"] == 0 and pages[5]["covered"] > 0.8 * pages[5]["visible"]
     assert keyword_pages(df.limit(0), key="id", text="text").count() == 0 == repeated_share(df.limit(0), key="id", text="text").count()
 
 
+PROSE = {
+    "de": "Der alte Müller ging jeden Morgen zum Fluss hinunter. Dort prüfte er, ob das Rad noch frei lief, und hörte auf das Wasser. Erst danach setzte er sich zu seiner Familie an den Tisch.",
+    "es": "El maestro abrió la ventana porque hacía mucho calor. Los alumnos escuchaban en silencio mientras él explicaba la lección. Al final todos salieron contentos al patio.",
+    "en": "Rivers carve valleys slowly. Farmers plant wheat near fertile banks every spring. Old bridges still carry carts toward market towns.",
+    "zh": "春雨落下，山谷漸漸染綠。農夫清晨牽牛耕田，孩童沿溪捕魚。黃昏炊煙升起，村莊歸於寧靜。",
+    "ru": "Старый мельник каждое утро спускался к реке. Он проверял колесо и слушал воду. Потом он возвращался домой к семье.",
+}
+KEYWORDS = {
+    "mixed": "best kiln kit for you and the best servo deal for you and the best star chart app for you and the best servo deal near me and the kiln kit for you and cheap star chart app for the best servo deal",
+    "cycle": "cheap kiln kit for you and the best servo deal " * 20,
+    "de": "Schuhe günstig kaufen Schuhe online Schuhe Sale Damen Schuhe Herren Schuhe günstig Sneaker Schuhe online kaufen Sneaker Sale Damen Sneaker günstig kaufen Schuhe Sale Sneaker online Herren Sneaker Sale",
+    "zh": "租車價格租車推薦台北租車租車優惠台北租車推薦租車價格便宜租車台北租車價格租車推薦便宜租車優惠台北租車便宜",
+    "menu": "Home > Shoes > Men\nHome > Shoes > Women\nHome > Bags\nHome > Sale > Men\nHome > Bags > Leather",
+    "long tags": "".join(f'<a href="https://x.test/" title="{"z" * 900}{i}">item</a>\n' for i in range(5)),
+}
+
+
+@pytest.mark.parametrize("corpus", [False, True])
+def test_prose_and_keywords_of_any_language(spark, corpus):
+    """By themselves, where the corpus teaches nothing, and among pages of other words."""
+    rows = [(k + "3", (v + " ") * 3) for k, v in PROSE.items()] + list(PROSE.items()) + [("kw " + k, v) for k, v in KEYWORDS.items()]
+    if corpus:
+        rows += [(f"c{i}", "另外，有同學問骨架為什麼要乘以二，我畫給你看，這是慣例。The servo settles before you measure it.") for i in range(60)]
+        rows += [(f"kw s{i}", f"骨架課程、血脈推薦、骨架推薦、血脈課程、骨架費用{i}、血脈費用、骨架課程") for i in range(30)]
+    pages = keyword_pages(spark.createDataFrame(rows, "id string, text string"), key="id", text="text")
+    assert {r["id"] for r in pages.filter("spam").collect()} == {k for k, _ in rows if k.startswith("kw ")}
+
+
 def test_encoding_and_packing(spark):
     merge = tokenizer("byte_bpe_50k", TOKENIZERS)
     texts = {1: "it's  a test", 2: "", 3: None, 4: "骨架的骨架，骨架", 5: "word " * 3000, 6: "<|endoftext|>", 7: "it's a test"}
