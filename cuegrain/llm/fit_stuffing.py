@@ -48,5 +48,5 @@ def fit(texts: list[str], label) -> tuple[np.ndarray, np.ndarray]:
         stuffing.FIRST = kept
     common = a + b >= stuffing.LEAST_SHARE * (sentences + lists)
     known = stuffing.Learned.from_counts(unit[common], a[common], b[common], sentences, lists)
-    second = logistic(np.concatenate([clauses.features, clauses.glue(known)[:, :2]], 1), y, weight)
+    second = logistic(np.concatenate([clauses.features, stuffing.glue(clauses.page, clauses.unit_clause, clauses.unit, known)[:, :2]], 1), y, weight)
     return first, second

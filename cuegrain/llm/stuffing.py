@@ -30,6 +30,8 @@ _MARKUP = re.compile(
     r"|(?<![A-Za-z0-9.-])(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,12}+/[^\s<>\"'()\[\]，。；、｜]*"
     r"|[#＃@＠][^\s#＃@＠,，。;；、]+"
 )
+#: Every match of the pattern holds one of these.
+_OPENERS = "</.#＃@＠"
 _MARK, _DIGIT = 0xE000, 0x30
 
 #: Bits that a character tells about the text: a letter or sign, one of a large script, a number. A substring
@@ -67,34 +69,30 @@ class SuffixAutomaton:
         n = len(symbols)
         self.n = n
         page = np.repeat(np.arange(len(at) - 1), np.diff(at))[::-1]
-        _, code = np.unique(symbols[::-1], return_inverse=True)
-        key = page * np.int64(code.max(initial=0) + 1) + code.reshape(-1)
+        key = (page << 21) | symbols[::-1]
         # End (exclusive) of every reversed prefix: where its page begins.
         stop = n - np.repeat(at[:-1], np.diff(at))[::-1]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         self.levels: list[np.ndarray] = []
-        rank = np.empty(n, np.int64)
+        kind = np.int32 if n < 2**31 else np.int64
+        rank = np.empty(n, kind)
         rank[order] = self._starts(key[order])
         width, active = 1, self._shared(rank[order], order)
         self.levels.append(rank)
         while len(active):
             beyond = active + width
             second = np.where(beyond < stop[active], rank[np.minimum(beyond, n - 1)] + 1, 0)
-            sort = np.lexsort((second, rank[active]))
-            place, first, second = active[sort], rank[active][sort], second[sort]
-            new = np.ones(len(place), bool)
-            new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-            group = np.ones(len(place), bool)
-            group[1:] = first[1:] != first[:-1]
-            index = np.arange(len(place))
-            inside = np.maximum.accumulate(np.where(new, index, 0)) - np.maximum.accumulate(np.where(group, index, 0))
+            pair = rank[active].astype(np.int64) * (n + 1) + second
+            sort = np.argsort(pair)
+            place = active[sort]
+            first = rank[place]
             rank = rank.copy()
-            rank[place] = first + inside
+            rank[place] = first + self._starts(pair[sort]) - self._starts(first)
             self.levels.append(rank)
             active = self._shared(rank[place], place)
             width *= 2
-        self.order = np.empty(n, np.int64)
-        self.order[rank] = np.arange(n)
+        self.order = np.empty(n, kind)
+        self.order[rank] = np.arange(n, dtype=kind)
 
     @staticmethod
     def _starts(ordered: np.ndarray) -> np.ndarray:
@@ -115,15 +113,17 @@ class SuffixAutomaton:
             return np.zeros(n, np.int64)
         a, b = self.order[:-1].copy(), self.order[1:].copy()
         common = np.zeros(n - 1, np.int64)
+        # Neighbours that agree on a level's width, from the narrowest on; then their common part from the widest back.
+        agreeing = [np.flatnonzero(self.levels[0][a] == self.levels[0][b])]
+        for rank in self.levels[1:]:
+            pairs = agreeing[-1]
+            agreeing.append(pairs[rank[a[pairs]] == rank[b[pairs]]])
         for level in range(len(self.levels) - 1, -1, -1):
-            rank = self.levels[level]
-            ok = (a < n) & (b < n)
-            same = ok.copy()
-            same[ok] = rank[a[ok]] == rank[b[ok]]
-            step = same.astype(np.int64) << level
-            common += step
-            a += step
-            b += step
+            pairs, rank = agreeing[level], self.levels[level]
+            pairs = pairs[(a[pairs] < n) & (b[pairs] < n)]
+            pairs = pairs[rank[a[pairs]] == rank[b[pairs]]]
+            for x in (common, a, b):
+                x[pairs] += 1 << level
         most = np.zeros(n, np.int64)
         most[1:] = common
         most[:-1] = np.maximum(most[:-1], common)
@@ -143,7 +143,7 @@ class Pages:
 
     @staticmethod
     def of(texts: list[str]) -> Pages:
-        masked = [_MARKUP.sub(lambda m: chr(_MARK) * len(m[0]), t) for t in texts]
+        masked = [_MARKUP.sub(lambda m: chr(_MARK) * len(m[0]), t) if any(c in t for c in _OPENERS) else t for t in texts]
         flat = FlatText(pa.array(masked, pa.large_string()))
         cps, first = flat.cps, np.zeros(len(flat.cps) + 1, bool)
         first[flat.at] = True
@@ -163,28 +163,38 @@ class Pages:
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
 
+    def texts(self) -> pa.Array:
+        """The symbols as text, page by page."""
+        raw = self.symbols.astype("<u4").tobytes().decode("utf-32-le").encode()
+        wide = 1 + (self.symbols >= 0x80).astype(np.int64) + (self.symbols >= 0x800) + (self.symbols >= 0x10000)
+        at = np.concatenate([[0], np.cumsum(wide)])[self.at]
+        return pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(raw)]).cast(pa.string())
+
 
 def _large(symbols: np.ndarray) -> np.ndarray:
     return ((symbols >= 0x3040) & (symbols <= 0x9FFF)) | ((symbols >= 0xAC00) & (symbols <= 0xD7A3)) | ((symbols >= 0xF900) & (symbols <= 0xFAFF)) | ((symbols >= 0x20000) & (symbols <= 0x3FFFF)) | ((symbols >= 0x3400) & (symbols <= 0x4DBF))
 
 
+_STOPS = np.zeros(0x10000, bool)
+_STOPS[[ord(c) for c in "。｡！!？?；;…"]] = True
+
+
 def _sentence_ends(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Whether a sentence ends with the symbol."""
     n = len(symbols)
-    out = np.isin(symbols, [ord(c) for c in "。｡！!？?；;…"])
+    out = _STOPS[np.minimum(symbols, 0xFFFF)]
     after = np.full(n, 0x20, np.uint32)
     after[:-1] = symbols[1:]
     after[at[1:][np.diff(at) > 0] - 1] = 0x20
     return out | ((symbols == ord(".")) & ((after == 0x20) | (after == 0x0A)))
 
 
-def _clause_ends(pages: Pages) -> np.ndarray:
+def _clause_ends(pages: Pages, at: np.ndarray) -> np.ndarray:
     """Whether the symbol ends a sentence or clause of at least PASSAGE_CLAUSE units."""
     symbols, n = pages.symbols, len(pages.symbols)
     stops = _sentence_ends(symbols, pages.at)
-    signs = stops | np.isin(symbols, [ord(c) for c in "，,"])
+    signs = stops | (symbols == ord("，")) | (symbols == ord(","))
     weight = np.zeros(n)
-    at, _ = units(symbols, pages.at)
     weight[at] = np.where(_large(symbols[at]), 1, 2)
     breaks = ~((weight > 0) | _letters(symbols) | (symbols == 0x20) | (symbols == _DIGIT))
     breaks[pages.at[:-1][np.diff(pages.at) > 0]] = True
@@ -194,7 +204,7 @@ def _clause_ends(pages: Pages) -> np.ndarray:
     return signs & (np.bincount(run, weight, n + 1)[before] >= PASSAGE_CLAUSE)
 
 
-def copied_passages(pages: Pages) -> np.ndarray:
+def copied_passages(pages: Pages, unit_at: np.ndarray | None = None) -> np.ndarray:
     """Source of every symbol: itself, or in a later copy of a passage of clauses the symbol it copies.
 
     Speech and copied paragraphs come again with their signs at the end of clauses; strings
@@ -208,12 +218,18 @@ def copied_passages(pages: Pages) -> np.ndarray:
     hashes = window_hashes(pages.symbols, PASSAGE)
     inside = np.flatnonzero(owner[: len(hashes)] == owner[PASSAGE - 1 :])
     key = hashes[inside] ^ (owner[inside].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key, place = key[order], inside[order]
+    same = key[1:] == key[:-1]
+    shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    key, place = key[shared], place[shared]
+    if not len(key):
+        return source
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    first = place[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-    later, shift = place[~new], (place - first)[~new]
+    groups = np.flatnonzero(new)
+    first = np.repeat(np.minimum.reduceat(place, groups), np.diff(np.append(groups, len(key))))
+    later, shift = place[place != first], (place - first)[place != first]
     keep = (shift >= PASSAGE_SHIFT) & (owner[later] == owner[later - shift])
     for i in range(PASSAGE):  # equal hashes are compared character by character
         keep &= pages.symbols[later + i] == pages.symbols[later - shift + i]
@@ -226,7 +242,7 @@ def copied_passages(pages: Pages) -> np.ndarray:
     opens[1:] = (later[1:] != later[:-1] + 1) | (shift[1:] != shift[:-1])
     begin = later[opens]
     end = np.append(later[:-1][opens[1:]], later[-1]) + PASSAGE
-    ended = np.concatenate([[0], np.cumsum(_clause_ends(pages))])
+    ended = np.concatenate([[0], np.cumsum(_clause_ends(pages, units(pages.symbols, pages.at)[0] if unit_at is None else unit_at))])
     for lo, hi, back in zip(begin, end, shift[opens]):
         if ended[hi] > ended[lo]:
             source[lo:hi] = source[np.arange(lo, hi) - back]
@@ -305,25 +321,25 @@ class Clauses:
     features: np.ndarray
     unit_clause: np.ndarray
     unit: np.ndarray
+    once: Pages
 
     @staticmethod
     def of(texts: list[str]) -> Clauses:
         every = Pages.of(texts)
-        source = copied_passages(every)
+        unit_at, unit = units(every.symbols, every.at)
+        source = copied_passages(every, unit_at)
         kept = source == np.arange(len(source))
         once = every.only(kept)
         symbols, at, n = once.symbols, once.at, len(once.symbols)
         stops = _sentence_ends(symbols, at)
-        opens = np.zeros(n + 1, bool)
-        opens[at] = True
-        opens[1:] |= stops | (symbols == 0x0A)
-        opens = opens[:n]
+        opens = clause_starts(symbols, at, stops)
         clause = np.cumsum(opens) - 1
         count = int(clause[-1]) + 1 if n else 0
         page = once.owner()[opens]
         mark = symbols == _MARK
         inside = covered_symbols(once)
-        unit_at, unit = units(symbols, at)
+        if not kept.all():
+            unit_at, unit = units(symbols, at)
         total = lambda by: np.bincount(clause, by, count)
         shown, is_unit = total(once.shown), np.zeros(n)
         is_unit[unit_at] = 1
@@ -350,37 +366,48 @@ class Clauses:
         pairs = [(total(once.shown * inside), shown), (total(is_unit * (length <= SHORT_RUN)), many), (total(is_unit * (length >= LONG_RUN)), many), (ended, one), (total(once.shown * mark), shown), (cased, one)]
         features = np.stack([one] + [x for a, b in pairs for x in (_ratio(a, b), near(a, b))], 1)
         weight = np.bincount((np.cumsum(kept) - 1)[source], every.shown, n) if n else np.zeros(0)
-        return Clauses(len(texts), page, total(weight), total(weight * mark), total(weight * inside), features, clause[unit_at], unit)
+        return Clauses(len(texts), page, total(weight), total(weight * mark), total(weight * inside), features, clause[unit_at], unit, once)
 
     def teach(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
         """(unit, pages whose sentences have it, pages whose lists have it, pages with sentences, pages with lists), by the first model."""
         score = self.features @ FIRST
+        unit, code = np.unique(self.unit, return_inverse=True)
         found, sizes = [], []
         for chosen in (score < -TEACHES, score > TEACHES):
             sizes.append(len(np.unique(self.page[chosen])))
             mine = chosen[self.unit_clause]
-            pairs = np.unique(np.stack([self.page[self.unit_clause[mine]], self.unit[mine]]), axis=1)
-            found.append(np.unique(pairs[1], return_counts=True))
-        unit = np.union1d(found[0][0], found[1][0])
-        counts = np.zeros((2, len(unit)), np.int64)
-        for i, (ids, n) in enumerate(found):
-            counts[i, np.searchsorted(unit, ids)] = n
-        return unit, counts[0], counts[1], sizes[0], sizes[1]
-
-    def glue(self, known: Learned) -> np.ndarray:
-        """Columns: a clause's mean weight, the same with its neighbours, and how far its units are known."""
-        count = len(self.page)
-        weight, sure = known.of(self.unit)
-        many = np.bincount(self.unit_clause, minlength=count).astype(float)
-        sums, sures = np.bincount(self.unit_clause, weight, count), np.bincount(self.unit_clause, sure, count)
-        wide = lambda x: _with_neighbours(x, self.page)
-        return np.stack([sums / np.maximum(many, 3), _ratio(wide(sums), wide(np.maximum(many, 3))), _ratio(wide(sures), wide(many))], 1)
-
-    def scores(self, known: Learned) -> np.ndarray:
-        """Above 0: a list. As far as the corpus doesn't know a clause's units, by coverage and form alone."""
-        glue = self.glue(known)
-        both = np.concatenate([self.features, glue[:, :2]], 1) @ SECOND
-        return glue[:, 2] * both + (1 - glue[:, 2]) * (self.features @ FIRST)
+            once = np.unique(self.page[self.unit_clause[mine]] * np.int64(len(unit) + 1) + code[mine])
+            found.append(np.bincount(once % (len(unit) + 1), minlength=len(unit)))
+        return unit, found[0], found[1], sizes[0], sizes[1]
+
+    def by_page(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.page, values, self.pages).astype(np.int64)
+
+
+def clause_starts(symbols: np.ndarray, at: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Whether a clause starts with the symbol: behind ends of sentences, lines and pages."""
+    opens = np.zeros(len(symbols) + 1, bool)
+    opens[at] = True
+    opens[1:] |= stops | (symbols == 0x0A)
+    return opens[:-1]
+
+
+def glue(page: np.ndarray, unit_clause: np.ndarray, unit: np.ndarray, known: Learned) -> np.ndarray:
+    """Columns: a clause's mean weight, the same with its neighbours, and how far its units are known."""
+    count = len(page)
+    weight, sure = known.of(unit)
+    many = np.bincount(unit_clause, minlength=count).astype(float)
+    sums, sures = np.bincount(unit_clause, weight, count), np.bincount(unit_clause, sure, count)
+    wide = lambda x: _with_neighbours(x, page)
+    return np.stack([sums / np.maximum(many, 3), _ratio(wide(sums), wide(np.maximum(many, 3))), _ratio(wide(sures), wide(many))], 1)
+
+
+def scores(by_form: np.ndarray, by_both: np.ndarray, learned: np.ndarray) -> np.ndarray:
+    """Above 0: a list. by_form: of the first model; by_both: of the second, without what ``learned`` adds.
+
+    As far as the corpus doesn't know a clause's units, coverage and form alone decide.
+    """
+    return learned[:, 2] * (by_both + learned[:, :2] @ SECOND[len(FEATURES) :]) + (1 - learned[:, 2]) * by_form
 
 
 def _with_neighbours(values: np.ndarray, page: np.ndarray) -> np.ndarray:
@@ -416,22 +443,56 @@ class Learned:
         return np.where(known, self.weight[at], 0.0), np.where(known, self.sure[at], 0.0)
 
 
-def learn(texts: DataFrame) -> Learned:
-    """Weights of the units of all texts (one column, text), by the pages whose sentences or lists have them.
+_CLAUSE = np.dtype([("by_form", "<f4"), ("by_both", "<f4"), ("shown", "<u4"), ("marked", "<u4")])
 
-    Each batch sends its counts by unit, which are added up in a shuffle. Units of at
-    least LEAST_SHARE of the pages come to the driver: at most a page's mean number of
-    different units, divided by that share, whatever the number of pages.
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """Rows (key, text) measured in one pass, which holds the automata, and kept in the shared folder.
+
+    A row of each page: key, once (its symbols without copies), clauses (an array of
+    _CLAUSE), visible, covered. A row of each batch and unit: unit, a and b, the pages of
+    the batch whose sentences and lists have it; one with a null unit counts the pages themselves.
     """
+    kind = dict(rows.dtypes)["key"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in chunks(whole, 0, BYTES):
-                unit, a, b, sentences, lists = Clauses.of(batch.column(0).fill_null("").to_pylist()).teach()
-                ids = pa.array(np.append(unit, 0), mask=np.append(np.zeros(len(unit), bool), True))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.append(a, sentences)), pa.array(np.append(b, lists))], ["unit", "a", "b"])
-
-    counts = cut(texts.mapInArrow(count, "unit bigint, a bigint, b bigint").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "units")
+            for batch in chunks(whole, 1, BYTES):
+                c = Clauses.of(batch.column(1).fill_null("").to_pylist())
+                unit, a, b, sentences, lists = c.teach()
+                extra = len(unit) + 1
+                form, both = c.features @ FIRST, c.features @ SECOND[: len(FEATURES)]
+                packed = np.empty(len(form), _CLAUSE)
+                packed["by_form"], packed["by_both"], packed["shown"], packed["marked"] = form, both, c.shown, c.marked
+                clause_at = np.searchsorted(c.page, np.arange(c.pages + 1)) * _CLAUSE.itemsize
+                blob = pa.Array.from_buffers(pa.large_binary(), c.pages, [None, pa.py_buffer(clause_at.astype(np.int64)), pa.py_buffer(packed.tobytes())])
+                none = lambda t: pa.nulls(extra, t)
+                counted = lambda x: pa.concat_arrays([pa.nulls(c.pages, pa.int64()), pa.array(x, pa.int64())])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([batch.column(0), none(batch.column(0).type)]),
+                        pa.concat_arrays([c.once.texts(), none(pa.string())]),
+                        pa.concat_arrays([blob.cast(pa.binary()), none(pa.binary())]),
+                        pa.concat_arrays([pa.array(c.by_page(c.shown)), none(pa.int64())]),
+                        pa.concat_arrays([pa.array(c.by_page(c.covered)), none(pa.int64())]),
+                        pa.concat_arrays([pa.nulls(c.pages, pa.int64()), pa.array(unit), pa.nulls(1, pa.int64())]),
+                        counted(np.append(a, sentences)),
+                        counted(np.append(b, lists)),
+                    ],
+                    ["key", "once", "clauses", "visible", "covered", "unit", "a", "b"],
+                )
+
+    return cut(rows.mapInArrow(measure, f"key {kind}, once string, clauses binary, visible bigint, covered bigint, unit bigint, a bigint, b bigint"), "pages")
+
+
+def learn(measured: DataFrame) -> Learned:
+    """Weights of the units of all pages, by the pages whose sentences or lists have them.
+
+    Each batch has sent its counts by unit, which are added up in a shuffle. Units of at
+    least LEAST_SHARE of the pages come to the driver: at most a page's mean number of
+    different units, divided by that share, whatever the number of pages.
+    """
+    counts = cut(measured.filter("once IS NULL").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "units")
     pages = counts.filter("unit IS NULL").collect()
     sentences, lists = (pages[0]["a"], pages[0]["b"]) if pages else (0, 0)
     rows = counts.filter(F.col("unit").isNotNull() & (F.col("a") + F.col("b") >= LEAST_SHARE * (sentences + lists))).toArrow()
@@ -444,22 +505,29 @@ def keyword_pages(df: DataFrame, *, key: str, text: str, share: float = 0.5) ->
     visible: visible characters; covered: those in maximal substrings that the page
     repeats, by its suffix automaton; listed: those of clauses that coverage and clause
     structure together make a list, and of links and tags anywhere. spam: more than
-    ``share`` of the visible characters are listed. Later copies of a whole passage with
-    sentence ends are judged as its first copy is, so that prose said twice stays prose.
+    ``share`` of the visible characters are listed. Later copies of a whole passage of
+    clauses are judged as its first copy is, so that prose said twice stays prose.
 
     Null, empty and blank texts have no visible character and are no spam; repeated
-    rows give a row each. Other columns are not read. The texts are read twice: for the
-    corpus's weights (a job of its own), and for the decision.
+    rows give a row each. Other columns are not read. The texts are read once, in a job
+    of its own that leaves what the decision needs in the shared folder.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    known = df.sparkSession.sparkContext.broadcast(learn(rows.select("text")))
+    measured = _measured(df.select(F.col(key).alias("key"), F.col(text).alias("text")))
+    known = df.sparkSession.sparkContext.broadcast(learn(measured))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in chunks(whole, 1, BYTES):
-                c = Clauses.of(batch.column(1).fill_null("").to_pylist())
-                listed = np.where(c.scores(known.value) > 0, c.shown, c.marked)
-                shown, inside, covered = (np.bincount(c.page, x, c.pages).astype(np.int64) for x in (c.shown, listed, c.covered))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shown), pa.array(inside), pa.array(covered), pa.array(inside > share * shown)], ["key", "visible", "listed", "covered", "spam"])
-
-    return rows.mapInArrow(judge, f"key {dict(rows.dtypes)['key']}, visible bigint, listed bigint, covered bigint, spam boolean").withColumnRenamed("key", key)
+            for batch in chunks(whole, 1, 4 * BYTES):
+                flat = FlatText(batch.column(1))
+                opens = clause_starts(flat.cps, flat.at, _sentence_ends(flat.cps, flat.at))
+                page, clause = flat.owner()[opens], np.cumsum(opens) - 1
+                packed = np.frombuffer(b"".join(batch.column(2).to_pylist()), _CLAUSE)
+                position, unit = units(flat.cps, flat.at)
+                learned = glue(page, clause[position], unit, known.value)
+                listed = np.where(scores(packed["by_form"], packed["by_both"], learned) > 0, packed["shown"], packed["marked"])
+                inside = np.bincount(page, listed, batch.num_rows).astype(np.int64)
+                spam = inside > share * batch.column(3).to_numpy()
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(inside), batch.column(4), pa.array(spam)], ["key", "visible", "listed", "covered", "spam"])
+
+    pages = measured.filter("once IS NOT NULL").select("key", "once", "clauses", "visible", "covered")
+    return pages.mapInArrow(judge, f"key {dict(pages.dtypes)['key']}, visible bigint, listed bigint, covered bigint, spam boolean").withColumnRenamed("key", key)
