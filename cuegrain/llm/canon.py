@@ -4,6 +4,10 @@ A character map takes width, kinds of space, invisible characters and the alphab
 look-alikes away; what remains, composition above all, is decided by an
 accent-sensitive Unicode collation in SQL, under which the mapped values are grouped.
 The least mapped value by code point stands for its class and is joined back.
+
+Which letters and signs of other alphabets look like those of ASCII is taken from the
+confusables data of Unicode (UTS #39), in the version of the ICU library among Spark's
+own jars (ICU 77.1, Unicode 16 with Spark 4.1).
 """
 
 from __future__ import annotations
@@ -11,27 +15,13 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Letters and signs of other alphabets and the ones they look like.
-LOOK_ALIKES = {
-    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳνοϲ": "ABEZHIKMNOPTYXCjvoc",
-    "АВЕКМНОРСТУХЅІЈԌԚԜѴ": "ABEKMHOPCTYXSIJGQWV",
-    "асеорухѕіјһԁԛԝѵ": "aceopyxsijhdqwv",
-    "ЁЇёї": "ËÏëï",
-    "ɡꞌ": "g'",
-    "‐‑‒−﹣": "-----",
-    "’‘ʼ＇′": "'''''",
-    "“”″": '"""',
-    "∶꞉": "::",
-    "⁄∕": "//",
-    "∣ǀ": "||",
-    "․": ".",
-    "‚": ",",
-    "·‧⋅∙・": "·····",
-    "∙●": "·●",
-}
+from ..session import cut
+
+# Look-alikes that the confusables data doesn't have.
+MISSING_LOOK_ALIKES = {"\u051a": "Q"}
 
 _SPACE, _BREAK = " ", "\n"
 
@@ -62,105 +52,166 @@ def _alone(ch: str) -> str:
         return _BREAK
     tag, _, rest = unicodedata.decomposition(ch).rpartition(">")
     parts = rest.split()
-    if tag in ("<wide", "<narrow", "<compat") and len(parts) == 1:
+    if tag in ("<wide", "<narrow", "<small", "<compat") and len(parts) == 1:
         return _alone(chr(int(parts[0], 16)))
     if not tag and len(parts) == 1:
         return _alone(chr(int(parts[0], 16)))
     return ch
 
 
+def _kind(ch: str) -> str:
+    """Upper, lower, caseless or modifier letter, decimal digit, sign; '' for what is never taken for a character of ASCII."""
+    category = unicodedata.category(ch)
+    if category[0] in "PS" or 0x01C0 <= ord(ch) <= 0x01C3:  # the click letters are bars and marks
+        return "sign"
+    return {"Lu": "upper", "Lt": "upper", "Ll": "lower", "Lo": "caseless", "Lm": "modifier", "Nd": "digit"}.get(category, "")
+
+
+def _assigned() -> list[str]:
+    gaps = (range(0x3400, 0xA000), range(0xAC00, 0xF900), range(0x17000, 0x18D00), range(0x20000, 0x2F800), range(0x2FA20, 0xE0000), range(0xE01F0, 0x110000))
+    skipped = {cp for gap in gaps for cp in gap}
+    return [chr(cp) for cp in range(0x21, 0x110000) if cp not in skipped and unicodedata.category(chr(cp)) not in ("Cn", "Co", "Cs")]
+
+
 @lru_cache(1)
-def look_map() -> dict[str, str]:
-    """Characters whose visible form is another character, or nothing; built from Unicode's data and the look-alikes."""
-    pairs = {a: b for froms, tos in LOOK_ALIKES.items() for a, b in zip(froms, tos) if a != b}
+def _alphabets() -> dict[str, str]:
+    """Letters and signs that are confusable with one of ASCII of the same kind, and that one.
+
+    Case and the difference of letters, digits and signs stay, though fonts blur them (l,
+    I, 1). The accented and other letters of Latin alphabets in use (U+00C0 to U+024F) are
+    themselves; so are characters that resemble none of ASCII.
+    """
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    checker = getattr(spark.sparkContext._jvm.com.ibm.icu.text, "SpoofChecker$Builder")().build()
+    chars = _assigned()
+    skeletons = dict(zip(chars, checker.getSkeleton("\n".join(chars)).split("\n"), strict=True))
+    ascii_of = {(skeletons[ch], _kind(ch)): ch for ch in map(chr, range(0x7E, 0x20, -1))}
     out = {}
-    for cp in range(0x80, 0x110000):
-        if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xF8FF or 0x3400 <= cp <= 0x9FFF or cp > 0xE01EF or 0x30000 <= cp < 0xE0000:
+    for ch in chars:
+        if ord(ch) < 0x80 or 0xC0 <= ord(ch) <= 0x24F and _kind(ch) != "sign":
+            continue
+        kind = _kind(ch)
+        kinds = {"": [], "caseless": ["lower"], "modifier": ["lower", "sign"], "upper": ["upper", "sign"], "lower": ["lower", "sign"]}.get(kind, [kind])
+        out.update({ch: ascii_of[skeletons[ch], k] for k in kinds[::-1] if (skeletons[ch], k) in ascii_of})
+    # Signs that resemble no sign of ASCII but each other stand for the middle dot.
+    dot = skeletons["\u00b7"]
+    out.update({ch: "\u00b7" for ch in chars if skeletons[ch] == dot and _kind(ch) == "sign" and ch != "\u00b7"})
+    return out | MISSING_LOOK_ALIKES
+
+
+@lru_cache(1)
+def look_map() -> dict[str, str]:
+    """Characters whose visible form is another text, or nothing, and that text.
+
+    A letter with marks goes by its letter, so that both compositions of it have one form.
+    """
+    alphabets, out = _alphabets(), {}
+    for ch in [*map(chr, range(0x80, 0xA1)), *_assigned()]:
+        if ord(ch) < 0x80:
             continue
-        ch = chr(cp)
         seen = _alone(ch)
-        seen = pairs.get(seen, seen)
+        seen = alphabets.get(seen, seen)
+        first, *marks = unicodedata.normalize("NFD", seen) or [""]
+        if marks and first in alphabets:
+            seen = unicodedata.normalize("NFC", alphabets[first] + "".join(marks))
         if seen != ch:
             out[ch] = seen
-    out.update({chr(cp): "" for cp in range(0x20) if chr(cp) not in "\t\n\r\x0b\x0c"})
+    out.update({chr(cp): "" for cp in (*range(0x20), 0x7F) if chr(cp) not in "\t\n\r\x0b\x0c"})
     out["\t"] = _SPACE
     return out
 
 
 @lru_cache(1)
 def base_map() -> dict[str, str]:
-    """The look map with accents taken off as well: equal for all texts of a class, and for some others."""
-    out = dict(look_map())
-    for cp in range(0x80, 0x30000):
-        if 0x3400 <= cp <= 0x9FFF or 0xD800 <= cp <= 0xF8FF:
-            continue
-        ch = chr(cp)
-        if cp in range(0xAC00, 0xD7A4) or 0x1100 <= cp <= 0x11FF:
-            out[ch] = ""
-            continue
-        if ch in out:
-            ch_seen = out[ch]
-        else:
-            ch_seen = ch
-        if ch_seen:
-            base = unicodedata.normalize("NFD", ch_seen)[0]
-            base = "" if unicodedata.combining(base) else look_map().get(base, base)
-            if base != ch:
-                out[ch] = base
+    """The look map with all marks taken off as well: equal for all texts of a class, and for some others.
+
+    A Hangul syllable goes by its first letter, since its parts may stand one by one.
+    """
+    out = {}
+    for ch in [*look_map(), *_assigned()]:
+        seen = look_map().get(ch, ch)
+        base = "".join(c for c in unicodedata.normalize("NFD", seen) if unicodedata.category(c)[0] != "M")
+        base = "".join(look_map().get(c, c) for c in base if not 0x1160 <= ord(c) <= 0x11FF)
+        if base != ch:
+            out[ch] = base
+    for cp in range(0xAC00, 0xD7A4):
+        out[chr(cp)] = unicodedata.normalize("NFD", chr(cp))[0]
     return out
 
 
 def translate_arguments(table: dict[str, str]) -> tuple[str, str]:
-    """from and to of SQL's translate: characters without a counterpart are deleted."""
-    kept = sorted(k for k, v in table.items() if v)
+    """from and to of SQL's translate: characters without a counterpart are deleted; those with a longer one are :func:`spelled`."""
+    kept = sorted(k for k, v in table.items() if len(v) == 1)
     gone = sorted(k for k, v in table.items() if not v)
     return "".join(kept + gone), "".join(table[k] for k in kept)
 
 
+def spelled(text: Column, table: dict[str, str]) -> Column:
+    """Text with the characters whose counterpart is longer than one written out; few texts have any."""
+    longer = {k: v for k, v in sorted(table.items()) if len(v) > 1}
+    if not longer:
+        return text
+    entries = F.map_from_arrays(F.array(*map(F.lit, longer)), F.array(*map(F.lit, longer.values())))
+    written = F.array_join(F.transform(F.split(text, ""), lambda ch: F.coalesce(entries[ch], ch)), "")
+    return F.when(text.rlike("[" + "".join(longer) + "]"), written).otherwise(text)
+
+
+def mapped(text: Column, table: dict[str, str]) -> Column:
+    """Text with all characters replaced by the table."""
+    return F.translate(spelled(text, table), *translate_arguments(table))
+
+
+def shows(text: Column) -> Column:
+    """Whether a text, which isn't null, has a visible character."""
+    unseen = sorted(k for k, v in look_map().items() if not v.strip())
+    return text.isNotNull() & text.rlike("[^\\s" + "".join(f"\\x{{{ord(ch):x}}}" for ch in unseen) + "]")
+
+
 _CLASSES = """
-WITH seen AS (
-  SELECT kind, key, entity, raw, translate(text, :look_from, :look_to) COLLATE UNICODE AS shape FROM {rows}),
-classes AS (
-  SELECT kind, entity, shape, min(CAST(shape AS STRING COLLATE UTF8_BINARY)) AS form
-  FROM seen GROUP BY kind, entity, shape)
-SELECT seen.kind, seen.key, seen.entity, seen.raw, classes.form
-FROM seen JOIN classes ON seen.kind = classes.kind AND seen.entity <=> classes.entity AND seen.shape = classes.shape
+WITH seen AS (SELECT raw, base, shape COLLATE UNICODE AS shape FROM {texts}),
+classes AS (SELECT shape, min(CAST(shape AS STRING COLLATE UTF8_BINARY)) AS form FROM seen GROUP BY shape)
+SELECT seen.raw, seen.base, classes.form FROM seen JOIN classes ON seen.shape = classes.shape
 """
 
 
-def one_form(rows: DataFrame, suspects_only: bool = False) -> DataFrame:
-    """(kind, key, entity, raw, form) of rows (kind, key, entity, text).
-
-    form is the least mapped text of all rows of the same kind and entity that look
-    the same; raw is a hash of the text as stored. Rows whose text is null or has no
-    visible character give no row; repeated rows give one. Null entities are one entity.
+def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, forms) of rows (kind, key, entity, text).
 
-    The collation, the expensive part, runs on the suspects alone: rows for which another
-    text of the kind and entity has the same letters once accents are off, which includes
-    every row that shares its form with a different text. suspects_only: no other rows.
+    records (kind, key, entity, raw, base): hashes of the text as stored, and of its letters
+    without marks, of rows with a visible character. forms (raw, base, form): of the
+    texts that share their letters with another text anywhere, which is where the
+    collation has anything to decide; it sees each such text once.
     """
     spark = rows.sparkSession
-    base_from, base_to = translate_arguments(base_map())
-    look_from, look_to = translate_arguments(look_map())
-    rows = rows.select("kind", "key", "entity", "text").filter("text IS NOT NULL")
-    rows = rows.withColumn("raw", F.xxhash64("text")).withColumn("_base", F.translate("text", base_from, base_to))
-    rows = rows.filter(F.col("_base").rlike(r"[^\s]")).withColumn("_base", F.xxhash64("_base"))
-    several = rows.groupBy("kind", "entity", "_base").agg(F.min("raw").alias("_lo"), F.max("raw").alias("_hi")).filter("_lo <> _hi")
-    same = (rows["kind"] == several["kind"]) & rows["entity"].eqNullSafe(several["entity"]) & (rows["_base"] == several["_base"])
-    columns = ["kind", "key", "entity", "raw"]
-    suspects = rows.join(several, same, "left_semi").dropDuplicates(columns)
-    formed = spark.sql(_CLASSES, args={"look_from": look_from, "look_to": look_to}, rows=suspects.select(*columns, "text"))
-    if suspects_only:
-        return formed
-    # Alone among its kind and entity, a text's class is its own mapped value.
-    alone = rows.join(several, same, "left_anti").select(*columns, F.translate("text", look_from, look_to).alias("form")).dropDuplicates(columns)
-    return formed.unionByName(alone)
+    raw, base = F.xxhash64("text"), mapped(F.col("text"), base_map())
+    records = cut(rows.filter(shows(F.col("text"))).select("kind", "key", "entity", raw.alias("raw"), F.xxhash64(base).alias("base")), "looks")
+    several = records.groupBy("base").agg(F.min("raw").alias("_lo"), F.max("raw").alias("_hi")).filter("_lo <> _hi").select("base")
+    suspects = records.select("raw", "base").distinct().join(several, "base", "left_semi")
+    texts = rows.select(F.col("text"), raw.alias("raw")).filter(shows(F.col("text"))).join(suspects, "raw").groupBy("raw", "base").agg(F.first("text").alias("text"))
+    texts = texts.select("raw", "base", mapped(F.col("text"), look_map()).alias("shape"))
+    return records, cut(spark.sql(_CLASSES, texts=texts), "forms")
+
+
+def one_form(rows: DataFrame) -> DataFrame:
+    """(kind, key, entity, form) of rows (kind, key, entity, text).
+
+    form is the least mapped text of all rows, of whatever kind and entity, that look the
+    same: two rows have equal forms exactly if their texts look the same. Rows whose text
+    is null or has no visible character give no row; repeated rows give one.
+    """
+    _, forms = _classes(rows)
+    text = F.col("text")
+    each = rows.filter(shows(text)).select("kind", "key", "entity", F.xxhash64("text").alias("raw"), mapped(text, look_map()).alias("own"))
+    # A text that shares its letters with no other is a class of its own.
+    found = each.join(forms.select("raw", "form"), "raw", "left")
+    return found.select("kind", "key", "entity", F.coalesce("form", "own").alias("form")).distinct()
 
 
 def look_alike_pairs(rows: DataFrame) -> DataFrame:
-    """(kind, key_a, key_b): two rows of one kind and entity that look the same but differ in their characters."""
-    forms = one_form(rows, suspects_only=True).select("kind", "entity", "key", "raw", F.xxhash64("form").alias("form"))
-    a = forms.select("kind", "entity", "form", F.col("key").alias("key_a"), F.col("raw").alias("raw_a"))
-    b = forms.select(F.col("kind").alias("k"), F.col("entity").alias("e"), F.col("form").alias("f"), F.col("key").alias("key_b"), F.col("raw").alias("raw_b"))
+    """(kind, key_a, key_b): two rows of one kind and entity that look the same but differ in their characters. Null entities match nothing."""
+    records, forms = _classes(rows)
+    looks = records.join(forms.select("raw", "base", F.xxhash64("form").alias("form")), ["raw", "base"]).select("kind", "entity", "form", "key", "raw").distinct()
+    a = looks.select("kind", "entity", "form", F.col("key").alias("key_a"), F.col("raw").alias("raw_a"))
+    b = looks.select(F.col("kind").alias("k"), F.col("entity").alias("e"), F.col("form").alias("f"), F.col("key").alias("key_b"), F.col("raw").alias("raw_b"))
     same = (a["kind"] == b["k"]) & (a["entity"] == b["e"]) & (a["form"] == b["f"])
     return a.join(b, same & (a["raw_a"] != b["raw_b"]) & (a["key_a"] < b["key_b"])).select("kind", "key_a", "key_b").distinct()

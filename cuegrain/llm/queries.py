@@ -9,7 +9,7 @@ from ..operators.grouping import connected_components
 from ..registry import Registry, load
 from ..session import cut
 from . import sql
-from .canon import look_alike_pairs, look_map, one_form, translate_arguments
+from .canon import look_alike_pairs, one_form
 from .lexicon import encode, token_sizes
 from .minmax import expand_pairs, near_duplicates
 from .nearest import nearest_in_time
@@ -43,13 +43,13 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.unionByName(slides)
 
 
-@REGISTRY.add("p4_found", sql.p4(*translate_arguments(look_map())))
+@REGISTRY.add("p4_found", sql.P4)
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of a video that look the same in other characters."""
     return look_alike_pairs(_texts(spark, sf_dir)).withColumnRenamed("kind", "rec_kind")
 
 
-@REGISTRY.add("p4_forms")
+@REGISTRY.add("p4_forms", sql.P4_FORMS)
 def p4_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in its one form."""
     return one_form(_texts(spark, sf_dir)).select(F.col("kind").alias("rec_kind"), "key", "form").distinct()

@@ -1,5 +1,9 @@
 """SQL twins of the queries that SQL can express on whole tables."""
 
+from __future__ import annotations
+
+import unicodedata
+
 P2 = """
 WITH b AS (SELECT DISTINCT boundary_id, video_id, t FROM golden_boundaries WHERE status = 'confirmed' AND t IS NOT NULL),
 s AS (SELECT DISTINCT segment_id, video_id, t_start FROM segments WHERE t_start IS NOT NULL),
@@ -59,13 +63,56 @@ SELECT DISTINCT segment_id FROM s JOIN c USING (segment_id) WHERE repeated / len
 """
 
 
-def p4(look_from: str, look_to: str) -> str:
-    """The look map of the operator with composition by NFC in place of the collation."""
-    quoted = ["'" + x.replace("'", "''") + "'" for x in (look_from, look_to)]
+# Letters and signs of other alphabets, and those they look like.
+_ALIKE = {
+    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳνοϲ": "ABEZHIKMNOPTYXCjvoc",
+    "АВЕКМНОРСТУХЅІЈԌԚԜѴ": "ABEKMHOPCTYXSIJGQWV",
+    "асеорухѕіјһԁԛԝѵ": "aceopyxsijhdqwv",
+    "ЁЇёї": "ËÏëï",
+    "ɡꞌ": "g'",
+    "‐‑‒−﹣": "-----",
+    "’‘ʼ＇′": "'''''",
+    "“”″": '"""',
+    "∶꞉": "::",
+    "⁄∕": "//",
+    "∣": "|",
+    "․": ".",
+    "‚": ",",
+    "‧⋅∙・•": "·····",
+}
+
+
+def _plain() -> dict[str, str]:
+    """Width, radicals, spaces and invisible characters by Unicode's compatibility forms, and the list above."""
+    out = {a: b for froms, tos in _ALIKE.items() for a, b in zip(froms, tos, strict=True)}
+    for cp in (0xB5, *range(0x2E80, 0x2FD6), *range(0xF900, 0xFB00), *range(0xFF01, 0xFFEF), 0x2126, 0x212A, 0x212B, *range(0x2F800, 0x2FA1E)):
+        seen = unicodedata.normalize("NFKC", chr(cp))
+        if len(seen) == 1:
+            out[chr(cp)] = out.get(seen, seen)
+    for ch in map(chr, [*range(0x7F, 0x3001), 0xFEFF, *range(0xFE00, 0xFE10)]):
+        kind = unicodedata.category(ch)
+        if kind in ("Zs", "Cf", "Cc") or 0xFE00 <= ord(ch) <= 0xFE0F:
+            out[ch] = " " if kind == "Zs" else ""
+    return {a: b for a, b in out.items() if a != b}
+
+
+def _looks() -> str:
+    table = _plain()
+    froms = sorted(table, key=lambda ch: not table[ch])
+    quoted = ["'" + "".join(x).replace("'", "''") + "'" for x in (froms, [table[ch] for ch in froms])]
     return f"""
 WITH a AS (SELECT DISTINCT 'segment' AS rec_kind, segment_id AS key, video_id, transcript_raw AS x FROM segments WHERE transcript_raw IS NOT NULL
   UNION SELECT 'slide', read_id, video_id, parsed.slide_text FROM slide_raw WHERE parsed.slide_text IS NOT NULL),
-f AS (SELECT *, nfc_normalize(translate(x, {quoted[0]}, {quoted[1]})) AS form FROM a)
+m AS (SELECT *, translate(x, {quoted[0]}, {quoted[1]}) AS mapped FROM a),
+f AS (SELECT *, nfc_normalize(mapped) AS form FROM m WHERE regexp_matches(mapped, '[^\\s]'))
+"""
+
+
+P4 = (
+    _looks()
+    + """
 SELECT DISTINCT l.rec_kind, l.key AS key_a, r.key AS key_b FROM f l JOIN f r ON l.rec_kind = r.rec_kind AND l.video_id = r.video_id AND l.form = r.form AND l.key < r.key AND l.x <> r.x
-WHERE regexp_matches(l.form, '[^\\s]')
 """
+)
+
+P4_FORMS = _looks() + "SELECT DISTINCT rec_kind, key, min(mapped) OVER (PARTITION BY form) AS form FROM f"

@@ -184,12 +184,17 @@ def test_min_max_signatures_estimate_similarity():
     assert shingle_sets(FlatText(pa.array(["ab", ""])), 3)[1].tolist() == [0, 0, 0]
 
 
-def test_look_map_keeps_what_counts():
+def test_look_map_keeps_what_counts(spark):
     m = look_map()
-    seen = {"Ａ": "A", "　": " ", "​": "", "а": "a", "⼼": "心", "更": "更", "µ": "μ", "ﾞ": "゙", " ": " ", "﻿": ""}
-    assert {k: m[k] for k in seen} == seen
-    assert not set("²①é简A\n") & set(m)
-    assert base_map()["é"] == "e" and base_map()["ガ"] == "カ" and base_map()["́"] == ""
+    seen = {"Ａ": "A", "\u3000": " ", "\u200b": "", "а": "a", "⼼": "心", "\uf901": "更", "µ": "μ", "ﾞ": "゙", "\u00a0": " ", "\ufeff": ""}
+    seen |= {"Ꭺ": "A", "օ": "o", "𝐀": "A", "ℓ": "l", "Ё": "Ë", "ό": "ó", "ὀ": "o\u0313", "″": '"', "՝": "'", "ʼ": "'", "٠": None, "۔": "-"}
+    assert {k: m.get(k) for k in seen} == seen
+    assert not set("²①é简A\nıøノー一口ロ〇IΩ") & set(m)
+    assert m["Ι"] == "I" and m["ⅼ"] == "l" and m["𝟏"] == "1"  # case and kind stay
+    base = base_map()
+    assert base["é"] == "e" and base["ガ"] == "カ" and base["\u0301"] == "" and base["ὀ"] == "o"
+    assert base["각"] == "ᄀ" == base["ㄱ"] and base["ᅡ"] == base["ᆨ"] == "" and "ᄀ" not in base  # syllables and their parts
+    assert base["\u09cb"] == base["\u09c7"] == base["\u09be"] == ""
 
 
 def test_vectorised_bisection():
