@@ -120,7 +120,7 @@ def test_scattered_records_are_gathered(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(incremental, "MAX_HOLDERS", 2)
     state = runs(spark, tmp_path, depth=1)
     for n in range(5):
-        state.run(numbered(spark, range(n), n=60), f"r{n}")
+        state.run(numbered(spark, [15 * i for i in range(n)], n=60), f"r{n}")
     assert [c.run for c in state.commits()].count("compaction") >= 1
     assert [len(took(state, f"r{n}")) for n in range(5)] == [60, 1, 1, 1, 1]
 
