@@ -66,7 +66,7 @@ def ordered_key(snapshot: DataFrame, key: list[str]) -> Column:
         if isinstance(kind, T.TimestampType):
             value, kind = F.unix_micros(value), T.LongType()
         if isinstance(kind, T.IntegralType):
-            value = F.lpad((value.cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")).cast("string"), 20, "0")
+            value = F.lpad((value.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0")
         parts.append(F.coalesce(F.concat(F.lit("\x01"), value.cast("string")), F.lit("\x00")))
     return F.concat_ws("\x00", *parts)
 
