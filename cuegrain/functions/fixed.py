@@ -8,8 +8,6 @@ MARKDOWN = [
     (r"(?m)^#{1,6}\s*", ""),
     (r"(?m)^\s*[-*+]\s+", ""),
 ]
-# Character references of captions; the ampersand comes last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 # Phrases that refer to something outside the text.
 REFERENTIAL = "如上圖 如下圖 上圖 下圖 前面提到 前述 上述 如前所述 這個式子 這張圖 剛才說的 以下 如右 如左".split()
 # Chinese digits, and units of which longer ones come first.
@@ -23,7 +21,7 @@ SYMBOLS = [
     r"[A-Za-z][₀-₉ₓᵧ]{1,3}",
     r"(?<![A-Za-z\d])[A-Za-z]_?\d{1,3}(?![\d.])",
 ]
-SUBSCRIPTS = str.maketrans("₀₁₂₃₄₅₆₇₈₉", "0123456789")
+SUBSCRIPTS = ("₀₁₂₃₄₅₆₇₈₉", "0123456789")
 # Stages and the stages that they need.
 STAGE_NEEDS = {
     "S0": [],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import html.entities
 import json
 import re
 
@@ -97,13 +98,41 @@ def cer(hypothesis: Column, reference: Column) -> Column:
     return F.when(F.length(reference) == 0, F.when(F.length(hypothesis) == 0, 0.0).otherwise(1.0)).otherwise(F.levenshtein(hypothesis, reference) / F.length(reference))
 
 
+def _numbered(piece: Column) -> Column:
+    """The character of a numbered reference behind its ampersand; null where there is none. The numbers of C1 stand for Windows-1252, as browsers read them."""
+    digits = F.regexp_extract(piece, r"^#([0-9]+|[xX][0-9A-Fa-f]+);?", 1)
+    hexadecimal = F.lower(digits.substr(1, 1)) == "x"
+    number = F.when(hexadecimal, F.conv(digits.substr(F.lit(2), F.length(digits)), 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("decimal(20,0)")
+    bad = (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    void = number.between(1, 8) | number.between(14, 31) | number.isin(11, 127) | number.between(0xFDD0, 0xFDEF) | (number % 65536 >= 0xFFFE)
+    # Four bytes of UTF-32 spell any code point.
+    char = F.decode(F.unhex(F.lpad(F.hex(number.cast("bigint")), 8, "0")), "UTF-32")
+    c1 = [chr(n) for n in range(0x80, 0xA0)]
+    char = F.translate(char, "".join(c1), "".join(bytes([ord(c)]).decode("cp1252", "ignore") or c for c in c1))
+    return F.when(digits != "", F.when(bad, "\ufffd").when(void, "").otherwise(char))
+
+
+def unescape(text: Column) -> Column:
+    """Character references by number and by name, each resolved once; names are those of the standard library's table, with their semicolon or, where it has them so, without."""
+    table = F.from_json(F.lit(json.dumps(html.entities.html5)), "map<string,string>")
+    bare = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+    def resolved(piece: Column) -> Column:
+        full, prefix = F.regexp_extract(piece, "^[^\t\n\f <&#;]{1,32};", 0), F.regexp_extract(piece, f"^(?:{'|'.join(bare)})", 0)
+        name = F.when(F.map_contains_key(table, full), full).otherwise(prefix)
+        rest = lambda taken: piece.substr(F.length(taken) + 1, F.length(piece))
+        number = F.concat(_numbered(piece), rest(F.regexp_extract(piece, r"^#(?:[0-9]+|[xX][0-9A-Fa-f]+);?", 0)))
+        return F.coalesce(number, F.when(name != "", F.concat(F.try_element_at(table, name), rest(name))), F.concat(F.lit("&"), piece))
+
+    # Every piece but the first begins behind an ampersand.
+    whole = lambda pieces: F.concat(pieces[0], F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), resolved), ""))
+    return F.when(F.contains(text, F.lit("&")), bind(F.split(text, "&", -1), whole)).otherwise(text)
+
+
 def clean_caption(text: Column) -> Column:
-    """A caption's text without tags and entities, white space as one blank."""
+    """A caption's text without tags and character references, white space as one blank."""
     text = F.trim(F.regexp_replace(text, "<[^>]+>", ""))
-    text = F.regexp_replace(text, r"(?U)\s+", " ")
-    for name, char in fixed.ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    return unescape(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
 def clock(seconds: Column) -> Column:
@@ -221,66 +250,157 @@ def status_code(message: Column) -> Column:
 # -- Arrow functions ---------------------------------------------------------------
 
 
-def _longest_common(a: str, b: str) -> int:
-    x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b))
-    if len(x) > len(y):
-        x, y = y, x
-    run, best = np.zeros(len(y) + 1, np.int32), 0
-    for ch in x:
-        run[1:] = np.where(y == ch, run[:-1] + 1, 0)
-        best = max(best, int(run.max(initial=0)))
-    return best
+def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points end to end, offsets, one more than texts)."""
+    cps = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    return cps, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
+def _starts(at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, position) of every window of ``size`` characters, by text."""
+    count = np.maximum(np.diff(at) - size + 1, 0)
+    text = np.repeat(np.arange(len(count)), count)
+    return text, np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count) + at[:-1][text]
+
+
+def longest_common(left: list[str], right: list[str]) -> np.ndarray:
+    """Length of the longest common substring of each pair.
+
+    All pairs halve their range of lengths together: the windows of a pair's present
+    length are compared by hashes, those of equal hash character by character.
+    """
+    pairs, odd = len(left), np.uint64(0x9E3779B97F4A7C15)
+    (a, a_at), (b, b_at) = _flat(left), _flat(right)
+    cps = np.concatenate([a, b])
+    powers = np.cumprod(np.full(len(cps) + 1, odd, np.uint64)) if len(cps) else np.ones(1, np.uint64)
+    mixed = (cps.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(31)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers[:-1])])
+    lo, hi = np.zeros(pairs, np.int64), np.minimum(np.diff(a_at), np.diff(b_at))
+    while (lo < hi).any():
+        size = (lo + hi + 1) >> 1
+        live = lo < hi
+        asked = np.where(live, size, len(cps) + 1)
+        sides = []
+        for at, base in ((a_at, 0), (b_at, len(a))):
+            pair, position = _starts(at, asked)
+            position = position + base
+            stop = position + size[pair]
+            hashed = (sums[stop] - sums[position]) * powers[len(cps) - position]
+            sides.append((pair, position, hashed ^ (pair.astype(np.uint64) * odd)))
+        (pa, wa, ha), (pb, wb, hb) = sides
+        order = np.argsort(hb)
+        at = np.searchsorted(hb[order], ha)
+        near = order[np.minimum(at, max(len(hb) - 1, 0))] if len(hb) else np.zeros(0, np.int64)
+        hit = np.flatnonzero((hb[near] == ha) & (pb[near] == pa)) if len(hb) else near
+        first = np.unique(pa[hit], return_index=True)[1] if len(hit) else hit
+        found = np.zeros(pairs, bool)
+        for i in hit[first]:
+            p = pa[i]
+            same = (cps[wa[i] : wa[i] + size[p]] == cps[wb[near[i]] : wb[near[i]] + size[p]]).all()
+            found[p] = same or a[a_at[p] : a_at[p + 1]].tobytes() != b"" and _holds(left[p], right[p], int(size[p]))
+        lo, hi = np.where(live & found, size, lo), np.where(live & ~found, size - 1, hi)
+    return lo
+
+
+def _holds(left: str, right: str, size: int) -> bool:
+    """Whether two texts have a substring of that length in common; asked where two different windows have one hash."""
+    seen = {left[i : i + size] for i in range(len(left) - size + 1)}
+    return any(right[i : i + size] in seen for i in range(len(right) - size + 1))
+
+
+#: Characters of a batch that the substring search holds at once; a longer pair is taken alone.
+PAIR_CHARS = 1 << 20
 
 
 @F.pandas_udf(DoubleType())
 def common_substring_ratio(candidate: pd.Series, source: pd.Series) -> pd.Series:
-    """Longest common substring by the candidate's length, white space removed; 0 if either is blank."""
-    out = []
-    for a, b in zip(candidate, source):
-        if a is None or b is None:
-            out.append(None)
-            continue
-        a, b = re.sub(r"\s+", "", a), re.sub(r"\s+", "", b)
-        out.append(_longest_common(a, b) / len(a) if a and b else 0.0)
-    return pd.Series(out, dtype="float64")
-
-
-def _symbols(text: str) -> list[str]:
-    found, left = set(), text
-    for pattern in fixed.SYMBOLS:  # what a pattern takes is blanked out for later ones
-        for hit in list(re.finditer(pattern, text)):
-            if "\0" not in left[hit.start() : hit.end()]:
-                left = left[: hit.start()] + "\0" * len(hit[0]) + left[hit.end() :]
-                found.add(hit[0].strip())
-    return sorted(found - {""})
-
-
-def _symbol_forms(symbol: str) -> set[str]:
-    plain = symbol.translate(fixed.SUBSCRIPTS)
-    forms = {symbol, plain, plain.replace("_", "")}
-    spoken = lambda digits: "".join(fixed.DIGIT_NAMES[int(d)] for d in digits)
-    if hit := re.fullmatch(r"(\d{1,3})[x×](\d{1,3})", re.sub(r"\s", "", plain)):
-        forms |= {p + by + q for p, q in (hit.groups(), tuple(map(spoken, hit.groups()))) for by in ("x", "×", "乘", "乘以")}
-    if hit := re.fullmatch(r"([A-Za-z])(\d{1,3})", plain):
-        forms |= {hit[1] + hit[2], hit[1] + spoken(hit[2])}
-    return {f.replace(" ", "") for f in forms} - {""}
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def symbol_entities(text: pd.Series) -> pd.Series:
-    """Sorted symbol-like entities (functions, sizes, subscripts); longer kinds claim their characters first."""
-    return text.map(_symbols, na_action="ignore")
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def unsupported_symbols(candidate: pd.Series, source: pd.Series) -> pd.Series:
-    """Sorted symbols of the candidate none of whose forms the source has."""
-    out = []
-    for a, b in zip(candidate, source):
-        plain = re.sub(r"\s+", "", b or "")
-        both = (plain, plain.translate(fixed.SUBSCRIPTS))
-        out.append(None if a is None else [s for s in _symbols(a) if not any(f in t for f in _symbol_forms(s) for t in both)])
-    return pd.Series(out, dtype=object)
+    """Longest common substring by the candidate's length, white space removed; 0 if either is blank, null if either is null."""
+    known = candidate.notna() & source.notna()
+    left, right = (x[known].str.replace(r"\s+", "", regex=True) for x in (candidate, source))
+    total = (left.str.len() + right.str.len()).cumsum()
+    found = [longest_common(l.tolist(), right[l.index].tolist()) for _, l in left.groupby(total // PAIR_CHARS)]
+    out = pd.Series(np.nan, candidate.index, dtype="float64")
+    out[known] = np.concatenate(found) / np.maximum(left.str.len(), 1) if found else 0.0
+    return out.astype(object).where(known, None)
+
+
+def _gram_keys(texts: list[str]) -> np.ndarray:
+    """Sorted distinct (text, bigram) as integers; a text of one character is its own gram."""
+    cps, at = _flat(texts)
+    gram = np.append(cps.astype(np.int64) << 21, 0)
+    text = np.repeat(np.arange(len(texts)), np.diff(at))
+    inside = np.append(text[1:] == text[:-1], False)[: len(cps)]
+    gram[:-1][inside] |= cps[1:][inside[: len(cps) - 1]]
+    alone = np.diff(at)[text] == 1
+    return np.unique((text << 42 | gram[:-1])[inside | alone])
+
+
+@F.pandas_udf(ArrayType(DoubleType()))
+def containments(candidate: pd.Series, first: pd.Series, second: pd.Series, third: pd.Series) -> pd.Series:
+    """The share of the candidate's bigrams that each of three sources has, all from one pass over the candidate's; 0 for a blank candidate or source, null for null."""
+    plain = lambda x: x.fillna("").str.replace(r"\s+", "", regex=True).tolist()
+    out = np.empty((len(candidate), 3), object)
+    step = 1 << 20  # texts that 21 bits can number
+    for start in range(0, len(candidate), step):
+        rows = slice(start, start + step)
+        mine = _gram_keys(plain(candidate[rows]))
+        count = len(candidate[rows])
+        total = np.maximum(np.bincount(mine >> 42, minlength=count), 1)
+        for i, source in enumerate((first, second, third)):
+            shared = np.intersect1d(mine, _gram_keys(plain(source[rows])), assume_unique=True)
+            out[rows, i] = np.bincount(shared >> 42, minlength=count) / total
+            out[rows, i][(candidate.isna() | source.isna())[rows].to_numpy()] = None
+    return pd.Series(list(out), candidate.index, dtype=object)
+
+
+def _every(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), 0)
+
+
+def symbol_entities(text: Column) -> Column:
+    """Sorted symbol-like entities (functions, sizes, subscripts); earlier kinds claim their characters.
+
+    What a kind has claimed is replaced by a mark for the kinds after it: one that later
+    patterns can't match, and that counts as a digit where it stood for one.
+    """
+    function, size, subscript, plain = fixed.SYMBOLS
+    beside = plain.replace(r"[A-Za-z\d]", r"[A-Za-z\d\x01]").replace(r"[\d.]", r"[\d.\x01]")
+
+    def rest(after_functions: Column) -> Column:
+        def later(after_sizes: Column) -> Column:
+            return F.concat(_every(after_sizes, subscript), _every(F.regexp_replace(after_sizes, subscript, "\x02"), beside))
+
+        return F.concat(_every(after_functions, size), bind(F.regexp_replace(after_functions, size, "\x01"), later))
+
+    found = F.concat(_every(text, function), bind(F.regexp_replace(text, function, "\x02"), rest))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.trim(x))))
+
+
+def _spoken(digits: Column) -> Column:
+    return F.translate(digits, "0123456789", fixed.DIGIT_NAMES)
+
+
+def symbol_forms(symbol: Column) -> Column:
+    """Ways of writing a symbol, without blanks: as it is, with plain digits, sizes said or multiplied, digits said."""
+    plain = F.translate(F.translate(symbol, fixed.SUBSCRIPTS[0], fixed.SUBSCRIPTS[1]), " ", "")
+    part = lambda pattern, i: F.regexp_extract(plain, pattern, i)
+    rows, cols = (part(r"^(\d{1,3})\s*[x×]\s*(\d{1,3})$", i) for i in (1, 2))
+    letter, number = (part(r"^([A-Za-z])(\d{1,3})$", i) for i in (1, 2))
+    # Words between the sides of a size, written and said.
+    sizes = [F.concat(rows, F.lit(by), cols) for by in ("x", "×", "乘", "乘以")] + [F.concat(_spoken(rows), F.lit(by), _spoken(cols)) for by in ("x", "乘", "乘以")]
+    none = F.array().cast("array<string>")
+    return F.concat(
+        F.array(F.translate(symbol, " ", ""), plain, F.translate(plain, "_", "")),
+        F.when(rows != "", F.array(*sizes)).otherwise(none),
+        F.when(letter != "", F.array(F.concat(letter, _spoken(number)))).otherwise(none),
+    )
+
+
+def unsupported_symbols(candidate: Column, source: Column) -> Column:
+    """Sorted symbols of the candidate none of whose forms the source has, with its own digits or plain ones; null for a null candidate."""
+    both = bind(strip_space(F.coalesce(source, F.lit(""))), lambda s: F.array(s, F.translate(s, fixed.SUBSCRIPTS[0], fixed.SUBSCRIPTS[1])))
+    return bind(both, lambda texts: F.filter(symbol_entities(candidate), lambda e: ~F.exists(symbol_forms(e), lambda f: F.contains(texts[0], f) | F.contains(texts[1], f))))
 
 
 def replace_unprotected(text: str, before: str, after: str) -> str:

@@ -87,7 +87,7 @@ def swap_sources(blocks: DataFrame, arms: dict[str, str]) -> DataFrame:
 
     out = None
     for arm, column in arms.items():
-        v = check_blocks(blocks.withColumn("transcript", F.col(column)).withColumn("slide_text", F.lit(None).cast("string")).withColumn("kind", F.lit("transcript")).withColumn("corrected", F.lit(None).cast("string")), copies=False)
+        v = check_blocks(blocks.withColumn("transcript", F.col(column)).withColumn("slide_text", F.lit(None).cast("string")).withColumn("kind", F.lit("transcript")).withColumn("corrected", F.lit(None).cast("string")))
         r = v.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("status") == VERIFIED).cast("int")), 9).alias("pass_rate")).select(F.lit(arm).alias("arm"), "type", "n", "pass_rate")
         out = r if out is None else out.unionByName(r)
     return out

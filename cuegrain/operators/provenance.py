@@ -38,33 +38,33 @@ def _source_ratio(text: Column, source: Column) -> Column:
     return F.when(T.strip_space(text) == "", 0.0).otherwise(F.length(T.strip_space(source)) / F.greatest(F.length(T.strip_space(text)), F.lit(1)))
 
 
-def check_blocks(blocks: DataFrame, copies: bool = True) -> DataFrame:
+def check_blocks(blocks: DataFrame) -> DataFrame:
     """Verdicts of blocks (video_id, segment_id, block_index, type, kind, text, slide_text, transcript, corrected).
 
     Adds source, similarity, copy_ratio, missing, status, reason, wrong_source (the
     segment's other source fits, and more than twice as well), depends_on_correction
-    (only the corrected transcript would pass) and fabricated_symbols. copies=False
-    leaves copy_ratio at 0, the one measure that needs Python.
+    (only the corrected transcript would pass) and fabricated_symbols. A block's bigrams
+    are built once for its comparison with all three texts.
 
     Null texts count as ''. Repeated rows keep a row each. Other columns are kept unless
     their names clash, in which case they are replaced.
     """
-    text, kind = F.coalesce("text", F.lit("")), F.col("type")
-    x = blocks.withColumn("text", text).withColumn("source", resolve_source(F.col("kind"), F.col("slide_text"), F.col("transcript")))
-    copy = T.common_substring_ratio(F.col("text"), F.col("source")) if copies else F.lit(0.0)
-    limit = by_type(kind, fixed.MIN_SIMILARITY_BY_TYPE, fixed.MIN_SIMILARITY)
-    x = x.withColumn("similarity", T.containment(F.col("text"), F.col("source"))).withColumn("copy_ratio", copy).withColumn("missing", T.unsupported_entities(F.col("text"), F.col("source")))
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    limit = by_type(F.col("type"), fixed.MIN_SIMILARITY_BY_TYPE, fixed.MIN_SIMILARITY)
+    other = blank(F.when(F.col("kind") == "slide_ocr", F.col("transcript")).otherwise(F.col("slide_text")))
+    x = blocks.withColumn("text", blank(F.col("text"))).withColumn("source", resolve_source(F.col("kind"), F.col("slide_text"), F.col("transcript")))
+    x = x.withColumn("_in", T.containments(F.col("text"), F.col("source"), other, blank(F.col("corrected"))))
+    x = x.withColumn("similarity", F.col("_in")[0]).withColumn("copy_ratio", T.common_substring_ratio(F.col("text"), F.col("source")))
+    x = x.withColumn("missing", T.unsupported_entities(F.col("text"), F.col("source")))
     status, reason = status_of(F.col("similarity"), limit, _source_ratio(F.col("text"), F.col("source")), F.col("missing"), F.col("copy_ratio"))
     x = x.withColumn("status", status).withColumn("reason", reason)
     failed = F.col("status") == UNVERIFIED
-    other = F.coalesce(F.when(F.col("kind") == "slide_ocr", F.col("transcript")).otherwise(F.col("slide_text")), F.lit(""))
-    x = x.withColumn("_other", F.when(failed & (T.strip_space(other) != ""), T.containment(F.col("text"), other)).otherwise(F.lit(None)))
-    x = x.withColumn("wrong_source", F.coalesce((F.col("_other") >= limit) & (F.col("_other") > 2 * F.col("similarity")), F.lit(False))).drop("_other")
-    corrected = F.coalesce("corrected", F.lit(""))
+    x = x.withColumn("wrong_source", failed & (T.strip_space(other) != "") & (F.col("_in")[1] >= limit) & (F.col("_in")[1] > 2 * F.col("similarity")))
+    corrected = blank(F.col("corrected"))
     retry = failed & (F.col("kind") == "transcript") & (T.strip_space(corrected) != "") & ~corrected.eqNullSafe(F.col("transcript"))
-    again = (_source_ratio(F.col("text"), corrected) >= fixed.MIN_SOURCE_RATIO) & (T.containment(F.col("text"), corrected) >= limit) & (F.size(T.unsupported_entities(F.col("text"), corrected)) == 0)
+    again = (_source_ratio(F.col("text"), corrected) >= fixed.MIN_SOURCE_RATIO) & (F.col("_in")[2] >= limit) & (F.size(T.unsupported_entities(F.col("text"), corrected)) == 0)
     x = x.withColumn("depends_on_correction", F.when(retry, again).otherwise(F.lit(False)))
-    return x.withColumn("fabricated_symbols", T.unsupported_symbols(F.col("text"), F.col("source"))) if copies else x
+    return x.withColumn("fabricated_symbols", T.unsupported_symbols(F.col("text"), F.col("source"))).drop("_in")
 
 
 def relax_copies(verdicts: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def relax_copies(verdicts: DataFrame) -> DataFrame:
 
 
 def video_verdicts(verdicts: DataFrame) -> DataFrame:
-    """Per video: total, unverified, ratio, pass rate, review mark (over 0.05), and causes of failure."""
+    """Per video: total, unverified, ratio, pass rate, review mark (over 0.05), causes of failure, and blocks with symbols that their source lacks."""
     bad = F.col("status") != VERIFIED
     ratio = F.count_if(bad) / F.count(F.lit(1))
     return verdicts.groupBy("video_id").agg(
@@ -88,6 +88,7 @@ def video_verdicts(verdicts: DataFrame) -> DataFrame:
         F.count_if(bad & F.col("wrong_source")).alias("wrong_source"),
         F.count_if(bad & F.col("depends_on_correction")).alias("depends_on_correction"),
         F.count_if(bad & ~F.col("wrong_source") & ~F.col("depends_on_correction")).alias("unresolved"),
+        F.count_if(F.size("fabricated_symbols") > 0).alias("with_symbols"),
     )
 
 

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import corrections as C
 from ..operators import pipelines as L
-from ..operators import provenance as P
 from ..operators import segmentation as S
 from ..operators import signals as Sg
 from ..operators import survey as V
 from ..registry import Registry, load
-from .pipeline import blocks
+from .pipeline import blocks, verdicts
 from .signals import series
 from .text import reads
 from .timeline import _DEPTHS, _ENDS, _SCORES, _TOPICS, cues, ends, marks
@@ -42,7 +41,7 @@ def detected_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.detect_slides(frames, length, entity="user_id", order="event_id", ink="ink")
 
 
-_ALPHAS = [-0.5, 0.0, 0.75, 1.5]
+_ALPHAS = [-0.5, 0.0, 0.5, 0.75, 1.0, 1.25, 1.5, 1.75, 2.0, 2.5]
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +209,7 @@ def debug_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report on each video's blocks."""
     url = load(spark, sf_dir, "videos").groupBy("video_id").agg(F.min("url").alias("url"))
     seg = load(spark, sf_dir, "segments").select("segment_id", "video_id", "t_start").distinct().join(url, "video_id")
-    return V.debug_report(seg, P.check_blocks(blocks(spark, sf_dir), copies=False), entity="video_id").select("video_id", F.length("markdown").alias("n_chars"), T.content_sha(F.col("markdown")).alias("sha"))
+    return V.debug_report(seg, verdicts(spark, sf_dir), entity="video_id").select("video_id", F.length("markdown").alias("n_chars"), T.content_sha(F.col("markdown")).alias("sha"))
 
 
 @REGISTRY.add(

@@ -23,53 +23,88 @@ REGISTRY = Registry()
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Derived blocks: descriptions of slides, the next segment of a video, and corrected transcripts."""
-    slides = reads(spark, sf_dir).filter("description IS NOT NULL").select("video_id", F.col("read_id").alias("segment_id"), F.lit(0).alias("block_index"), F.lit("圖表描述").alias("type"), F.lit("slide_ocr").alias("kind"), F.col("description").alias("text"), "slide_text", F.lit(None).cast("string").alias("transcript"), F.lit(None).cast("string").alias("corrected")).distinct()
-    seg = load(spark, sf_dir, "segments").select("segment_id", "video_id", "transcript_raw", "transcript_corrected").distinct()
-    after = F.lead("transcript_raw").over(W.partitionBy("video_id").orderBy("segment_id"))
-    said = seg.withColumn("_n", after).select("video_id", "segment_id", F.lit(1).alias("block_index"), F.lit("口頭延伸").alias("type"), F.lit("transcript").alias("kind"), F.col("_n").alias("text"), F.lit(None).cast("string").alias("slide_text"), F.col("transcript_raw").alias("transcript"), F.col("_n").alias("corrected")).filter("text IS NOT NULL")
-    own = seg.filter("transcript_corrected IS NOT NULL").select("video_id", "segment_id", F.lit(2).alias("block_index"), F.lit("白話解說").alias("type"), F.lit("transcript").alias("kind"), F.col("transcript_corrected").alias("text"), F.lit(None).cast("string").alias("slide_text"), F.col("transcript_raw").alias("transcript"), F.col("transcript_corrected").alias("corrected"))
+    """Derived blocks: descriptions of slides, the next segment of a video, and corrected transcripts.
+
+    Every block carries the slide's text and the transcript that belong to it, of which one is its source.
+    """
+    none = F.lit(None).cast("string")
+    part = lambda index, kind, source, text: (F.lit(index).alias("block_index"), F.lit(kind).alias("type"), F.lit(source).alias("kind"), F.col(text).alias("text"))
+    kept = reads(spark, sf_dir)
+    seg = load(spark, sf_dir, "segments").select("segment_id", "video_id", "slide_ref", "transcript_raw", "transcript_corrected").distinct()
+    shown = kept.groupBy("video_id", F.col("slide_id").alias("slide_ref")).agg(F.min("slide_text").alias("slide_text"))
+    said_at = seg.filter("slide_ref IS NOT NULL").groupBy("video_id", F.col("slide_ref").alias("slide_id")).agg(F.min("transcript_raw").alias("transcript"))
+    slides = kept.filter("description IS NOT NULL").join(said_at, ["video_id", "slide_id"], "left").select("video_id", F.col("read_id").alias("segment_id"), *part(0, "圖表描述", "slide_ocr", "description"), "slide_text", "transcript", none.alias("corrected")).distinct()
+    seg = seg.withColumn("_n", F.lead("transcript_raw").over(W.partitionBy("video_id").orderBy("segment_id"))).join(shown, ["video_id", "slide_ref"], "left")
+    said = seg.filter("_n IS NOT NULL").select("video_id", "segment_id", *part(1, "口頭延伸", "transcript", "_n"), "slide_text", F.col("transcript_raw").alias("transcript"), F.col("_n").alias("corrected"))
+    own = seg.filter("transcript_corrected IS NOT NULL").select("video_id", "segment_id", *part(2, "白話解說", "transcript", "transcript_corrected"), "slide_text", F.col("transcript_raw").alias("transcript"), F.col("transcript_corrected").alias("corrected"))
     return slides.unionByName(said).unionByName(own)
 
 
-_BLOCKS = """sg AS (SELECT DISTINCT segment_id, video_id, transcript_raw, transcript_corrected FROM segments),
-bl AS (SELECT DISTINCT video_id, read_id AS segment_id, 0 AS block_index, '圖表描述' AS type, parsed.description AS text, coalesce(parsed.slide_text, '') AS source, NULL AS corrected FROM slide_out WHERE parsed.description IS NOT NULL
-  UNION ALL SELECT * FROM (SELECT video_id, segment_id, 1, '口頭延伸', substr(lead(transcript_raw) OVER w, 1, 60) AS text, coalesce(transcript_raw, ''), lead(transcript_raw) OVER w FROM sg WINDOW w AS (PARTITION BY video_id ORDER BY segment_id)) WHERE text IS NOT NULL
-  UNION ALL SELECT video_id, segment_id, 2, '白話解說', transcript_corrected, coalesce(transcript_raw, ''), transcript_corrected FROM sg WHERE transcript_corrected IS NOT NULL)"""
+_BLOCKS = """sg AS (SELECT DISTINCT segment_id, video_id, slide_ref, transcript_raw, transcript_corrected FROM segments),
+so AS (SELECT DISTINCT video_id, slide_id, read_id, parsed.slide_text AS slide_text, parsed.description AS description FROM slide_out),
+sh AS (SELECT video_id, slide_id AS slide_ref, min(slide_text) AS slide_text FROM so GROUP BY ALL),
+sa AS (SELECT video_id, slide_ref AS slide_id, min(transcript_raw) AS transcript FROM sg WHERE slide_ref IS NOT NULL GROUP BY ALL),
+sn AS (SELECT *, lead(transcript_raw) OVER (PARTITION BY video_id ORDER BY segment_id) AS n FROM sg LEFT JOIN sh USING (video_id, slide_ref)),
+bl AS (SELECT DISTINCT video_id, read_id AS segment_id, 0 AS block_index, '圖表描述' AS type, description AS text, coalesce(slide_text, '') AS source, coalesce(transcript, '') AS other, NULL AS corrected FROM so LEFT JOIN sa USING (video_id, slide_id) WHERE description IS NOT NULL
+  UNION ALL SELECT video_id, segment_id, 1, '口頭延伸', n, coalesce(transcript_raw, ''), coalesce(slide_text, ''), n FROM sn WHERE n IS NOT NULL
+  UNION ALL SELECT video_id, segment_id, 2, '白話解說', transcript_corrected, coalesce(transcript_raw, ''), coalesce(slide_text, ''), transcript_corrected FROM sn WHERE transcript_corrected IS NOT NULL)"""
+
+_LIMIT = "CASE type WHEN '圖表描述' THEN 0.0 WHEN '口頭延伸' THEN 0.05 ELSE 0.10 END"
 
 
 def _gate(src: str, g: str) -> str:
-    limit = "CASE type WHEN '圖表描述' THEN 0.0 WHEN '口頭延伸' THEN 0.05 ELSE 0.10 END"
-    return f"CASE WHEN CASE WHEN x = '' THEN 0.0 ELSE length({src}) / greatest(length(x), 1) END < 0.15 THEN 'short_source' WHEN {sql_containment('gt', g)} < {limit} THEN 'unlike' WHEN len(list_filter(ent, lambda e: len(list_filter(coalesce({_FORMS}[e], [e]), lambda w: contains({src}, w))) = 0)) > 0 THEN 'entities' ELSE '' END"
+    return f"CASE WHEN CASE WHEN x = '' THEN 0.0 ELSE length({src}) / greatest(length(x), 1) END < 0.15 THEN 'short_source' WHEN {sql_containment('gt', g)} < {_LIMIT} THEN 'unlike' WHEN len(list_filter(ent, lambda e: len(list_filter(coalesce({_FORMS}[e], [e]), lambda w: contains({src}, w))) = 0)) > 0 THEN 'entities' ELSE '' END"
+
+
+def sql_longest_common(rows: str) -> str:
+    """CTEs that end in lc (k, n): the longest common substring of columns x and s of ``rows`` (k, x, s), from runs of equal characters along diagonals."""
+    return f"""pa AS (SELECT k, i, substr(x, i::INT, 1) AS ch FROM (SELECT k, x, unnest(range(1, length(x) + 1)) AS i FROM {rows})),
+pb AS (SELECT k, j, substr(s, j::INT, 1) AS ch FROM (SELECT k, s, unnest(range(1, length(s) + 1)) AS j FROM {rows})),
+rn AS (SELECT k, i - j AS d, i - row_number() OVER (PARTITION BY k, i - j ORDER BY i) AS g FROM pa JOIN pb USING (k, ch)),
+lc AS (SELECT k, max(n) AS n FROM (SELECT k, count(*) AS n FROM rn GROUP BY k, d, g) GROUP BY k)"""
+
+
+_GATES = f"""{_BLOCKS}, cl AS (SELECT *, row_number() OVER () AS k, {sql_strip('text')} AS x, {sql_strip('source')} AS s, {sql_strip('other')} AS o, {sql_strip("coalesce(corrected, '')")} AS c, {_SQL_ENTITIES.format(x='text')} AS ent FROM bl),
+{sql_longest_common('cl')},
+gr AS (SELECT *, {sql_grams('x')} AS gt, {sql_grams('s')} AS gs, {sql_grams('o')} AS go, {sql_grams('c')} AS gc, coalesce(n, 0) / greatest(length(x), 1) AS copied FROM cl LEFT JOIN lc USING (k)),
+ga AS (SELECT *, {_gate('s', 'gs')} AS gate FROM gr),
+vd AS (SELECT *, CASE WHEN gate = '' AND copied >= 0.98 THEN 'copy' ELSE gate END AS reason, gate <> '' AND block_index > 0 AND c <> '' AND corrected IS DISTINCT FROM source AND {_gate('c', 'gc')} = '' AS dep,
+  gate <> '' AND o <> '' AND {sql_containment('gt', 'go')} >= {_LIMIT} AND {sql_containment('gt', 'go')} > 2 * {sql_containment('gt', 'gs')} AS wrong FROM ga),
+rl AS (SELECT *, CASE WHEN reason = '' THEN 'verified' WHEN reason <> 'copy' THEN 'unverified' WHEN avg((reason = 'copy')::INT) OVER (PARTITION BY video_id, type) <= CASE type WHEN '圖表描述' THEN 0.5 ELSE 0.8 END THEN 'verified' ELSE 'degenerate_copy' END AS status FROM vd)"""
 
 
-_GATES = f"""{_BLOCKS}, cl AS (SELECT *, {sql_strip('text')} AS x, {sql_strip('source')} AS s, {sql_strip("coalesce(corrected, '')")} AS c, {_SQL_ENTITIES.format(x='text')} AS ent FROM bl),
-gr AS (SELECT *, {sql_grams('x')} AS gt, {sql_grams('s')} AS gs, {sql_grams('c')} AS gc FROM cl),
-ga AS (SELECT *, {_gate('s', 'gs')} AS reason FROM gr),
-vd AS (SELECT *, reason <> '' AND block_index > 0 AND c <> '' AND corrected IS DISTINCT FROM source AND {_gate('c', 'gc')} = '' AS dep FROM ga)"""
+def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the blocks, copies relaxed by type."""
+    return P.relax_copies(P.check_blocks(blocks(spark, sf_dir)))
 
 
-@REGISTRY.add("block_gates", f"WITH {_GATES} SELECT segment_id, block_index, round({sql_containment('gt', 'gs')}, 9) AS similarity, reason, CASE WHEN reason = '' THEN 'verified' ELSE 'unverified' END AS status, dep AS depends_on_correction FROM vd")
+@REGISTRY.add("block_gates", f"WITH {_GATES} SELECT segment_id, block_index, round({sql_containment('gt', 'gs')}, 9) AS similarity, reason, CASE reason WHEN '' THEN 'verified' WHEN 'copy' THEN 'degenerate_copy' ELSE 'unverified' END AS status, dep AS depends_on_correction FROM vd")
 def block_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts without the copy measure."""
-    v = P.check_blocks(blocks(spark, sf_dir), copies=False)
+    """The first gate that each block fails."""
+    v = P.check_blocks(blocks(spark, sf_dir))
     return v.select("segment_id", "block_index", F.round("similarity", 9).alias("similarity"), "reason", "status", "depends_on_correction")
 
 
-@REGISTRY.add("block_verdicts")
+@REGISTRY.add("block_verdicts", f"WITH {_GATES} SELECT segment_id, block_index, type, round({sql_containment('gt', 'gs')}, 9) AS similarity, round(copied, 9) AS copy_ratio, list_sort(list_distinct(list_filter(ent, lambda e: len(list_filter(coalesce({_FORMS}[e], [e]), lambda w: contains(s, w))) = 0))) AS missing, status, reason, wrong AS wrong_source, dep AS depends_on_correction FROM rl")
 def block_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full verdicts, copies relaxed by type."""
-    v = P.relax_copies(P.check_blocks(blocks(spark, sf_dir)))
-    return v.select("segment_id", "block_index", "type", F.round("similarity", 9).alias("similarity"), F.round("copy_ratio", 9).alias("copy_ratio"), "missing", "status", "reason", "wrong_source", "depends_on_correction", "fabricated_symbols")
+    return verdicts(spark, sf_dir).select("segment_id", "block_index", "type", F.round("similarity", 9).alias("similarity"), F.round("copy_ratio", 9).alias("copy_ratio"), "missing", "status", "reason", "wrong_source", "depends_on_correction")
 
 
-_VIDEO_VERDICTS = f"{_GATES}, vv AS (SELECT video_id, count(*) AS total, count(*) FILTER (reason <> '') AS bad, count(*) FILTER (reason <> '' AND dep) AS dep FROM vd GROUP BY video_id)"
+@REGISTRY.add("block_symbols")
+def block_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbols of blocks that their sources lack."""
+    v = verdicts(spark, sf_dir).filter(F.size("fabricated_symbols") > 0)
+    return v.select("segment_id", "block_index", "fabricated_symbols")
 
 
-@REGISTRY.add("video_verdicts", f"WITH {_VIDEO_VERDICTS} SELECT video_id, total, bad AS unverified, round(bad / total, 9) AS ratio, round(1 - bad / total, 9) AS pass_rate, bad / total > 0.05 AS needs_review, 0 AS wrong_source, dep AS depends_on_correction, bad - dep AS unresolved FROM vv")
+_VIDEO_VERDICTS = f"{_GATES}, vv AS (SELECT video_id, count(*) AS total, count(*) FILTER (status <> 'verified') AS bad, count(*) FILTER (status <> 'verified' AND wrong) AS wrong, count(*) FILTER (status <> 'verified' AND dep) AS dep, count(*) FILTER (status <> 'verified' AND NOT dep AND NOT wrong) AS rest FROM rl GROUP BY video_id)"
+
+
+@REGISTRY.add("video_verdicts", f"WITH {_VIDEO_VERDICTS} SELECT video_id, total, bad AS unverified, round(bad / total, 9) AS ratio, round(1 - bad / total, 9) AS pass_rate, bad / total > 0.05 AS needs_review, wrong AS wrong_source, dep AS depends_on_correction, rest AS unresolved FROM vv")
 def video_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per video, of the gates."""
-    return P.video_verdicts(P.check_blocks(blocks(spark, sf_dir), copies=False).withColumn("wrong_source", F.lit(False)))
+    """Per video; the count of symbols, which SQL can't find, is that of block_symbols."""
+    return P.video_verdicts(verdicts(spark, sf_dir)).drop("with_symbols")
 
 
 @REGISTRY.add("overall_rate", f"WITH {_VIDEO_VERDICTS} SELECT sum(total) AS total, sum(bad) AS unverified, round(sum(total - bad) / sum(total), 9) AS pass_rate FROM vv")
@@ -91,13 +126,13 @@ def content_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.add(
     "chunks",
-    f"""WITH {_GATES}, pl AS (SELECT segment_id, block_index, type, {sql_markdown('text')} AS p FROM vd WHERE reason = ''), pc AS (SELECT segment_id, block_index, type, {sql_split_long('p', 800)} AS p FROM pl WHERE p <> ''),
+    f"""WITH {_GATES}, pl AS (SELECT segment_id, block_index, type, {sql_markdown('text')} AS p FROM rl WHERE status = 'verified'), pc AS (SELECT segment_id, block_index, type, {sql_split_long('p', 800)} AS p FROM pl WHERE p <> ''),
     un AS (SELECT segment_id, block_index, type, unnest(p) AS x, generate_subscripts(p, 1) - 1 AS k FROM pc)
     SELECT segment_id || printf('#b%02d', block_index) || CASE WHEN k > 0 THEN '-' || k ELSE '' END AS chunk_id, segment_id, type, length(x) AS n_chars, substr(sha256(x), 1, 16) AS content_sha, list_sort(list_distinct(regexp_extract_all(x, '({'|'.join(fixed.REFERENTIAL)})'))) AS referential FROM un""",
 )
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of the blocks that pass the gates."""
-    c = P.build_chunks(P.check_blocks(blocks(spark, sf_dir), copies=False))
+    c = P.build_chunks(verdicts(spark, sf_dir))
     return c.select("chunk_id", "segment_id", "type", F.length("text").alias("n_chars"), "content_sha", "referential")
 
 
@@ -291,11 +326,16 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@REGISTRY.add("chunk_violations", "SELECT 'x' AS rule, 'x' AS entity, 'x' AS detail WHERE false")
+@REGISTRY.add(
+    "chunk_violations",
+    """WITH d AS (SELECT DISTINCT doc_id::VARCHAR AS chunk_id, video_id, lang, text, substr(sha256(CASE WHEN doc_id % 5 = 0 THEN coalesce(text, '') || '!' ELSE text END), 1, 16) AS sha FROM documents)
+    SELECT 'incomplete' AS rule, video_id AS entity, chunk_id AS detail FROM d WHERE video_id IS NULL OR lang IS NULL OR text IS NULL UNION ALL SELECT 'hash', video_id, chunk_id FROM d WHERE sha IS DISTINCT FROM substr(sha256(text), 1, 16)""",
+)
 def chunk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """None: chunks are complete and carry their text's hash."""
-    c = P.build_chunks(P.check_blocks(blocks(spark, sf_dir), copies=False))
-    return V.complete_chunks(c, required=["chunk_id", "video_id", "segment_id", "type", "text", "content_sha"])
+    """Documents as chunks: fields that lack, and hashes (of every fifth) that aren't the text's."""
+    d = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "video_id", "lang", "text", "doc_id").distinct()
+    d = d.withColumn("content_sha", T.content_sha(F.when(F.col("doc_id") % 5 == 0, F.concat(F.coalesce("text", F.lit("")), F.lit("!"))).otherwise(F.col("text"))))
+    return V.complete_chunks(d.drop("doc_id"), required=["video_id", "lang", "text"])
 
 
 # -- sources ----------------------------------------------------------------------------

@@ -29,11 +29,5 @@ class Registry:
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table of the data folder.
-
-    A table of fewer files' parts than half the cores is dealt to all of them; filters and
-    columns are still taken at the scan. Larger tables, which have parts enough, are read as they lie.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+    """A table of the data folder, read as it lies."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")

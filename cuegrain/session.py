@@ -31,13 +31,16 @@ def local_session(cpus: int = 8, memory: str = "8g", partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the setting is absent (tests, one machine) a temporary folder is set on
-    the context once and used from then on.
+    Where the setting is absent and the session runs on this machine alone (tests), a
+    temporary folder is set on the context once and used from then on. On a cluster that
+    folder would be another one on every machine, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         known = spark.sparkContext.getCheckpointDir()
         if known is None:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cuegrain-"))
             known = spark.sparkContext.getCheckpointDir()
         named = known

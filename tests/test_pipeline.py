@@ -49,8 +49,8 @@ def test_verdicts(spark):
 
 def test_blocks_hold_whole_transcripts(spark, tmp_path):
     said = ["脈" * 30 + "絡" * 40 + "。", "".join(chr(0x4E00 + i % 700) + "。" * (i % 50 == 49) for i in range(1900)), None, "", "短"]
-    seg = [(f"v#{i}", "v", x, None) for i, x in enumerate(said)]
-    spark.createDataFrame(seg, "segment_id string, video_id string, transcript_raw string, transcript_corrected string").write.parquet(f"{tmp_path}/segments.parquet")
+    seg = [(f"v#{i}", "v", None, x, None) for i, x in enumerate(said)]
+    spark.createDataFrame(seg, "segment_id string, video_id string, slide_ref string, transcript_raw string, transcript_corrected string").write.parquet(f"{tmp_path}/segments.parquet")
     spark.createDataFrame([], "read_id string, video_id string, slide_id string, parsed struct<slide_text: string, description: string>").write.parquet(f"{tmp_path}/slide_out.parquet")
     b = {r["segment_id"]: r["text"] for r in Q.blocks(spark, str(tmp_path)).collect()}
     assert b == {f"v#{i}": said[i + 1] for i in (0, 2, 3)}

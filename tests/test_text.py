@@ -42,12 +42,22 @@ def test_entities_and_symbols(spark):
     assert u("兩組靜脈，分為兩種", "2 組靜脈") == [] and u("《甲》七成", "甲") == ["七"]
     assert one(spark, T.symbol_entities(F.col("a")), a="Rz(φ) 是 4x4，R₁₁ 與 T_2") == ["4x4", "Rz(φ)", "R₁₁", "T_2"]
     s = lambda a, b: one(spark, T.unsupported_symbols(F.col("a"), F.col("b")), a=a, b=b)
+    many = lambda a: one(spark, T.symbol_entities(F.col("a")), a=a)
+    assert many("f(x1) ab(x_1, 3x4) 12 × 3y_2 a1. b2") == ["12 × 3", "ab(x_1, 3x4)", "b2", "x1"] and many("") == []
+    assert s("nₓ x₂₃", "n x23") == ["nₓ"] and s("3 x 12", "三乘以一二") == [] and s("3×4", "三×四") == ["3×4"] and s("T_2", "T2") == []
     assert s("4x4 的 R11", "四乘四的 R 一一") == [] and s("4x4", "三乘三") == ["4x4"]
 
 
 def test_similarities(spark):
     r = lambda a, b: one(spark, T.common_substring_ratio(F.col("a"), F.col("b")), a=a, b=b)
     assert r("甲乙丙", "x甲乙丙x") == 1.0 and r("甲乙丙丁", "丙丁甲乙") == 0.5 and r("", "甲") == 0.0
+    plain = lambda a, b: max((n for n in range(1, len(a) + 1) for i in range(len(a) - n + 1) if a[i : i + n] in b), default=0)
+    import random
+
+    rng = random.Random(1)
+    texts = [("".join(rng.choice("甲乙丙") for _ in range(rng.randrange(30))), "".join(rng.choice("甲乙丙") for _ in range(rng.randrange(30)))) for _ in range(200)]
+    assert T.longest_common(*map(list, zip(*texts))).tolist() == [plain(a, b) for a, b in texts]
+    assert T.longest_common([], []).tolist() == [] and T.longest_common(["a" * 30_000], ["a" * 20_000 + "b"]).tolist() == [20_000]
     c = lambda a, b: one(spark, T.cer(F.col("a"), F.col("b")), a=a, b=b)
     assert c("", "") == 0.0 and c("甲", "") == 1.0 and c("意地論", "瑜伽師地論") == pytest.approx(3 / 5)
     t = lambda a, b, **k: one(spark, T.token_similarity(F.col("a"), F.col("b"), **k), a=a, b=b)
@@ -67,6 +77,10 @@ def test_corrections(spark):
 def test_small_functions(spark):
     assert one(spark, T.referential_phrases(F.col("a")), a="這張圖所說的，如上圖，這張圖") == ["如上圖", "這張圖"]
     assert one(spark, T.clean_caption(F.col("a")), a=" <c>a</c>  &lt;b&gt; &amp;amp; ") == "a <b> &amp;"
+    import html
+
+    for text in ("a &amp;lt; b &#60;&#x3C;&#x1F600;&#128; &hellip;&ampx; &notit; &copy &nosuch; & &; &#; &#0; &#xD800; &#1;&#99999999999;&NotEqualTilde;", "", "plain", "&&amp;&"):
+        assert one(spark, T.unescape(F.col("a")), a=text) == html.unescape(text)
     assert one(spark, T.clock(F.lit(3725.9))) == "01:02:05" and one(spark, T.clock_seconds(F.lit("01:02:03.500"))) == 3723.5
     assert one(spark, T.quota_limit(F.col("a")), a="PerDay 'quotaValue': '20'") == 20 and one(spark, T.quota_limit(F.col("a")), a="limit: 5") is None
     assert one(spark, T.status_code(F.col("a")), a="429 too many") == 429 and one(spark, T.status_code(F.col("a")), a="{'code': 503}") == 503
