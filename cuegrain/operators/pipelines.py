@@ -43,25 +43,23 @@ def align_segments(cues: DataFrame, ends: DataFrame, slides: DataFrame, *, entit
 
 
 def detect_slides(frames: DataFrame, ends: DataFrame, *, entity: str, order: str, ink: str, fps: float = 1.0, stay: float = 0.97, least_change: float = 0.01, contained: float = 0.70, least_seconds: float = 3.0) -> DataFrame:
-    """Slides (entity, section, t_start, t_end, keyframe_t) of frames (entity, order, ink: array of set marks).
+    """Slides (entity, section, slide_id, t_start, t_end, keyframe_t, progressive) of frames (entity, order, ink: array of set marks).
 
-    Distances of consecutive ink sets, change points, progressive merging of the
+    Distances of consecutive ink sets, change points, progressive merging by the
     sections' key frames, short sections absorbed, times at frame middles clipped to [0, duration].
+    progressive: the slide was built up in several sections.
     """
     from .grouping import jaccard_distance
 
     by = W.partitionBy(entity).orderBy(order)
     d = frames.withColumn("d", F.coalesce(jaccard_distance(F.col(ink), F.lag(ink).over(by)), F.lit(0.0))).withColumn("size", F.size(ink))
     rows = Sg.sections(d, Sg.viterbi_changes(d, entity=entity, order=order, distance="d", stay=stay, least=least_change), entity=entity, order=order)
-    keys = Sg.keyframes(d, rows, entity=entity, order=order, ink="size")
-    at = frames.select(entity, (F.row_number().over(by) - 1).alias("keyframe"), ink)
-    kept = rows.join(keys, [entity, "section"]).join(at, [entity, "keyframe"])
-    merged = Sg.merge_progressive(kept, entity=entity, order="section", ink=ink, ratio=contained)
-    spans = rows.join(merged, entity).filter(F.col("section").between(F.col("first"), F.col("last"))).groupBy(entity, "first").agg(F.min("start").alias("start"), F.max("end").alias("end")).select(entity, "start", "end")
+    spans = Sg.merge_sections(rows, frames, entity=entity, order=order, ink=ink, ratio=contained)
     long = Sg.drop_short(spans, entity=entity, least=max(1, round(least_seconds * fps)))
-    out = long.join(Sg.keyframes(d, long, entity=entity, order=order, ink="size"), [entity, "section"]).join(ends, entity)
+    built = long.select(entity, "section", F.col("start").alias("_a"), F.col("end").alias("_b")).join(spans, entity).filter((F.col("start") >= F.col("_a")) & (F.col("end") <= F.col("_b"))).groupBy(entity, "section").agg(F.max("builds").alias("_builds"))
+    out = long.join(built, [entity, "section"]).join(Sg.keyframes(d, long, entity=entity, order=order, ink="size"), [entity, "section"]).join(ends, entity)
     clip = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.col("duration"))
-    return out.select(entity, "section", clip(F.col("start") / fps).alias("t_start"), clip(F.col("end") / fps).alias("t_end"), clip((F.col("keyframe") + 0.5) / fps).alias("keyframe_t"))
+    return out.select(entity, "section", F.format_string("slide_%03d", F.col("section").cast("int")).alias("slide_id"), clip(F.col("start") / fps).alias("t_start"), clip(F.col("end") / fps).alias("t_end"), clip((F.col("keyframe") + 0.5) / fps).alias("keyframe_t"), (F.col("_builds") > 1).alias("progressive"))
 
 
 def alpha_sweep(scores: DataFrame, alphas: list[float], *, entity: str) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Path costs nearer than this are ties, whatever the order in which they were summed.
+TIE = 1e-9
 #: A longer series is an error, not a cut.
 MAX_SERIES = 10_000_000
 
@@ -39,9 +41,9 @@ def change_points(d: np.ndarray, stay: float = 0.97, least: float = 0.01, bulk:
     from_change = np.zeros(n, bool)
     a, b = same[0], leave
     for t in range(1, n):
-        from_change[t] = b > a + keep
+        from_change[t] = b > a + keep + TIE
         a, b = max(a + keep, b) + same[t], a + leave
-    out, change = [], b > a
+    out, change = [], b > a + TIE
     for t in range(n - 1, -1, -1):
         if change:
             out.append(t)
@@ -97,9 +99,9 @@ def keyframes(series: DataFrame, rows: DataFrame, *, entity: str, order: str, in
 
 
 def merge_progressive(rows: DataFrame, *, entity: str, order: str, ink: str, ratio: float = 0.70) -> DataFrame:
-    """(entity, first, last, n): runs of rows in which each holds at least ``ratio`` of the ink set kept so far.
+    """(entity, first, last, n): runs of rows in which each holds at least ``ratio`` of the ink set that stands for the run.
 
-    After a merge the later set stands for the run. An empty set is held by any.
+    The set of most ink stands for a run, the first on ties. An empty set is held by any.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -110,15 +112,52 @@ def merge_progressive(rows: DataFrame, *, entity: str, order: str, ink: str, rat
             marks = set(marks if marks is not None else [])
             if out and (not held or len(held & marks) / len(held) >= ratio):
                 out[-1][1], out[-1][2] = o, out[-1][2] + 1
+                held = marks if len(marks) > len(held) else held
             else:
                 out.append([o, o, 1])
-            held = marks
+                held = marks
         return pd.DataFrame({entity: frame[entity].iloc[0], "first": [x[0] for x in out], "last": [x[1] for x in out], "n": [x[2] for x in out]})
 
     kinds = dict(rows.dtypes)
     return _by_series(rows, entity, [order, ink], run, f"{entity} {kinds[entity]}, first {kinds[order]}, last {kinds[order]}, n int")
 
 
+def key_position(sizes: np.ndarray, start: int, end: int) -> int:
+    """The position that stands for [start, end): of the most ink two rows inside, the first on ties; the middle of a span under five rows."""
+    if end - start < 5:
+        return (start + end) // 2
+    return start + 2 + int(np.argmax(sizes[start + 2 : end - 2]))
+
+
+def merge_sections(rows: DataFrame, series: DataFrame, *, entity: str, order: str, ink: str, ratio: float = 0.70) -> DataFrame:
+    """(entity, start, end, builds): sections (entity, section, start, end) of a series of ink sets, progressive ones merged.
+
+    A section joins the one before if its key row holds at least ``ratio`` of that one's key ink.
+    A merged section's key row is found anew over its whole span. An empty set is held by any.
+    """
+    joined = series.select(F.col(entity).alias("_e"), order, ink)
+    kinds = dict(rows.dtypes)
+
+    def run(sections_: pd.DataFrame, frames: pd.DataFrame) -> pd.DataFrame:
+        if len(frames) > MAX_SERIES:
+            raise ValueError(f"a series has more than {MAX_SERIES} rows")
+        frames = frames.sort_values(order)
+        marks = frames[ink].to_numpy()
+        sizes = np.array([0 if m is None else len(m) for m in marks], np.int64)
+        at = lambda span: set(marks[key_position(sizes, *span)]) if sizes[key_position(sizes, *span)] else set()
+        out: list[list] = []
+        for start, end in sorted(zip(sections_["start"], sections_["end"])):
+            held = at(out[-1][:2]) if out else set()
+            if out and (not held or len(held & at((start, end))) / len(held) >= ratio):
+                out[-1][1], out[-1][2] = end, out[-1][2] + 1
+            else:
+                out.append([start, end, 1])
+        return pd.DataFrame(out, columns=["start", "end", "builds"]).assign(**{entity: sections_[entity].iloc[0]})[[entity, "start", "end", "builds"]] if out else pd.DataFrame({entity: [], "start": [], "end": [], "builds": []})
+
+    left = rows.select(entity, "start", "end").groupBy(entity)
+    return left.cogroup(joined.groupBy("_e")).applyInPandas(run, f"{entity} {kinds[entity]}, start int, end int, builds int")
+
+
 def peaks(df: DataFrame, *, entity: str, order: str, value: str, threshold: Column) -> DataFrame:
     """(entity, order): the greatest row of each run at or above the threshold, the first on ties; an entity's first row starts none."""
     by = W.partitionBy(entity).orderBy(order)

@@ -14,7 +14,7 @@ from ..operators import signals as Sg
 from ..operators import survey as V
 from ..registry import Registry, load
 from .pipeline import blocks, verdicts
-from .signals import series
+from .signals import series, sql_viterbi
 from .text import reads
 from .timeline import _DEPTHS, _ENDS, _SCORES, _TOPICS, cues, ends, marks
 
@@ -33,10 +33,33 @@ def aligned_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("segment_id", "t_start", "t_end", "mode", "slide_id", F.size("cues").alias("n_cues"), F.length("transcript").alias("n_chars"), "boundary_method")
 
 
-@REGISTRY.add("detected_slides")
+_FRAMES = """h AS (SELECT user_id, event_id, value, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 6 AS held FROM events WHERE value IS NOT NULL),
+v AS (SELECT user_id, event_id, floor(least(first_value(value) OVER (PARTITION BY user_id, held ORDER BY event_id), 300.0) / 10) + 1 AS size FROM h),
+fr AS (SELECT user_id, row_number() OVER o - 1 AS i, size, coalesce(1 - least(size, lag(size) OVER o) / greatest(size, lag(size) OVER o), 0.0) AS d FROM v WINDOW o AS (PARTITION BY user_id ORDER BY event_id))"""
+# Ink sets of the query are nested, so that a set is its size.
+_MERGED = """se AS (SELECT user_id, i, sum(CASE WHEN c > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY i) AS section FROM (SELECT fr.*, ch.i AS c FROM fr LEFT JOIN ch USING (user_id, i))),
+sx AS (SELECT user_id, section, min(i) AS a, max(i) + 1 AS b FROM se GROUP BY ALL),
+ks AS (SELECT l.user_id, l.a, r.b, max(size) FILTER (CASE WHEN r.b - l.a < 5 THEN i = (l.a + r.b) // 2 ELSE i >= l.a + 2 AND i < r.b - 2 END) AS ink FROM sx l JOIN sx r ON r.user_id = l.user_id AND r.b > l.a JOIN fr ON fr.user_id = l.user_id AND i >= l.a AND i < r.b GROUP BY l.user_id, l.a, r.b),
+mg AS (SELECT user_id, section, a AS start, a, b, 1 AS builds FROM sx WHERE section = 0
+  UNION ALL SELECT x.user_id, x.section, CASE WHEN least(h.ink, k.ink) / h.ink >= 0.7 THEN m.start ELSE x.a END, x.a, x.b, CASE WHEN least(h.ink, k.ink) / h.ink >= 0.7 THEN m.builds + 1 ELSE 1 END
+    FROM mg m JOIN sx x ON x.user_id = m.user_id AND x.section = m.section + 1 JOIN ks h ON h.user_id = m.user_id AND h.a = m.start AND h.b = m.b JOIN ks k ON k.user_id = x.user_id AND k.a = x.a AND k.b = x.b),
+sp AS (SELECT user_id, start, max(b) AS stop, max(builds) AS builds FROM mg GROUP BY ALL),
+sg AS (SELECT *, sum(CASE WHEN stop - start >= 3 OR start = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY start) - 1 AS section FROM sp),
+sf AS (SELECT user_id, section, min(start) AS a, max(stop) AS b, max(builds) AS builds FROM sg GROUP BY ALL),
+kf AS (SELECT sf.user_id, section, a, b, builds, coalesce(arg_min(i, row(-size, i)) FILTER (b - a >= 5 AND i >= a + 2 AND i < b - 2), (a + b) // 2) AS k FROM sf JOIN fr ON fr.user_id = sf.user_id AND i >= a AND i < b GROUP BY sf.user_id, section, a, b, builds),
+du AS (SELECT user_id, count(*)::DOUBLE AS duration FROM fr GROUP BY ALL)"""
+
+
+@REGISTRY.add(
+    "detected_slides",
+    f"WITH RECURSIVE {_FRAMES}, {sql_viterbi('fr')}, {_MERGED} SELECT user_id, section, printf('slide_%03d', section::INT) AS slide_id, least(a, duration)::DOUBLE AS t_start, least(b, duration)::DOUBLE AS t_end, least(k + 0.5, duration)::DOUBLE AS keyframe_t, builds > 1 AS progressive FROM kf JOIN du USING (user_id)",
+)
 def detected_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slides of series whose ink is a set of value marks."""
-    frames = series(spark, sf_dir).select("user_id", "event_id", F.sequence(F.lit(0), F.floor(F.least("value", F.lit(300.0)) / 10).cast("int")).alias("ink"))
+    """Slides of series that hold a value for six rows, whose ink is a set of value marks."""
+    e = load(spark, sf_dir, "events").filter("value IS NOT NULL").select("user_id", "event_id", "value")
+    e = e.withColumn("held", F.floor((F.row_number().over(W.partitionBy("user_id").orderBy("event_id")) - 1) / 6))
+    value = F.min_by("value", "event_id").over(W.partitionBy("user_id", "held"))
+    frames = e.select("user_id", "event_id", F.sequence(F.lit(0), F.floor(F.least(value, F.lit(300.0)) / 10).cast("int")).alias("ink"))
     length = frames.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("duration"))
     return L.detect_slides(frames, length, entity="user_id", order="event_id", ink="ink")
 

@@ -30,13 +30,37 @@ def series_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series(spark, sf_dir).select("event_id", F.round("d", 9).alias("d"))
 
 
-@REGISTRY.add("series_changes")
+def sql_viterbi(source: str) -> str:
+    """CTEs that end in ch (user_id, i): the changes of the rows (user_id, i from 0, d) of ``source`` by the two-state model; the query needs WITH RECURSIVE."""
+    return f"""vq AS (SELECT user_id, quantile_cont(d, 0.75) AS q, count(*) AS n FROM {source} GROUP BY user_id),
+vs AS (SELECT s.user_id, greatest(avg(d), 0.01) AS scale, any_value(n) AS n FROM {source} s JOIN vq USING (user_id) WHERE d <= q GROUP BY s.user_id),
+ve AS (SELECT s.user_id, i, n, -ln(scale) - d / scale AS same FROM {source} s JOIN vs USING (user_id)),
+vf AS (SELECT user_id, i, n, same AS a, ln(1 - 0.97::DOUBLE) AS b, false AS fc FROM ve WHERE i = 0
+  UNION ALL SELECT e.user_id, e.i, e.n, greatest(f.a + ln(0.97::DOUBLE), f.b) + e.same, f.a + ln(1 - 0.97::DOUBLE), f.b > f.a + ln(0.97::DOUBLE) + 1e-9 FROM vf f JOIN ve e ON e.user_id = f.user_id AND e.i = f.i + 1),
+vb AS (SELECT user_id, i, b > a + 1e-9 AS change, fc FROM vf WHERE i = n - 1
+  UNION ALL SELECT f.user_id, f.i, NOT v.change AND v.fc, f.fc FROM vb v JOIN vf f ON f.user_id = v.user_id AND f.i = v.i - 1),
+ch AS (SELECT user_id, i FROM vb WHERE change)"""
+
+
+_POS = f"{_SERIES}, p AS (SELECT *, row_number() OVER o - 1 AS pos FROM x WINDOW o AS (PARTITION BY user_id ORDER BY event_id)), ps AS (SELECT user_id, pos AS i, d FROM p)"
+
+
+@REGISTRY.add("series_changes", f"WITH RECURSIVE {_POS}, {sql_viterbi('ps')} SELECT p.user_id, event_id FROM ch JOIN p ON p.user_id = ch.user_id AND p.pos = ch.i")
 def series_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows at which each user's series changes."""
     return S.viterbi_changes(series(spark, sf_dir), entity="user_id", order="event_id", distance="d")
 
 
-@REGISTRY.add("series_sections")
+_CHANGE_SECTIONS = f"""{_POS}, {sql_viterbi('ps')}, s AS (SELECT p.*, sum(CASE WHEN ch.i > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY p.user_id ORDER BY pos) AS section FROM p LEFT JOIN ch ON ch.user_id = p.user_id AND ch.i = p.pos),
+r AS (SELECT user_id, section, min(pos) AS start, max(pos) + 1 AS "end" FROM s GROUP BY ALL),
+g AS (SELECT *, sum(CASE WHEN "end" - start >= 3 OR section = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY start) - 1 AS g FROM r),
+f AS (SELECT user_id, g AS section, min(start) AS start, max("end") AS "end" FROM g GROUP BY ALL)"""
+_KEYS = """k AS (SELECT f.user_id, f.section, f.start, f."end", pos, row_number() OVER (PARTITION BY f.user_id, f.section ORDER BY CASE WHEN pos >= start + 2 AND pos < "end" - 2 THEN 0 ELSE 1 END, value DESC, pos) AS n
+    FROM f JOIN p ON p.user_id = f.user_id AND pos >= start AND pos < "end")
+    SELECT user_id, section, start, "end", CASE WHEN "end" - start < 5 THEN (start + "end") // 2 ELSE pos END AS keyframe FROM k WHERE n = 1"""
+
+
+@REGISTRY.add("series_sections", f"WITH RECURSIVE {_CHANGE_SECTIONS}, {_KEYS}")
 def series_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections between changes, short ones absorbed, with their key rows."""
     s = series(spark, sf_dir)
@@ -76,7 +100,20 @@ def series_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.peaks(series(spark, sf_dir), entity="user_id", order="event_id", value="d", threshold=F.lit(0.4))
 
 
-@REGISTRY.add("proposed_boundaries")
+_PROPOSED = f"""{_POS}, q AS (SELECT user_id, quantile_cont(d, 0.92) AS q, count(*) AS n FROM p GROUP BY user_id),
+h AS (SELECT p.user_id, pos, d, n, pos > 0 AND d >= q AS high FROM p JOIN q USING (user_id)),
+hr AS (SELECT *, sum(CASE WHEN high AND NOT coalesce(ph, false) THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY pos) AS run FROM (SELECT *, lag(high) OVER (PARTITION BY user_id ORDER BY pos) AS ph FROM h)),
+f0 AS (SELECT user_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY d DESC, pos) AS k FROM hr WHERE high) WHERE k = 1)"""
+
+
+def _refined(round_: int) -> str:
+    """One round: the greatest row inside every gap of more than 30 rows, three from its ends."""
+    now = f"f{round_}"
+    return f"""e{round_} AS (SELECT user_id, pos AS a, coalesce(lead(pos) OVER (PARTITION BY user_id ORDER BY pos), n) AS b FROM (SELECT user_id, pos, n FROM {now} JOIN q USING (user_id) UNION SELECT user_id, 0, n FROM q)),
+f{round_ + 1} AS (SELECT user_id, pos FROM {now} UNION SELECT user_id, pos FROM (SELECT e.user_id, p.pos, row_number() OVER (PARTITION BY e.user_id, a ORDER BY d DESC, p.pos) AS k FROM e{round_} e JOIN p ON p.user_id = e.user_id AND p.pos >= a + 3 AND p.pos < b - 3 WHERE b - a > 30) WHERE k = 1)"""
+
+
+@REGISTRY.add("proposed_boundaries", f"WITH {_PROPOSED}, {', '.join(_refined(r) for r in range(8))} SELECT p.user_id, event_id FROM f8 JOIN p USING (user_id, pos)")
 def proposed_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.propose_boundaries(series(spark, sf_dir), entity="user_id", order="event_id", distance="d")
 

@@ -104,6 +104,11 @@ def test_series(spark):
     assert sorted((r["start"], r["end"]) for r in Sg.drop_short(short, entity="e", least=3).collect()) == [(0, 2), (2, 32), (32, 60)]
     ink = spark.createDataFrame([("v", 0, [1]), ("v", 1, [1, 2]), ("v", 2, [1, 2, 3]), ("v", 3, [9]), ("v", 4, [8, 9]), ("w", 0, None)], "e string, o int, ink array<int>")
     assert sorted(tuple(r) for r in Sg.merge_progressive(ink, entity="e", order="o", ink="ink").collect()) == [("v", 0, 2, 3), ("v", 3, 4, 2), ("w", 0, 0, 1)]
+    falling = spark.createDataFrame([("v", 0, list(range(10))), ("v", 1, list(range(7))), ("v", 2, list(range(5)))], "e string, o int, ink array<int>")
+    assert sorted(tuple(r) for r in Sg.merge_progressive(falling, entity="e", order="o", ink="ink").collect()) == [("v", 0, 1, 2), ("v", 2, 2, 1)]
+    frames = spark.createDataFrame([("v", i, list(range([10, 7, 5, 9][i // 6]))) for i in range(24)], "e string, o int, ink array<int>")
+    spans = spark.createDataFrame([("v", n, 6 * n, 6 * n + 6) for n in range(4)], "e string, section int, start int, end int")
+    assert sorted(tuple(r) for r in Sg.merge_sections(spans, frames, entity="e", order="o", ink="ink").collect()) == [("v", 0, 12, 2), ("v", 12, 24, 2)]
     cut = Sg.otsu_threshold(spark.createDataFrame([("a", x) for x in [0.1] * 10 + [1.0] * 10] + [("b", 0.0)], "e string, v double"), entity="e", value="v")
     cuts = {r["e"]: r["cut"] for r in cut.collect()}
     assert 0.09 <= cuts["a"] < 1.0 and cuts["b"] == 0.0
