@@ -38,7 +38,18 @@ STAGE_NEEDS = {
 MIN_SIMILARITY = 0.25
 MIN_SIMILARITY_BY_TYPE = {"經文原文": 0.60, "白話解說": 0.10, "口頭延伸": 0.05, "圖表描述": 0.0}
 MIN_SOURCE_RATIO, COPY_SIMILARITY = 0.15, 0.98
+MIN_CHARS_PER_1K_SOURCE = 100.0
 MAX_COPY_BY_TYPE = {"經文原文": 1.0, "圖表描述": 0.5, "白話解說": 0.8, "口頭延伸": 0.8}
+# Every threshold by name, and those that are only observed, never a gate.
+THRESHOLDS = {
+    "min_similarity": MIN_SIMILARITY,
+    "min_source_ratio": MIN_SOURCE_RATIO,
+    "copy_similarity": COPY_SIMILARITY,
+    "min_chars_per_1k_source": MIN_CHARS_PER_1K_SOURCE,
+    "needs_review": 0.05,
+    "overall_pass_rate": 0.95,
+}
+OBSERVED_ONLY = {"overall_pass_rate"}
 
 
 def number_forms() -> dict[str, list[str]]:

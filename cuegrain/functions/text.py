@@ -206,6 +206,39 @@ def han_runs(text: Column, least: int = 3, most: int = 12) -> Column:
     return F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit("([一-鿿]+)"), 1), lambda t: F.length(t).between(least, most)))
 
 
+def convert_script(text: Column, table: dict[str, str], where: Column | None = None) -> Column:
+    """Text with characters exchanged one for one, only where the condition holds: speech is converted, captions by hand are not."""
+    converted = F.translate(text, "".join(table), "".join(table.values()))
+    return converted if where is None else F.when(where, converted).otherwise(text)
+
+
+def differing(a: Column, b: Column) -> Column:
+    """Number of places at which two texts of one length differ."""
+    return F.size(F.filter(F.zip_with(chars(a), chars(b), lambda x, y: x != y), lambda d: d))
+
+
+def _shared_start(a: Column, b: Column) -> Column:
+    """Number of leading elements that two arrays share."""
+    n = F.least(F.size(a), F.size(b))
+    return F.coalesce(F.nullif(F.array_position(F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n), lambda x, y: x == y), False), F.lit(0)) - 1, n).cast("int")
+
+
+def changed_stretch(before: Column, after: Column) -> tuple[Column, Column]:
+    """What lies between the longest common start and, behind it, the longest common end of two texts."""
+    start = _shared_start(chars(before), chars(after))
+    tail = lambda c: F.reverse(F.slice(chars(c), start + 1, F.length(c)))
+    end = _shared_start(tail(before), tail(after))
+    middle = lambda c: F.substr(c, start + 1, F.length(c) - start - end)
+    return middle(before), middle(after)
+
+
+def sound_coverage(candidate: Column, source: Column, sounds: dict[str, str], n: int = 3) -> Column:
+    """:func:`coverage` over one sign for each sound: what is said alike counts as alike. Characters without a sound stand for themselves."""
+    signs = {k: chr(0x4E00 + i) for i, k in enumerate(sorted(set(sounds.values())))}
+    said = lambda c: F.translate(c, "".join(sounds), "".join(signs[v] for v in sounds.values()))
+    return coverage(said(candidate), said(source), n)
+
+
 def token_similarity(a: Column, b: Column, sounds: dict[str, str] | None = None) -> Column:
     """1 - edits / greater length over sounds: each character gives way to one that stands for its sound, others to lower case.
 

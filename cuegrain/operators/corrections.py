@@ -11,7 +11,8 @@ from ..functions import text as T
 
 def validate_corrections(proposed: DataFrame, *, key: str, raw: str, sounds: dict[str, str] | None = None) -> DataFrame:
     """Proposals (key, pos, before, after, raw) that may be applied: trimmed, not blank or idle, found in the raw text, allowed, the first of equal ones."""
-    x = proposed.withColumn("before", F.trim("before")).withColumn("after", F.trim("after"))
+    bare = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    x = proposed.withColumn("before", bare("before")).withColumn("after", bare("after"))
     x = x.filter((F.col("before") != "") & (F.col("after") != "") & (F.col("before") != F.col("after")) & F.contains(F.col(raw), F.col("before")))
     x = x.filter(T.rejection(F.col("before"), F.col("after"), sounds).isNull())
     first = F.row_number().over(W.partitionBy(key, "before", "after").orderBy("pos"))
@@ -23,6 +24,20 @@ def lexicon(texts: DataFrame, *, text: str, least: int = 3, most: int = 12) -> D
     return texts.select(F.explode(T.han_runs(F.col(text), least, most)).alias("term")).distinct()
 
 
+def ngram_lexicon(texts: DataFrame, *, key: str, text: str, documents: int, least: int = 3, most: int = 5) -> DataFrame:
+    """(term, n): all stretches of ``least`` to ``most`` Han characters that at least so many texts have."""
+    run = F.explode(F.regexp_extract_all(F.col(text), F.lit("([一-鿿]+)"), 1)).alias("_run")
+    runs = texts.filter(F.col(text).isNotNull()).select(key, run)
+    grams = runs.select(key, F.explode(F.array_distinct(F.concat(*[T.gram_list(F.col("_run"), n) for n in range(least, most + 1)]))).alias("term")).distinct()
+    return grams.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents)
+
+
+def new_corrections(proposed: DataFrame, existing: DataFrame, *, key: str, sounds: dict[str, str] | None = None) -> DataFrame:
+    """Proposals (key, before, after, ...) that a text doesn't have yet and that the gate allows."""
+    fresh = proposed.join(existing.select(key, "before").distinct(), [key, "before"], "left_anti")
+    return fresh.filter(T.rejection(F.col("before"), F.col("after"), sounds).isNull())
+
+
 def _differences(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda s, x: s + x)
 

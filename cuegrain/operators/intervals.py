@@ -121,3 +121,19 @@ def snap(times: DataFrame, anchors: DataFrame, *, entity: str, time: str, anchor
     pairs = overlaps(t, a, entity=entity, a_span=(time, time), b_span=("_a", "_a"), pad=radius)
     near = pairs.filter(F.abs(F.col(time) - F.col("_a")) <= radius).groupBy(entity, time).agg(F.min_by("_a", F.struct(F.abs(F.col(time) - F.col("_a")), F.col("_a"))).alias("_near"))
     return t.join(near, [entity, time], "left").select(entity, time, F.coalesce("_near", time).alias("snapped"))
+
+
+def near_any(points: DataFrame, marks: DataFrame, *, entity: str, time: str, mark_time: str, tolerance: float) -> DataFrame:
+    """Points (entity, time) that have a mark of their entity within the tolerance."""
+    p = points.select(entity, time).distinct()
+    near = overlaps(p.withColumn("_a", F.col(time)), marks.select(entity, F.col(mark_time).alias("_m")).distinct(), entity=entity, a_span=("_a", "_a"), b_span=("_m", "_m"), pad=tolerance * (1 + 1e-9) + 1e-9)
+    hit = near.filter(F.abs(F.col("_a") - F.col("_m")) <= tolerance).select(entity, time).distinct()
+    return points.join(hit, [entity, time], "left_semi")
+
+
+def in_body(points: DataFrame, bodies: DataFrame, *, entity: str, time: str) -> DataFrame:
+    """Points within their entity's body (entity, body_start, body_end), ends included; all of an entity whose body isn't known at both ends."""
+    b = bodies.select(entity, "body_start", "body_end")
+    x = points.join(b, entity, "left")
+    known = F.col("body_start").isNotNull() & F.col("body_end").isNotNull()
+    return x.filter(~known | F.col(time).between(F.col("body_start"), F.col("body_end"))).drop("body_start", "body_end")

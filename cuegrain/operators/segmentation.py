@@ -212,6 +212,12 @@ def boundary_scores(predicted: DataFrame, truth: DataFrame, *, entity: str, time
     return x.select(entity, "tp", (F.col("np") - F.col("tp")).alias("fp"), (F.col("ng") - F.col("tp")).alias("fn"), "precision", "recall", F.when(both > 0, 2 * F.col("precision") * F.col("recall") / both).otherwise(0.0).alias("f1"))
 
 
+def merge_accuracy(found: DataFrame, wanted: DataFrame, *, entity: str, predicted: str, true: str) -> DataFrame:
+    """(n, accuracy): share of the entities in both tables whose counts are equal."""
+    both = found.select(entity, predicted).join(wanted.select(entity, true), entity)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col(predicted) == F.col(true)).cast("int")), 9).alias("accuracy"))
+
+
 def tolerance_coverage(tolerance: float, count: Column, lo: Column, hi: Column) -> Column:
     """Share of [lo, hi] that lies within the tolerance of ``count`` cuts, at most 1; 1 for an empty span."""
     return F.when(hi <= lo, 1.0).otherwise(F.least(F.lit(1.0), 2 * tolerance * count / (hi - lo)))
@@ -255,12 +261,21 @@ def dp_segments(texts: list[str], prior: float, candidates: list[int] | None = N
     return _best_path(len(texts), prior, nodes, lambda i, j: costs[i, j]) if len(texts) > 1 else []
 
 
-def description_length_cuts(block_rows: DataFrame, *, entity: str, prior: float) -> DataFrame:
-    """(entity, cut): least-cost cuts between blocks, an entity at a time; quadratic in its number of blocks."""
+def description_length_cuts(block_rows: DataFrame, *, entity: str, prior: float, candidates: DataFrame | None = None) -> DataFrame:
+    """(entity, cut): least-cost cuts between blocks, an entity at a time; quadratic in its number of cuts that are allowed.
 
-    def cut(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        found = dp_segments(["".join(t.split()) for t in rows["text"]], prior)
-        return pd.DataFrame({entity: [rows[entity].iloc[0]] * len(found), "cut": found})
+    candidates (entity, cut): where cuts are allowed; default everywhere.
+    """
+    kinds = dict(block_rows.dtypes)
+    schema = f"{entity} {kinds[entity]}, cut int"
 
-    return block_rows.select(entity, "block", "text").groupBy(entity).applyInPandas(cut, f"{entity} {dict(block_rows.dtypes)[entity]}, cut int")
+    def cuts(rows: pd.DataFrame, allowed: list[int] | None) -> pd.DataFrame:
+        rows = rows.sort_values("block")
+        found = dp_segments(["".join(t.split()) for t in rows["text"]], prior, allowed)
+        return pd.DataFrame({entity: pd.Series([rows[entity].iloc[0]] * len(found), dtype=object), "cut": pd.Series(found, dtype="int32")})
+
+    whole = block_rows.select(entity, "block", "text").groupBy(entity)
+    if candidates is None:
+        return whole.applyInPandas(lambda rows: cuts(rows, None), schema)
+    allowed = candidates.select(F.col(entity).alias("_e"), "cut").groupBy("_e")
+    return whole.cogroup(allowed).applyInPandas(lambda rows, at: cuts(rows, at["cut"].tolist()) if len(rows) else pd.DataFrame({entity: pd.Series([], dtype=object), "cut": pd.Series([], dtype="int32")}), schema)

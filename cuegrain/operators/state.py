@@ -44,6 +44,53 @@ def stale_stages(states: DataFrame, wanted: DataFrame) -> DataFrame:
     return states.select("video_id", "stage").join(hit, ["video_id", "stage"], "left_semi")
 
 
+RECORD = ["status", "params_hash", "finished_at", "error", "note"]
+
+
+def _reset(rows: DataFrame) -> DataFrame:
+    """Records as new: nothing is known of the stage."""
+    return rows.select("video_id", "stage", F.lit("pending").alias("status"), *[F.lit(None).cast("string").alias(c) for c in RECORD[1:]])
+
+
+def _closure(df: DataFrame) -> DataFrame:
+    table = df.sparkSession.createDataFrame([(s, x) for s, d in downstream().items() for x in d], "stage string, affected string")
+    return df.select("video_id", "stage").join(F.broadcast(table), "stage").select("video_id", F.col("affected").alias("stage")).distinct()
+
+
+def marked(states: DataFrame, events: DataFrame) -> DataFrame:
+    """Records (video_id, stage, status, params_hash, finished_at, error, note) that events write over ``states``, to be appended to the log.
+
+    events (video_id, stage, event, params_hash, finished_at, error, note), one a stage:
+    done keeps hash, time and note and clears the error; failed keeps error and time, and what the
+    state had of hash and note; stale forgets the stage and all recorded stages that need it.
+    """
+    e = events.select("video_id", "stage", "event", *[F.col(c).alias(f"_{c}") for c in RECORD[1:]])
+    old = states.select("video_id", "stage", *RECORD[1:])
+    x = e.filter("event IN ('done', 'failed')").join(old, ["video_id", "stage"], "left")
+    done = F.col("event") == "done"
+    # A failure leaves hash and note as they were.
+    written = x.select("video_id", "stage", F.col("event").alias("status"), F.when(done, F.col("_params_hash")).otherwise(F.col("params_hash")).alias("params_hash"), F.col("_finished_at").alias("finished_at"), F.when(~done, F.col("_error")).alias("error"), F.when(done, F.col("_note")).otherwise(F.col("note")).alias("note"))
+    stale = e.filter("event = 'stale'").select("video_id", "stage")
+    below = _closure(stale).join(states.select("video_id", "stage"), ["video_id", "stage"], "left_semi")
+    return written.unionByName(_reset(stale.unionByName(below).distinct().join(written, ["video_id", "stage"], "left_anti")))
+
+
+def synced(states: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Records that a change of parameters writes, with ``invalidated``: stages below a changed one are forgotten, a changed one itself loses its hash.
+
+    wanted (stage, want). A stage without a hash isn't compared; one below a changed stage is forgotten, changed or not.
+    """
+    changed = states.join(F.broadcast(wanted), "stage").filter(F.col("params_hash").isNotNull() & ~F.col("params_hash").eqNullSafe(F.col("want")))
+    below = _closure(changed).join(states.select("video_id", "stage"), ["video_id", "stage"], "left_semi")
+    own = changed.join(below, ["video_id", "stage"], "left_anti").select("video_id", "stage", "status", F.lit(None).cast("string").alias("params_hash"), "finished_at", "error", "note")
+    return _reset(below).withColumn("invalidated", F.lit(True)).unionByName(own.withColumn("invalidated", F.lit(False)))
+
+
+def saved(log: DataFrame, records: DataFrame, at: Column) -> DataFrame:
+    """The log with the records appended as versions saved at that time."""
+    return log.unionByName(records.select(*[F.col(c) for c in ("video_id", "stage", *RECORD)]).withColumn("saved_at", at), allowMissingColumns=True)
+
+
 def ready_for(states: DataFrame, wanted: DataFrame, stage: str, inputs: DataFrame) -> DataFrame:
     """Videos whose ``stage`` is satisfied and that have rows in ``inputs``."""
     x = states.filter(F.col("stage") == stage).join(F.broadcast(wanted), "stage")

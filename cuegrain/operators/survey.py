@@ -60,6 +60,26 @@ def outcome_counts(targets: DataFrame, *, skipped: DataFrame, key: str, outcome:
     return targets.join(skip, key, "left").groupBy(F.when(F.col("_s"), "known_skip").otherwise(F.coalesce(outcome, F.lit("failed"))).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def exit_code(outcomes: DataFrame) -> int:
+    """1 where there were targets and none succeeded, else 0. outcomes (outcome, n): a few rows."""
+    counts = {r["outcome"]: r["n"] for r in outcomes.collect()}
+    asked = sum(n for outcome, n in counts.items() if outcome != "known_skip")
+    return int(asked > 0 and not counts.get("succeeded"))
+
+
+def manifest_differences(now: DataFrame, then: DataFrame, *, key: str) -> DataFrame:
+    """(key, field, now, then): cells of two manifests that differ; a key that one lacks differs in every field."""
+    fields = [c for c in now.columns if c != key]
+    cells = lambda df, name: df.select(key, F.explode(F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*[F.col(c).cast("string") for c in fields]))).alias("field", name))
+    both = cells(now, "now").join(cells(then, "then"), [key, "field"], "full_outer")
+    return both.filter(~F.col("now").eqNullSafe(F.col("then")))
+
+
+def label_agreement(rows: DataFrame, *, groups: list[str], own: str, other: str) -> DataFrame:
+    """Per group: n, mean of both measures, and the share in which the other one is greater."""
+    return rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(own), 6).alias("own"), F.round(F.avg(other), 6).alias("other"), F.round(F.avg((F.col(other) > F.col(own)).cast("int")), 6).alias("other_fits_better"))
+
+
 def barren(segments: DataFrame, *, entity: str, blocks: str, share: float = 0.3, least: int = 5) -> DataFrame:
     """(entity, n, ratio): entities of at least ``least`` segments of which more than ``share`` have no block."""
     x = segments.groupBy(entity).agg(F.count(F.lit(1)).alias("n"), F.avg((F.coalesce(blocks, F.lit(0)) == 0).cast("int")).alias("ratio"))
@@ -67,21 +87,33 @@ def barren(segments: DataFrame, *, entity: str, blocks: str, share: float = 0.3,
 
 
 def claim_support(claims: DataFrame, texts: DataFrame, *, key: str, claim: str, text: str) -> DataFrame:
-    """(key, claim, n): number of texts of the key that contain the claim."""
-    x = claims.join(texts.select(key, F.col(text).alias("_t")), key, "left")
-    return x.groupBy(*claims.columns).agg(F.count_if(F.contains(F.col("_t"), F.col(claim))).alias("n"))
+    """(key, claim, n): number of texts of the key that contain the claim.
+
+    A text that contains a claim contains its first characters, up to three; an equi-join on
+    them proposes the texts, so that not every claim meets every text of its key. Empty claims have no text.
+    """
+    probe = lambda c, n: F.substring(c, 1, n)
+    own = claims.withColumn("_n", F.least(F.length(claim), F.lit(3))).withColumn("_p", F.when(F.col("_n") == 1, probe(claim, 1)).when(F.col("_n") == 2, probe(claim, 2)).otherwise(probe(claim, 3)))
+    numbered = texts.select(key, F.col(text).alias("_t"))
+    pieces = F.explode(F.array_distinct(F.concat(*[T.gram_list(F.col("_t"), n) for n in (1, 2, 3)])))
+    # Only pieces that some claim begins with go on, each with its text.
+    parts = numbered.filter(F.col("_t").isNotNull()).select(key, "_t", pieces.alias("_p")).join(own.select(key, "_p").distinct(), [key, "_p"], "left_semi")
+    found = own.join(parts, [key, "_p"]).filter(F.contains(F.col("_t"), F.col(claim))).groupBy(*claims.columns).agg(F.count(F.lit(1)).alias("n"))
+    return claims.distinct().join(found, claims.columns, "left").fillna(0, ["n"])
 
 
 def cross_check(terms: DataFrame, first: DataFrame, second: DataFrame, *, entity: str, term: str, span: tuple[str, str], cue_span: tuple[str, str], text: str, pad: float = 0.0) -> DataFrame:
     """One row of counts: terms (entity, term, span) whose two readings in time hold both, one, or neither of them, alike or not; recall of errors that differ, and share sent to review."""
 
+    spans = terms.select(entity, *span).distinct()  # the terms of one time are heard in one text
+
     def heard(cues: DataFrame, name: str) -> DataFrame:
         c = cues.select(entity, F.col(cue_span[0]).alias("_cs"), F.col(cue_span[1]).alias("_ce"), F.col(text).alias("_x"))
-        pairs = overlaps(terms, c, entity=entity, a_span=span, b_span=("_cs", "_ce"), pad=pad)
-        joined = pairs.groupBy(entity, term, *span).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_cs", "_x"))), lambda s: F.coalesce(s["_x"], F.lit(""))), "").alias(name))
-        return terms.join(joined, [entity, term, *span], "left").fillna("", [name])
+        pairs = overlaps(spans, c, entity=entity, a_span=span, b_span=("_cs", "_ce"), pad=pad)
+        joined = pairs.groupBy(entity, *span).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_cs", "_x"))), lambda s: F.coalesce(s["_x"], F.lit(""))), "").alias(name))
+        return spans.join(joined, [entity, *span], "left").fillna("", [name])
 
-    x = heard(first, "_a").join(heard(second, "_b"), [entity, term, *span])
+    x = terms.join(heard(first, "_a").join(heard(second, "_b"), [entity, *span]), [entity, *span])
     a, b = F.contains(F.col("_a"), F.col(term)), F.contains(F.col("_b"), F.col(term))
     n = x.agg(F.count_if(a & b).alias("both"), F.count_if(a != b).alias("one"), F.count_if(~a & ~b & (F.col("_a") != F.col("_b"))).alias("differ"), F.count_if(~a & ~b & (F.col("_a") == F.col("_b"))).alias("same"), F.count(F.lit(1)).alias("n"))
     errors = F.col("one") + F.col("differ") + F.col("same")

@@ -4,7 +4,7 @@ import importlib
 
 from ..registry import Registry
 
-_MODULES = ["incremental", "text", "timeline", "signals", "pipeline", "composed"]
+_MODULES = ["incremental", "text", "timeline", "signals", "pipeline", "composed", "stages"]
 
 
 def all_registries() -> list[Registry]:

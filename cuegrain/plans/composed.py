@@ -144,13 +144,13 @@ def series_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.add(
     "background_drift",
     """WITH p AS (SELECT user_id % 20 AS g, user_id, [avg(value) FILTER (event_type = 'view'), avg(value) FILTER (event_type <> 'view')] AS f FROM events WHERE value IS NOT NULL GROUP BY user_id),
-    d AS (SELECT a.user_id, b.user_id AS nearest, (abs(a.f[1] / 1000 - b.f[1] / 1000) + abs(a.f[2] / 1000 - b.f[2] / 1000)) / 2 AS distance FROM p a JOIN p b ON a.g = b.g AND b.user_id < a.user_id WHERE a.f[1] IS NOT NULL AND a.f[2] IS NOT NULL AND b.f[1] IS NOT NULL AND b.f[2] IS NOT NULL),
+    d AS (SELECT a.user_id, b.user_id AS nearest, (abs(a.f[1] / 200 - b.f[1] / 200) + abs(a.f[2] / 200 - b.f[2] / 200)) / 2 AS distance FROM p a JOIN p b ON a.g = b.g AND b.user_id < a.user_id WHERE a.f[1] IS NOT NULL AND a.f[2] IS NOT NULL AND b.f[1] IS NOT NULL AND b.f[2] IS NOT NULL),
     r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY distance, nearest) AS n FROM d) SELECT user_id, round(distance, 6) AS distance FROM r WHERE n = 1 AND distance >= 0.06""",
 )
 def background_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users unlike every earlier one of their group."""
     e = load(spark, sf_dir, "events").filter("value IS NOT NULL").groupBy("user_id").agg(F.avg(F.when(F.col("event_type") == "view", F.col("value"))).alias("a"), F.avg(F.when(F.col("event_type") != "view", F.col("value"))).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
-    e = e.select((F.col("user_id") % 20).alias("g"), "user_id", F.array(F.col("a") / 1000, F.col("b") / 1000).alias("f"))
+    e = e.select((F.col("user_id") % 20).alias("g"), "user_id", F.array(F.col("a") / 200, F.col("b") / 200).alias("f"))
     return V.background_drift(e, group="g", key="user_id", order="user_id", fingerprint="f").select("user_id", F.round("distance", 6).alias("distance"))
 
 
@@ -172,7 +172,7 @@ def barren_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     "term_cross_check",
     """WITH s AS (SELECT DISTINCT segment_id, video_id, t_start, t_end, transcript_raw AS x, transcript_corrected AS y FROM segments),
     t AS (SELECT DISTINCT video_id, slide_ref AS term, t_start, t_end FROM (SELECT DISTINCT segment_id, video_id, slide_ref, t_start, t_end FROM segments WHERE slide_ref IS NOT NULL)),
-    q AS (SELECT DISTINCT video_id, t_start, t_end, substr(transcript_raw, 3, 3) AS term FROM segments WHERE length(transcript_raw) >= 5),
+    q AS (SELECT DISTINCT video_id, t_start, t_end, term FROM (SELECT video_id, t_start, t_end, unnest(regexp_extract_all(transcript_raw, '[一-鿿]+')) AS term FROM segments) WHERE length(term) BETWEEN 3 AND 12),
     a AS (SELECT q.video_id, q.term, q.t_start, q.t_end, coalesce(string_agg(coalesce(x, ''), '' ORDER BY s.t_start, x NULLS FIRST), '') AS a, coalesce(string_agg(coalesce(y, ''), '' ORDER BY s.t_start, y NULLS FIRST), '') AS b FROM q LEFT JOIN s ON s.video_id = q.video_id AND s.t_start <= q.t_end AND s.t_end >= q.t_start GROUP BY ALL),
     h AS (SELECT contains(a, term) AS ha, contains(b, term) AS hb, a <> b AS dif FROM a),
     n AS (SELECT count(*) FILTER (ha AND hb) AS "both", count(*) FILTER (ha <> hb) AS one, count(*) FILTER (NOT ha AND NOT hb AND dif) AS differ, count(*) FILTER (NOT ha AND NOT hb AND NOT dif) AS same, count(*) AS n FROM h)
@@ -181,7 +181,7 @@ def barren_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 def term_cross_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms of the raw transcripts in two readings: the raw and the corrected one."""
     s = load(spark, sf_dir, "segments").select("segment_id", "video_id", "t_start", "t_end", "transcript_raw", "transcript_corrected").distinct()
-    terms = s.filter(F.length("transcript_raw") >= 5).select("video_id", F.substring("transcript_raw", 3, 3).alias("term"), "t_start", "t_end").distinct()
+    terms = s.select("video_id", F.explode(T.han_runs(F.col("transcript_raw"))).alias("term"), "t_start", "t_end").distinct()
     reading = lambda c: s.select("video_id", "t_start", "t_end", F.col(c).alias("x"))
     return V.cross_check(terms, reading("transcript_raw"), reading("transcript_corrected"), entity="video_id", term="term", span=("t_start", "t_end"), cue_span=("t_start", "t_end"), text="x")
 
@@ -220,10 +220,10 @@ def applied_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.apply_to_segments(s, s.select("segment_id", "video_id", "slide_ref").join(r, ["video_id", "slide_ref"]).select("segment_id", "is_slide").distinct(), key="segment_id").drop("video_id")
 
 
-@REGISTRY.add("claim_support", "WITH c AS (SELECT DISTINCT video_id, left(parsed.slide_text, 4) AS claim FROM slide_out WHERE length(parsed.slide_text) >= 4), t AS (SELECT DISTINCT segment_id, video_id, transcript_raw AS x FROM segments) SELECT c.video_id, claim, count(*) FILTER (contains(x, claim)) AS n FROM c LEFT JOIN t USING (video_id) GROUP BY ALL")
+@REGISTRY.add("claim_support", "WITH c AS (SELECT DISTINCT video_id, claim FROM (SELECT video_id, unnest(regexp_extract_all(parsed.slide_text, '[一-鿿]+')) AS claim FROM slide_out) WHERE length(claim) BETWEEN 3 AND 12), t AS (SELECT DISTINCT segment_id, video_id, transcript_raw AS x FROM segments) SELECT c.video_id, claim, count(*) FILTER (contains(x, claim)) AS n FROM c LEFT JOIN t USING (video_id) GROUP BY ALL")
 def claim_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many segments of a video say what its slides begin with."""
-    c = load(spark, sf_dir, "slide_out").filter(F.length("parsed.slide_text") >= 4).select("video_id", F.substring("parsed.slide_text", 1, 4).alias("claim")).distinct()
+    """How many segments of a video say what its slides name."""
+    c = load(spark, sf_dir, "slide_out").select("video_id", F.explode(T.han_runs(F.col("parsed.slide_text"))).alias("claim")).distinct()
     return V.claim_support(c, load(spark, sf_dir, "segments").select("segment_id", "video_id", "transcript_raw").distinct(), key="video_id", claim="claim", text="transcript_raw")
 
 
@@ -235,19 +235,25 @@ def debug_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.debug_report(seg, verdicts(spark, sf_dir), entity="video_id").select("video_id", F.length("markdown").alias("n_chars"), T.content_sha(F.col("markdown")).alias("sha"))
 
 
+_CHANGED = """j AS (SELECT r.read_id, min(r.parsed.slide_text) AS raw, min(o.parsed.slide_text) AS kept, bool_or(o.parsed.is_slide) AS shown FROM slide_raw r JOIN slide_out o USING (read_id) WHERE r.parsed.slide_text IS NOT NULL AND o.parsed.slide_text IS NOT NULL GROUP BY ALL),
+l AS (SELECT *, least(length(raw), length(kept)) AS m FROM j WHERE raw <> kept),
+h AS (SELECT *, coalesce(list_position(list_transform(range(1, m + 1), lambda i: substr(raw, i::INT, 1) = substr(kept, i::INT, 1)), false) - 1, m) AS a FROM l),
+k AS (SELECT *, coalesce(list_position(list_transform(range(1, m - a + 1), lambda i: substr(raw, (length(raw) - i + 1)::INT, 1) = substr(kept, (length(kept) - i + 1)::INT, 1)), false) - 1, m - a) AS z FROM h),
+p AS (SELECT read_id, raw, kept, shown, substr(raw, (a + 1)::INT, (length(raw) - a - z)::INT) AS b, substr(kept, (a + 1)::INT, (length(kept) - a - z)::INT) AS c FROM k)"""
+
+
 @REGISTRY.add(
     "outcome_scores",
-    """WITH r AS (SELECT DISTINCT read_id, parsed.slide_text AS raw FROM slide_raw WHERE parsed.slide_text IS NOT NULL), o AS (SELECT DISTINCT read_id, parsed.slide_text AS kept FROM slide_out WHERE parsed.slide_text IS NOT NULL),
-    j AS (SELECT read_id, min(raw) AS raw, min(kept) AS kept FROM r JOIN o USING (read_id) GROUP BY read_id), p AS (SELECT *, left(raw, 3) AS b, left(kept, 3) AS a FROM j WHERE left(raw, 3) <> left(kept, 3)),
-    n AS (SELECT count(*) FILTER (contains(kept, a) AND NOT contains(kept, b)) AS tp, count(*) AS na, count(*) FILTER (contains(raw, a) AND NOT contains(raw, b)) AS fx FROM p)
-    SELECT tp, na - tp AS fp, na - fx AS fn, round(CASE WHEN na > 0 THEN tp / na ELSE 1.0 END, 9) AS precision, round(CASE WHEN na > 0 THEN fx / na ELSE 1.0 END, 9) AS recall FROM n""",
+    f"""WITH {_CHANGED}, n AS (SELECT count(*) FILTER (shown AND contains(kept, c) AND NOT contains(kept, b)) AS tp, count(*) FILTER (shown) AS na, count(*) FILTER (contains(raw, c) AND NOT contains(raw, b)) AS fx, count(*) AS ne FROM p)
+    SELECT tp, na - tp AS fp, ne - fx AS fn, round(CASE WHEN na > 0 THEN tp / na ELSE 1.0 END, 9) AS precision, round(CASE WHEN ne > 0 THEN fx / ne ELSE 1.0 END, 9) AS recall FROM n""",
 )
 def outcome_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of a read's first characters, judged by the texts that they lead to."""
-    pick = lambda t, n: load(spark, sf_dir, t).select("read_id", F.col("parsed.slide_text").alias(n)).filter(F.col(n).isNotNull()).groupBy("read_id").agg(F.min(n).alias(n))
-    j = pick("slide_raw", "corrected").join(pick("slide_out", "ideal"), "read_id").withColumnRenamed("read_id", "key")
-    c = j.select("key", F.substring("corrected", 1, 3).alias("before"), F.substring("ideal", 1, 3).alias("after")).filter("before <> after")
-    return C.outcome_scores(c, c, j)
+    """The stretches in which reads and kept texts differ: those of slides as applied corrections, all as expected ones."""
+    text = lambda t, n: load(spark, sf_dir, t).select("read_id", F.col("parsed.slide_text").alias(n), F.col("parsed.is_slide").alias(f"{n}_slide")).filter(F.col(n).isNotNull())
+    j = text("slide_raw", "corrected").groupBy("read_id").agg(F.min("corrected").alias("corrected")).join(text("slide_out", "ideal").groupBy("read_id").agg(F.min("ideal").alias("ideal"), F.max("ideal_slide").alias("shown")), "read_id").withColumnRenamed("read_id", "key")
+    before, after = T.changed_stretch(F.col("corrected"), F.col("ideal"))
+    c = j.filter("corrected <> ideal").select("key", "shown", before.alias("before"), after.alias("after"))
+    return C.outcome_scores(c.filter("shown").drop("shown"), c.drop("shown"), j.drop("shown"))
 
 
 @REGISTRY.add("event_sessions", "WITH l AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM l) SELECT user_id, min(ts) AS start, count(*) AS n FROM g GROUP BY user_id, s")

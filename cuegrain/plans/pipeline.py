@@ -16,7 +16,7 @@ from ..registry import Registry, load
 from ..sources import captions
 from ..sources.keyed import KeyedTable
 from ..session import scratch
-from .text import _FORMS, _SQL_ENTITIES, reads, sql_containment, sql_grams, sql_markdown, sql_split_long, sql_strip
+from .text import _FORMS, _SQL_ENTITIES, reads, sql_containment, sql_grams, sql_longest_common, sql_markdown, sql_split_long, sql_strip
 from .timeline import cues, ends
 
 REGISTRY = Registry()
@@ -56,14 +56,6 @@ def _gate(src: str, g: str) -> str:
     return f"CASE WHEN CASE WHEN x = '' THEN 0.0 ELSE length({src}) / greatest(length(x), 1) END < 0.15 THEN 'short_source' WHEN {sql_containment('gt', g)} < {_LIMIT} THEN 'unlike' WHEN len(list_filter(ent, lambda e: len(list_filter(coalesce({_FORMS}[e], [e]), lambda w: contains({src}, w))) = 0)) > 0 THEN 'entities' ELSE '' END"
 
 
-def sql_longest_common(rows: str) -> str:
-    """CTEs that end in lc (k, n): the longest common substring of columns x and s of ``rows`` (k, x, s), from runs of equal characters along diagonals."""
-    return f"""pa AS (SELECT k, i, substr(x, i::INT, 1) AS ch FROM (SELECT k, x, unnest(range(1, length(x) + 1)) AS i FROM {rows})),
-pb AS (SELECT k, j, substr(s, j::INT, 1) AS ch FROM (SELECT k, s, unnest(range(1, length(s) + 1)) AS j FROM {rows})),
-rn AS (SELECT k, i - j AS d, i - row_number() OVER (PARTITION BY k, i - j ORDER BY i) AS g FROM pa JOIN pb USING (k, ch)),
-lc AS (SELECT k, max(n) AS n FROM (SELECT k, count(*) AS n FROM rn GROUP BY k, d, g) GROUP BY k)"""
-
-
 _GATES = f"""{_BLOCKS}, cl AS (SELECT *, row_number() OVER () AS k, {sql_strip('text')} AS x, {sql_strip('source')} AS s, {sql_strip('other')} AS o, {sql_strip("coalesce(corrected, '')")} AS c, {_SQL_ENTITIES.format(x='text')} AS ent FROM bl),
 {sql_longest_common('cl')},
 gr AS (SELECT *, {sql_grams('x')} AS gt, {sql_grams('s')} AS gs, {sql_grams('o')} AS go, {sql_grams('c')} AS gc, coalesce(n, 0) / greatest(length(x), 1) AS copied FROM cl LEFT JOIN lc USING (k)),
@@ -161,16 +153,7 @@ def slide_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.lexicon(reads(spark, sf_dir), text="slide_text")
 
 
-@REGISTRY.add(
-    "proposed_corrections",
-    f"""WITH {_TERMS}, l AS (SELECT term, length(term) AS n FROM te WHERE length(term) BETWEEN 4 AND 5),
-    r AS (SELECT DISTINCT read_id, parsed.slide_text AS x FROM slide_raw WHERE parsed.slide_text IS NOT NULL),
-    w AS (SELECT DISTINCT read_id, n, substr(x, i::INT, n) AS before FROM (SELECT read_id, x, n, unnest(range(1, length(x) - n + 2)) AS i FROM r, (VALUES (4), (5)) v(n))),
-    c AS (SELECT read_id, before, term, w.n, len(list_filter(range(1, w.n + 1), lambda i: lower(substr(before, i::INT, 1)) <> lower(substr(term, i::INT, 1)))) AS d FROM w JOIN l ON w.n = l.n AND before <> term AND left(lower(before), ceil(w.n / 2)::INT) = left(lower(term), ceil(w.n / 2)::INT)
-          UNION SELECT read_id, before, term, w.n, len(list_filter(range(1, w.n + 1), lambda i: lower(substr(before, i::INT, 1)) <> lower(substr(term, i::INT, 1)))) AS d FROM w JOIN l ON w.n = l.n AND before <> term AND right(lower(before), 2) = right(lower(term), 2)),
-    k AS (SELECT *, row_number() OVER (PARTITION BY read_id, before ORDER BY d, term) AS r FROM c WHERE d <= 1 AND before NOT IN (SELECT term FROM te WHERE length(term) BETWEEN 3 AND 12))
-    SELECT read_id, before, term AS "after", round(1 - d / n, 9) AS score FROM k WHERE r = 1""",
-)
+@REGISTRY.add("proposed_corrections")
 def proposed_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches of transcripts that are nearly a lexicon term of 3 to 12 characters."""
     s = load(spark, sf_dir, "segments").filter("transcript_raw IS NOT NULL").select("segment_id", "transcript_raw").distinct()

@@ -32,6 +32,14 @@ def sql_containment(a: str, b: str) -> str:
     return f"CASE WHEN len({a}) = 0 THEN 0.0 ELSE len(list_intersect({a}, {b})) / len({a}) END"
 
 
+def sql_longest_common(rows: str) -> str:
+    """CTEs that end in lc (k, n): the longest common substring of columns x and s of ``rows`` (k, x, s), from runs of equal characters along diagonals."""
+    return f"""pa AS (SELECT k, i, substr(x, i::INT, 1) AS ch FROM (SELECT k, x, unnest(range(1, length(x) + 1)) AS i FROM {rows})),
+pb AS (SELECT k, j, substr(s, j::INT, 1) AS ch FROM (SELECT k, s, unnest(range(1, length(s) + 1)) AS j FROM {rows})),
+rn AS (SELECT k, i - j AS d, i - row_number() OVER (PARTITION BY k, i - j ORDER BY i) AS g FROM pa JOIN pb USING (k, ch)),
+lc AS (SELECT k, max(n) AS n FROM (SELECT k, count(*) AS n FROM rn GROUP BY k, d, g) GROUP BY k)"""
+
+
 def reads(spark: SparkSession, sf_dir: str, table: str = "slide_out") -> DataFrame:
     """Slide reads without repeated rows."""
     return load(spark, sf_dir, table).select("read_id", "video_id", "slide_id", "parsed.*").distinct()
@@ -145,7 +153,7 @@ def symbol_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir).select("read_id", T.symbol_entities(F.col("a")).alias("symbols"), T.unsupported_symbols(F.col("b"), F.col("a")).alias("missing"))
 
 
-@REGISTRY.add("copy_ratio")
+@REGISTRY.add("copy_ratio", f"WITH sl AS ({_SLIDES}), rw AS (SELECT row_number() OVER () AS k, read_id, {sql_strip('b')} AS x, {sql_strip('a')} AS s FROM sl), {sql_longest_common('rw')} SELECT read_id, round(coalesce(n, 0) / greatest(length(x), 1), 9) AS ratio FROM rw LEFT JOIN lc USING (k)")
 def copy_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Longest passage of a slide's description that is copied from its text."""
     return _pairs(spark, sf_dir).select("read_id", F.round(T.common_substring_ratio(F.col("b"), F.col("a")), 9).alias("ratio"))

@@ -219,7 +219,23 @@ def window_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("video_id", "k", F.round(S.window_diff(ref, hyp, k), 9).alias("wd"), F.round(S.window_diff(ref, hyp, k, weighted=True), 9).alias("weighted"))
 
 
-@REGISTRY.add("boundary_scores")
+def sql_matches(predicted: str, truth: str, tolerance: float, name: str) -> str:
+    """CTEs that end in ``name`` (video_id, tp, np, ng): greedy one-to-one matches of the times (video_id, t) of two relations; the query needs WITH RECURSIVE."""
+    return f"""{name}p AS (SELECT video_id, t, row_number() OVER (PARTITION BY video_id ORDER BY t) AS i FROM {predicted} WHERE t IS NOT NULL),
+{name}g AS (SELECT video_id, t, row_number() OVER (PARTITION BY video_id ORDER BY t) AS i FROM {truth} WHERE t IS NOT NULL),
+{name}k AS (SELECT p.video_id, p.i AS pi, g.i AS gi, row_number() OVER (PARTITION BY p.video_id ORDER BY abs(p.t - g.t), p.i, g.i) AS k FROM {name}p p JOIN {name}g g ON g.video_id = p.video_id AND abs(p.t - g.t) <= {tolerance}),
+{name}r AS (SELECT DISTINCT video_id, 0::BIGINT AS k, []::BIGINT[] AS up, []::BIGINT[] AS ug FROM {name}k
+  UNION ALL SELECT r.video_id, n.k, CASE WHEN list_contains(up, pi) OR list_contains(ug, gi) THEN up ELSE list_append(up, pi) END, CASE WHEN list_contains(up, pi) OR list_contains(ug, gi) THEN ug ELSE list_append(ug, gi) END
+    FROM {name}r r JOIN {name}k n ON n.video_id = r.video_id AND n.k = r.k + 1),
+{name} AS (SELECT video_id, coalesce(tp, 0) AS tp, coalesce(np, 0) AS np, coalesce(ng, 0) AS ng FROM (SELECT video_id, count(*) AS np FROM {name}p GROUP BY ALL) FULL JOIN (SELECT video_id, count(*) AS ng FROM {name}g GROUP BY ALL) USING (video_id) LEFT JOIN (SELECT video_id, max(len(up)) AS tp FROM {name}r GROUP BY ALL) USING (video_id)),
+{name}s AS (SELECT *, CASE WHEN np > 0 THEN tp / np ELSE (ng = 0)::INT END AS p, CASE WHEN ng > 0 THEN tp / ng ELSE (np = 0)::INT END AS r FROM {name}),
+{name}f AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1 FROM {name}s)"""
+
+
+_STARTS = "sa AS (SELECT DISTINCT video_id, t_start AS t FROM segments)"
+
+
+@REGISTRY.add("boundary_scores", f"WITH RECURSIVE {_STARTS}, {_MARKS}, {sql_matches('sa', 'b', 2.0, 'm')} SELECT video_id, tp, np - tp AS fp, ng - tp AS fn, round(p, 9) AS precision, round(r, 9) AS recall, round(f1, 9) AS f1 FROM mf")
 def boundary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment starts against confirmed boundaries within two seconds."""
     starts = cues(spark, sf_dir).select("video_id", F.col("t_start").alias("t")).distinct()
@@ -227,7 +243,12 @@ def boundary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("video_id", "tp", "fp", "fn", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")])
 
 
-@REGISTRY.add("margin_over_uniform")
+@REGISTRY.add(
+    "margin_over_uniform",
+    f"""WITH RECURSIVE {_STARTS}, {_MARKS}, {_ENDS}, st AS (SELECT sa.*, duration FROM sa JOIN e USING (video_id)), ct AS (SELECT video_id, duration, count(*) AS n FROM st GROUP BY ALL),
+    ev AS (SELECT video_id, duration * i / (n + 1) AS t FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM ct)), tr AS (SELECT b.* FROM b JOIN ct USING (video_id)), {sql_matches('st', 'tr', 10.0, 'x')}, {sql_matches('ev', 'tr', 10.0, 'y')}
+    SELECT ct.video_id, round(xf.f1, 9) AS f1, round(yf.f1, 9) AS uniform_f1, round(CASE WHEN duration <= 0 THEN 1.0 ELSE least(1.0, 20.0 * n / duration) END, 9) AS coverage FROM ct JOIN xf USING (video_id) JOIN yf USING (video_id)""",
+)
 def margin_over_uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 of segment starts beside that of as many uniform cuts, and the share of time within the tolerance."""
     starts = cues(spark, sf_dir).select("video_id", F.col("t_start").alias("t")).distinct().join(ends(spark, sf_dir), "video_id")

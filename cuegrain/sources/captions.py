@@ -72,8 +72,12 @@ def pick_caption(tracks: DataFrame, *, entity: str, lang: str, manual: str, orde
     return best.select(entity, F.col("b.lang").alias("lang"), (~F.col("b.auto")).alias("manual"))
 
 
-def pick_source(cues: DataFrame, *, entity: str, source: str, order: list[str]) -> DataFrame:
-    """Each entity's cues of the first source that has any, ends at least 0.01 after starts."""
+def pick_source(cues: DataFrame, *, entity: str, source: str, order: list[str], expected: DataFrame | None = None) -> DataFrame:
+    """Each entity's cues of the first source that has any, ends at least 0.01 after starts. An entity of ``expected`` without cues is an error."""
     rank = F.array_position(F.array(*[F.lit(x) for x in order]), F.col(source))
     best = cues.filter(rank > 0).groupBy(entity).agg(F.min(rank).alias("_best"))
+    if expected is not None:
+        without = expected.select(entity).distinct().join(best, entity, "left_anti").limit(5).collect()  # for the message
+        if without:
+            raise ValueError(f"no cues for {[r[0] for r in without]}")
     return cues.join(best, entity).filter(rank == F.col("_best")).drop("_best").withColumn("t_end", F.greatest(F.col("t_end"), F.col("t_start") + 0.01))
