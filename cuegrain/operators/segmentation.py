@@ -8,29 +8,71 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import text as T
 from ..session import cut
 from .intervals import asof, overlaps
 
 
+def _packed(lengths: np.ndarray, least: int, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(totals after, blocks closed) of a run of lengths for every total before it; a total that reaches ``least`` closes its block."""
+    total, closed = state.copy(), np.zeros(len(state), np.int64)
+    for n in lengths.tolist():
+        total += n
+        full = total >= least
+        closed += full
+        total[full] = 0
+    return total, closed
+
+
+def _numbers(lengths: np.ndarray, least: int, total: int, block: int) -> np.ndarray:
+    """The block of every length, from a total and a block number at the start."""
+    out = np.empty(len(lengths), np.int64)
+    for i, n in enumerate(lengths.tolist()):
+        out[i] = block
+        total += n
+        if total >= least:
+            total, block = 0, block + 1
+    return out
+
+
 def blocks(cues: DataFrame, *, entity: str, order: str, time: str, text: str, least: int) -> DataFrame:
     """(entity, block, t, text): cues in order, joined until a block has ``least`` characters; the rest is a block too.
 
-    Where a block ends depends on all cues before it, so the fold runs over an
-    entity's cue lengths; only (order, length) pairs are gathered for it, not texts.
+    Where a block ends depends on all cues before it. Cues are laid out by ranges of (entity, order), so
+    that a long entity lies in several stretches. A stretch is first worked out for every total it may
+    begin with (fewer than ``least``), then the stretches' few results are carried along an
+    entity, and each stretch numbers its cues from what it really begins with.
     """
-    lengths = cues.groupBy(entity).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.length(F.coalesce(text, F.lit(""))).alias("n")))).alias("c"))
-
-    def step(state: Column, cue: Column) -> Column:
-        total = state["total"] + cue["n"]
-        full = total >= least
-        return F.struct(F.when(full, 0).otherwise(total).alias("total"), (state["block"] + F.when(full, 1).otherwise(0)).alias("block"), F.concat(state["ids"], F.array(state["block"])).alias("ids"))
-
-    zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("block"), F.array().cast("array<int>").alias("ids"))
-    numbered = lengths.select(entity, F.explode(F.arrays_zip("c", F.aggregate("c", zero, step, lambda s: s["ids"]).alias("ids"))).alias("z")).select(entity, F.col("z.c.o").alias(order), F.col("z.ids").alias("block"))
-    parts = cues.join(numbered, [entity, order]).groupBy(entity, "block").agg(F.array_sort(F.collect_list(F.struct(order, F.coalesce(text, F.lit("")).alias("x")))).alias("p"), F.min_by(time, order).alias("t"))
-    return parts.select(entity, "block", "t", F.array_join(F.transform("p", lambda x: x["x"]), "").alias("text"))
+    laid = cues.select(F.col(entity).alias("e"), F.col(order).alias("o"), F.col(time).alias("t"), F.coalesce(text, F.lit("")).alias("x")).repartitionByRange("e", "o")
+    laid = cut(laid.withColumn("stretch", F.spark_partition_id()), "laid")
+    kinds = dict(laid.dtypes)
+    lengths = laid.select("e", "stretch", "o", F.length("x").alias("n"))
+
+    def work_out(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("o")
+        total, closed = _packed(rows["n"].to_numpy(), least, np.arange(max(least, 1)))
+        return pd.DataFrame({"e": rows["e"].iloc[:1].astype(object), "stretch": rows["stretch"].iloc[:1], "total": [total], "closed": [closed]})
+
+    def carry(rows: pd.DataFrame) -> pd.DataFrame:
+        total = block = 0
+        starts = []
+        for after, closed in zip(*(rows.sort_values("stretch")[c] for c in ("total", "closed"))):
+            starts.append((total, block))
+            total, block = int(after[total]), block + int(closed[total])
+        return pd.DataFrame({"e": rows["e"].astype(object), "stretch": sorted(rows["stretch"]), "total0": [t for t, _ in starts], "block0": [b for _, b in starts]})
+
+    def number(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("o")
+        found = _numbers(rows["n"].to_numpy(), least, int(rows["total0"].iloc[0]), int(rows["block0"].iloc[0]))
+        return pd.DataFrame({"e": rows["e"].astype(object), "o": rows["o"], "block": found.astype("int32")})
+
+    worked = lengths.groupBy("e", "stretch").applyInPandas(work_out, f"e {kinds['e']}, stretch int, total array<bigint>, closed array<bigint>")
+    starts = worked.groupBy("e").applyInPandas(carry, f"e {kinds['e']}, stretch int, total0 bigint, block0 bigint")
+    numbered = lengths.join(starts, ["e", "stretch"]).groupBy("e", "stretch").applyInPandas(number, f"e {kinds['e']}, o {kinds['o']}, block int")
+    parts = laid.join(numbered, ["e", "o"]).groupBy("e", "block").agg(F.array_sort(F.collect_list(F.struct("o", "x"))).alias("p"), F.min_by("t", "o").alias("t"))
+    return parts.select(F.col("e").alias(entity), "block", "t", F.array_join(F.transform("p", lambda x: x["x"]), "").alias("text"))
 
 
 #: Neighbouring blocks that are scored together, and blocks that one task's group should hold.
@@ -163,16 +205,21 @@ def window_diff(reference: Column, hypothesis: Column, k: Column, weighted: bool
     weighted sums the differences. Null where the lengths differ or k isn't in 1..n.
     Prefix sums make it linear.
     """
+    return _window_diff(reference, hypothesis, k, F.lit(weighted))
 
-    def prefix(flags: Column) -> Column:
-        return F.aggregate(flags, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
 
-    n = F.size(reference)
-    ok = (n == F.size(hypothesis)) & k.between(1, n)
-    # Differences first, so that one prefix array is enough.
-    sums = T.bind(prefix(F.zip_with(reference, hypothesis, lambda a, b: F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0)))), lambda p: F.transform(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))), lambda i: F.abs(F.get(p, i + k) - F.get(p, i))))
-    total = F.aggregate(sums, F.lit(0), lambda acc, x: acc + (x if weighted else F.when(x > 0, 1).otherwise(0)))
-    return F.when(ok, total / (n - k + 1))
+@F.pandas_udf(DoubleType())
+def _window_diff(reference: pd.Series, hypothesis: pd.Series, k: pd.Series, weighted: pd.Series) -> pd.Series:
+    out: list[float | None] = []
+    for a, b, size, sums in zip(reference, hypothesis, k, weighted):
+        if a is None or b is None or size is None or len(a) != len(b) or not 1 <= size <= len(a):
+            out.append(None)
+            continue
+        # Differences first, so that one array of prefix sums is enough.
+        total = np.concatenate([[0], np.cumsum(np.nan_to_num(np.asarray(a, float)) - np.nan_to_num(np.asarray(b, float)))])
+        gaps = np.abs(total[int(size) :] - total[: -int(size)])
+        out.append(float(gaps.sum() if sums else (gaps > 0).sum()) / len(gaps))
+    return pd.Series(out, dtype=object)
 
 
 def boundary_matches(predicted: DataFrame, truth: DataFrame, *, entity: str, time: str, tolerance: float) -> DataFrame:
@@ -223,46 +270,49 @@ def tolerance_coverage(tolerance: float, count: Column, lo: Column, hi: Column)
     return F.when(hi <= lo, 1.0).otherwise(F.least(F.lit(1.0), 2 * tolerance * count / (hi - lo)))
 
 
-def _best_path(length: int, prior: float, nodes: list[int], cost) -> list[int]:
-    best = {nodes[0]: (0.0, None)}
-    for j in nodes[1:]:
-        best[j] = min((best[i][0] + cost(i, j) + prior, i) for i in nodes if i < j)
-    path, at = [], nodes[-1]
-    while best[at][1] is not None and best[at][1] != nodes[0]:
-        at = best[at][1]
-        path.append(at)
-    return path[::-1]
+#: Blocks that a segment may span: at 40 characters each several hours of speech.
+LONGEST_SEGMENT = 1_000
 
 
-def dp_segments(texts: list[str], prior: float, candidates: list[int] | None = None, n: int = 2) -> list[int]:
+def dp_segments(texts: list[str], prior: float, candidates: list[int] | None = None, n: int = 2, longest: int = LONGEST_SEGMENT) -> list[int]:
     """Cuts (indices into texts) with the least description length.
 
     A segment costs the code length of its n-grams under add-one smoothed frequencies
-    over the whole vocabulary, plus ``prior``. candidates: cuts that are allowed; default all.
+    over the whole vocabulary, plus ``prior``; it spans at most ``longest`` texts, or one step between
+    candidates. candidates: cuts that are allowed; default all. A segment's cost grows from that
+    of the segment one step shorter by the n-grams added.
     """
+    if len(texts) < 2:
+        return []
     grams = [[t[i : i + n] for i in range(len(t) - n + 1)] for t in texts]
     ids: dict[str, int] = {}
-    rows = [np.array([ids.setdefault(g, len(ids)) for g in gs], np.int64) for gs in grams]
+    rows = [np.unique(np.array([ids.setdefault(g, len(ids)) for g in gs], np.int64), return_counts=True) for gs in grams]
     k = max(len(ids), 1)
     nodes = sorted({0, len(texts), *(c for c in (candidates if candidates is not None else range(1, len(texts))) if 0 < c < len(texts))})
-    costs = {}
-    for i in nodes:
-        counts, total, s = np.zeros(k, np.int64), 0, 0.0
-        at = i
-        for j in nodes:
-            if j <= i:
-                continue
-            for row in rows[at:j]:
-                np.add.at(counts, row, 1)
-                total += len(row)
+    weight = np.arange(sum(map(len, grams)) + 1) * np.log(np.arange(sum(map(len, grams)) + 1) + 1.0)
+    best = {0: (0.0, 0)}
+    for a, i in enumerate(nodes[:-1]):
+        counts, total, s, at = np.zeros(k, np.int64), 0, 0.0, i
+        for j in nodes[a + 1 :]:
+            if j - i > longest and j != nodes[a + 1]:
+                break
+            for found, times in rows[at:j]:
+                now = counts[found]
+                s += float((weight[now + times] - weight[now]).sum())
+                counts[found] = now + times
+                total += int(times.sum())
             at = j
-            s = float((counts * np.log(counts + 1.0)).sum())
-            costs[i, j] = -s + total * np.log(total + k)
-    return _best_path(len(texts), prior, nodes, lambda i, j: costs[i, j]) if len(texts) > 1 else []
+            offer = (best[i][0] - s + total * np.log(total + k) + prior, i)
+            best[j] = min(best.get(j, offer), offer)
+    path, at = [], best[nodes[-1]][1]
+    while at:
+        path.append(at)
+        at = best[at][1]
+    return path[::-1]
 
 
 def description_length_cuts(block_rows: DataFrame, *, entity: str, prior: float, candidates: DataFrame | None = None) -> DataFrame:
-    """(entity, cut): least-cost cuts between blocks, an entity at a time; quadratic in its number of cuts that are allowed.
+    """(entity, cut): least-cost cuts between blocks, an entity at a time; its blocks by :data:`LONGEST_SEGMENT` costs are looked at.
 
     candidates (entity, cut): where cuts are allowed; default everywhere.
     """

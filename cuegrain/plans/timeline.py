@@ -262,8 +262,8 @@ def margin_over_uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.add("description_length_cuts")
 def description_length_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Least-cost topic cuts of ordinary videos' blocks of 400 characters."""
-    b = S.blocks(cues(spark, sf_dir), entity="video_id", order="segment_id", time="t_start", text="text", least=400)
+    """Least-cost topic cuts of videos' blocks of 40 characters."""
+    b = S.blocks(cues(spark, sf_dir), entity="video_id", order="segment_id", time="t_start", text="text", least=40)
     return S.description_length_cuts(b, entity="video_id", prior=20.0)
 
 

@@ -97,3 +97,26 @@ def test_cuts_and_dp(spark):
     assert list(row) == [[25.0, 50.0, 75.0], [30.0, 60.0], [], 2, 1.0]
     texts = ["甲乙丙丁甲乙丙丁"] * 5 + ["子丑寅卯子丑寅卯"] * 5
     assert S.dp_segments(texts, 5.0) == [5] and S.dp_segments(texts, 5.0, [3, 5]) == [5] and S.dp_segments(["甲"], 1.0) == []
+
+
+def test_blocks_across_stretches(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [("v" if i % 4 else "w", f"c{i:04}", float(i), rng.choice([None, "", "x" * rng.randrange(60)])) for i in range(400)]
+    df = spark.createDataFrame(rows, "e string, o string, t double, x string")
+    expected = {}
+    for e in ("v", "w"):
+        block, total = 0, 0
+        for _, o, t, x in sorted(r for r in rows if r[0] == e):
+            expected.setdefault((e, block), [t, ""])[1] += x or ""
+            total += len(x or "")
+            block, total = (block + 1, 0) if total >= 40 else (block, total)
+    for coalesce in ("true", "false"):  # one stretch, or several
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        got = {(r["e"], r["block"]): [r["t"], r["text"]] for r in S.blocks(df, entity="e", order="o", time="t", text="x", least=40).collect()}
+        assert got == expected
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert S.blocks(df.limit(0), entity="e", order="o", time="t", text="x", least=40).count() == 0
+    flags = spark.createDataFrame([([1, 0, 1, 0], [0, 0, 1, 1], 2), ([1], [1, 0], 1), (None, [1], 1), ([1, None], [1, 0], 3)], "a array<int>, b array<int>, k int")
+    assert [r[0] for r in flags.select(S.window_diff(F.col("a"), F.col("b"), F.col("k"))).collect()] == [2 / 3, None, None, None]
