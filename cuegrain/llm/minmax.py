@@ -55,6 +55,17 @@ def signatures(grams: np.ndarray, at: np.ndarray, permutations: int, seed: int =
     return out
 
 
+def jaccard(left: FlatText, right: FlatText, n: int) -> np.ndarray:
+    """Similarity of the shingle sets of every pair of texts."""
+    (a, a_at), (b, b_at) = shingle_sets(left, n), shingle_sets(right, n)
+    pairs = len(a_at) - 1
+    gram, pair = np.concatenate([a, b]), np.concatenate([np.repeat(np.arange(pairs), np.diff(x)) for x in (a_at, b_at)])
+    order = np.lexsort((gram, pair))
+    gram, pair = gram[order], pair[order]
+    shared = np.bincount(pair[1:][(gram[1:] == gram[:-1]) & (pair[1:] == pair[:-1])], minlength=pairs)
+    return shared / np.maximum(np.diff(a_at) + np.diff(b_at) - shared, 1)
+
+
 def _fold(signature: np.ndarray, rows: int) -> np.ndarray:
     bands = signature.reshape(len(signature), -1, rows)
     out = np.zeros(bands.shape[:2], np.uint64)
@@ -74,10 +85,11 @@ def near_duplicates(df: DataFrame, *, key: str, text: str, n: int = 3, threshold
     in common.
 
     Copies are joined before anything is compared, so that a text that fills much of
-    the table is one row from there on. Proposed pairs come from an equi-join on (band,
-    hash), which adaptive execution splits where a band's hash is frequent; each pair is
-    then compared exactly. There is no cap on partners. Null and short texts, and null keys, are no
-    members; repeated rows count once.
+    the table is one row from there on. Proposed pairs come from an equi-join on the band's
+    hash, which adaptive execution splits where a hash is frequent; of them go on those whose
+    numbers of shingles allow the similarity at all, and each is then compared exactly, on
+    texts, which are a third of their shingles in size. There is no cap on partners. Null and short texts,
+    and null keys, are no members; repeated rows count once.
     """
     if bands * rows % 2:
         raise ValueError("an even number of signature values is needed")
@@ -87,34 +99,32 @@ def near_duplicates(df: DataFrame, *, key: str, text: str, n: int = 3, threshold
     members = base.join(reps, "text").select("key", "rep")
     kind = dict(base.dtypes)["key"]
     permutations = bands * rows // 2
+    mixed = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole, 1, 1 << 19):
-                flat = FlatText(batch.column(1))
-                grams, at = shingle_sets(flat, n)
-                folded = _fold(signatures(grams, at, permutations), rows)
+                grams, at = shingle_sets(FlatText(batch.column(1)), n)
+                folded = _fold(signatures(grams, at, permutations), rows).view(np.uint64) ^ mixed
                 offsets = pa.array(np.arange(0, folded.size + 1, bands), pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(folded.reshape(-1)))], ["rep", "hashes"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at), pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(folded.view(np.int64).reshape(-1)))], ["rep", "size", "hashes"])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in chunks(whole, 1):
-                grams, at = shingle_sets(FlatText(batch.column(1)), n)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(grams))], ["rep", "grams"])
+            for half in chunks(whole, 2, 1 << 20):
+                for batch in chunks(half, 3, 1 << 20):
+                    similarity = jaccard(FlatText(batch.column(2)), FlatText(batch.column(3)), n)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similarity)], ["a", "b", "similarity"]).filter(pa.array(similarity >= threshold))
 
     texts = reps.select("rep", "text")
-    banded = texts.mapInArrow(sign, f"rep {kind}, hashes array<bigint>").select("rep", F.posexplode("hashes").alias("band", "hash"))
-    left = banded.select(F.col("rep").alias("a"), "band", "hash")
-    right = banded.select(F.col("rep").alias("b"), F.col("band").alias("band_b"), F.col("hash").alias("hash_b"))
-    pairs = left.join(right, (F.col("hash") == F.col("hash_b")) & (F.col("band") == F.col("band_b")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
-    grams = texts.mapInArrow(sets, f"rep {kind}, grams array<bigint>")
-    ga = grams.select(F.col("rep").alias("a"), F.col("grams").alias("grams_a"))
-    gb = grams.select(F.col("rep").alias("b"), F.col("grams").alias("grams_b"))
-    both = pairs.join(ga, "a").join(gb, "b").withColumn("shared", F.size(F.array_intersect("grams_a", "grams_b")))
-    similarity = F.col("shared") / (F.size("grams_a") + F.size("grams_b") - F.col("shared"))
-    links = both.select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
-    return links, members
+    banded = texts.mapInArrow(sign, f"rep {kind}, size int, hashes array<bigint>").select("rep", "size", F.explode("hashes").alias("hash"))
+    left = banded.select(F.col("rep").alias("a"), F.col("size").alias("size_a"), "hash")
+    right = banded.select(F.col("rep").alias("b"), F.col("size").alias("size_b"), "hash")
+    possible = F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")
+    pairs = left.join(right, "hash").filter((F.col("a") < F.col("b")) & possible).select("a", "b").distinct()
+    ta, tb = (texts.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    both = pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(compare, f"a {kind}, b {kind}, similarity double"), members
 
 
 def expand_pairs(links: DataFrame, members: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: Rows that one co-group should hold.
 ROWS_PER_SHARD = 200_000
 
@@ -53,9 +55,8 @@ def _match(tolerance: float):
         before = np.where(at > lo, np.abs(lt - rt[np.maximum(at - 1, 0)]), far)
         right_ids = np.asarray(right["right_id"].to_pylist(), object)[order]
         pick = np.where(before <= after, at - 1, at)
-        tie = (before == after) & np.isfinite(before)
-        for i in np.flatnonzero(tie):  # equally near on both sides
-            pick[i] = min((at[i] - 1, at[i]), key=lambda p: right_ids[p])
+        tie = np.flatnonzero((before == after) & np.isfinite(before))  # equally near on both sides
+        pick[tie] = np.where(right_ids[at[tie]] < right_ids[at[tie] - 1], at[tie], at[tie] - 1)
         gap = np.minimum(before, after)
         keep = np.flatnonzero(gap <= tolerance)
         return pa.table({"left_id": left["left_id"].take(pa.array(keep)), "right_id": pa.array(right_ids[pick[keep]].tolist(), right.schema.field("right_id").type), "gap": pa.array(gap[keep])})
@@ -68,10 +69,12 @@ def nearest_in_time(left: DataFrame, right: DataFrame, *, entity: str, left_id:
 
     Both tables are cut into cells of (entity, time range); a right row goes to every
     cell that its margin of ``tolerance`` reaches, so that each left row finds its
-    neighbours in its own cell. Cells are hashed to shards, which are co-grouped; a
-    shard's size is set by the number of rows, and an entity that holds much of the
-    data is spread by its time ranges, a crowded range by a hash of its left rows. Within a shard a binary search runs over all
-    left rows at once and compares the two neighbouring times.
+    neighbours in its own cell. A cell with more rows of both sides than a shard should hold is
+    halved in time, as often as it takes but not below an eighth of the tolerance, with
+    the same margin; where the left rows of a piece are still too many, they are dealt out by hash.
+    Right rows of an entity at one time are one, so that such a piece is bounded by the resolution of the
+    times. Cells are hashed to shards, whose number follows the number of rows, and the shards are co-grouped. Within a
+    shard a binary search runs over all left rows at once and compares the two neighbouring times.
 
     Rows with a null entity, id or time, and NaN, match nothing. Repeated left rows
     count once. Of right rows at one time of an entity, and of two equally near, the
@@ -79,6 +82,7 @@ def nearest_in_time(left: DataFrame, right: DataFrame, *, entity: str, left_id:
     """
     width = float(cell or max(60.0 * tolerance, 60.0))
     margin = tolerance * (1 + 1e-9) + 1e-6
+    deepest = max(0, int(np.log2(max(width / max(tolerance / 8, 1e-3), 1.0))))
     at = F.col("t")
     # Ties and repeated rows are settled here, before anything is spread.
     points = (
@@ -93,17 +97,28 @@ def nearest_in_time(left: DataFrame, right: DataFrame, *, entity: str, left_id:
         .distinct()
     )
     spark = left.sparkSession
-    rows = left.count() + right.count()
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_shard))
     homed = wanted.withColumn("cell", F.floor(at / width))
-    # A cell with more left rows than a shard should hold is dealt to several, each with all right rows of the cell.
-    crowded = homed.groupBy("entity", "cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_shard).select("entity", "cell", F.ceil(F.col("n") / per_shard).cast("int").alias("parts"))
+    # Rows of both sides by cell, counted in one pass that gives the number of shards and the crowded cells.
+    counts = homed.select("entity", "cell").unionByName(points.select("entity", F.floor(at / width).alias("cell"))).groupBy("entity", "cell").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(counts, "cells")
+    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_shard))
+    halvings = F.least(F.ceil(F.log2(F.col("n") / per_shard)).cast("int"), F.lit(deepest)).alias("halvings")
+    crowded = counts.filter(F.col("n") > per_shard).select("entity", "cell", halvings)
+    deep = F.coalesce("halvings", F.lit(0))
+    piece = lambda t: F.floor(t / (F.lit(width) / F.pow(F.lit(2.0), deep)))
+    homed = homed.join(crowded, ["entity", "cell"], "left").withColumn("piece", piece(at))
+    dense = homed.groupBy("entity", "cell", "piece").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_shard).select("entity", "cell", "piece", F.ceil(F.col("n") / per_shard).cast("int").alias("parts"))
     parts = F.coalesce("parts", F.lit(1))
-    homed = homed.join(crowded, ["entity", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("left_id"), parts).cast("int"))
-    spread = points.withColumn("cell", F.explode(F.sequence(F.floor((at - margin) / width), F.floor((at + margin) / width))))
-    spread = spread.join(crowded, ["entity", "cell"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-    shard = F.pmod(F.xxhash64("entity", "cell", "part"), F.lit(shards)).cast("int").alias("shard")
-    spread = spread.select("entity", "cell", "t", "right_id", shard)
-    homed = homed.select("entity", "cell", "t", "left_id", shard)
+    homed = homed.join(dense, ["entity", "cell", "piece"], "left").withColumn("part", F.pmod(F.xxhash64("left_id"), parts).cast("int"))
+    spread = points.withColumn("cell", F.explode(F.sequence(F.floor((at - margin) / width), F.floor((at + margin) / width)))).join(crowded, ["entity", "cell"], "left")
+    # Pieces of this cell alone: the neighbouring cells' are the neighbouring rows'.
+    whole = F.pow(F.lit(2.0), deep).cast("bigint")
+    first, last = F.greatest(piece(at - margin), F.col("cell") * whole), F.least(piece(at + margin), (F.col("cell") + 1) * whole - 1)
+    spread = spread.withColumn("piece", F.explode(F.sequence(first, F.greatest(first, last))))
+    spread = spread.join(dense, ["entity", "cell", "piece"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    shard = F.pmod(F.xxhash64("entity", "cell", "piece", "part"), F.lit(shards)).cast("int").alias("shard")
+    spread = spread.select("entity", F.xxhash64("cell", "piece").alias("cell"), "t", "right_id", shard)
+    homed = homed.select("entity", F.xxhash64("cell", "piece").alias("cell"), "t", "left_id", shard)
     schema = f"left_id {dict(homed.dtypes)['left_id']}, right_id {dict(spread.dtypes)['right_id']}, gap double"
     return homed.groupBy("shard").cogroup(spread.groupBy("shard")).applyInArrow(_match(tolerance), schema)
