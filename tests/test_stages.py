@@ -117,3 +117,14 @@ def test_small_stage_operators(spark):
     cues = spark.createDataFrame([("v", "speech", 0.0, 0.0)], "e string, source string, t_start double, t_end double")
     with pytest.raises(ValueError):
         captions.pick_source(cues, entity="e", source="source", order=["manual", "speech"], expected=spark.createDataFrame([("u",)], "e string"))
+
+
+def test_keyed_tables_grow(spark, tmp_path):
+    table = KeyedTable(spark, f"file://{tmp_path}/grown", "k", "k bigint, v string", buckets=2, per_bucket=10)
+    some = lambda a, b, v: spark.range(a, b).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    table.replace(some(0, 100, "a"))
+    assert table.manifest()[1] == 2
+    table.replace(some(50, 60, "b"))
+    assert table.manifest()[1] == 16 and table.read().count() == 100 and table.read().filter("v = 'b'").count() == 10
+    table.drop(some(0, 5, ""))
+    assert table.manifest()[1] == 16 and table.read().count() == 95
