@@ -363,49 +363,63 @@ def build_lexicon(df: DataFrame, text: str, name: str, folder: str, words: int =
     """Compile the most frequent words of the column; returns the name under which executors find the file.
 
     The words come from counts over all rows. A histogram of the counts, by 64ths of a
-    power of two, gives the least count that at most ``words`` words reach; those words, of at
-    most WORD_BYTES bytes, are all that reaches the driver, from however many tasks.
+    power of two, gives the least count that at most ``words`` words reach; of the words just below
+    as many are added as there is room for, by a hash. Those words, of at most WORD_BYTES bytes, are all
+    that reaches the driver, from however many tasks.
     """
     spark = df.sparkSession
     grade = F.floor(F.log2("n") * 64).cast("int").alias("grade")
     counted = cut(count_words(df, text).filter("n >= 2").select("word", "n", grade), "words")
-    least, total = None, 0
     # At most 64 rows for each power of two.
-    for row in sorted(counted.groupBy("grade").agg(F.count(F.lit(1)).alias("m")).collect(), reverse=True):
-        total += row["m"]
-        if total > words:
+    sizes = {r["grade"]: r["m"] for r in counted.groupBy("grade").agg(F.count(F.lit(1)).alias("m")).collect()}
+    least, room = None, words
+    for at in sorted(sizes, reverse=True):
+        if sizes[at] > room:
             break
-        least = row["grade"]
-    top = counted.filter(F.col("grade") >= least).select("word").collect() if least is not None else []
+        least, room = at, room - sizes[at]
+    wanted = F.col("grade") >= least if least is not None else F.lit(False)
+    below = max((at for at in sizes if least is None or at < least), default=None)
+    if below is not None and room > 0:
+        # A share of the next grade's slices by hash, of which none holds many words.
+        slices = max(1, -(-sizes[below] // 64))
+        part = F.pmod(F.xxhash64("word"), F.lit(slices))
+        held = counted.filter(F.col("grade") == below).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("m")).orderBy("part").limit(words).collect()
+        last = -1
+        for row in held:
+            if row["m"] > room:
+                break
+            last, room = row["part"], room - row["m"]
+        wanted = wanted | ((F.col("grade") == below) & (part <= last))
+    top = counted.filter(wanted).select("word").collect()
     merge = tokenizer(name, folder)
     lexicon = Transducer.build({(w := bytes(r["word"])): merge._encode_single_piece(w) for r in top})
-    return publish(spark, lexicon)
+    return publish(spark, lexicon, (Path(folder) / f"{name}.tiktoken").read_bytes())
 
 
-def publish(spark: SparkSession, lexicon: Transducer) -> str:
-    """Write the automaton to the shared folder and have the executors fetch it."""
-    file = f"lexicon-{uuid.uuid4().hex[:12]}.bin"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{file}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.create(path, True)
-    try:
-        stream.write(bytearray(lexicon.to_bytes()))
-    finally:
-        stream.close()
-    spark.sparkContext.addFile(fs.makeQualified(path).toString())
-    return file
+def publish(spark: SparkSession, lexicon: Transducer, vocabulary: bytes) -> str:
+    """Write automaton and vocabulary to the shared folder and have the executors fetch both; the name of the two."""
+    name = f"lexicon-{uuid.uuid4().hex[:12]}"
+    for file, content in ((f"{name}.bin", lexicon.to_bytes()), (f"{name}.tiktoken", vocabulary)):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{file}")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        stream = fs.create(path, True)
+        try:
+            stream.write(bytearray(content))
+        finally:
+            stream.close()
+        spark.sparkContext.addFile(fs.makeQualified(path).toString())
+    return name
 
 
-_OPEN: dict[tuple, Encoder] = {}
+_OPEN: dict[str, Encoder] = {}
 
 
-def open_encoder(file: str, name: str, folder: str) -> Encoder:
-    """The worker's encoder over the mapped file."""
-    known = (file, name, folder)
-    if known not in _OPEN:
+def open_encoder(published: str) -> Encoder:
+    """The worker's encoder over the mapped file and the vocabulary that came with it."""
+    if published not in _OPEN:
         _OPEN.clear()
-        _OPEN[known] = Encoder(Transducer.mapped(SparkFiles.get(file)), name, folder)
-    return _OPEN[known]
+        _OPEN[published] = Encoder(Transducer.mapped(SparkFiles.get(f"{published}.bin")), published, SparkFiles.getRootDirectory())
+    return _OPEN[published]
 
 
 def encode(df: DataFrame, *, key: str, text: str, name: str = "byte_bpe_50k", folder: str = TOKENIZERS, lexicon: str | None = None) -> DataFrame:
@@ -414,11 +428,11 @@ def encode(df: DataFrame, *, key: str, text: str, name: str = "byte_bpe_50k", fo
     lexicon: the name that :func:`build_lexicon` returned; by default one is built from
     this column. Repeated rows give a row each. Other columns are not read.
     """
-    file = lexicon or build_lexicon(df, text, name, folder)
+    published = lexicon or build_lexicon(df, text, name, folder)
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = open_encoder(file, name, folder)
+        encoder = open_encoder(published)
         for whole in batches:
             for batch in chunks(whole, 1):
                 ids, at = encoder.ids(FlatText(batch.column(1)))
@@ -429,11 +443,11 @@ def encode(df: DataFrame, *, key: str, text: str, name: str = "byte_bpe_50k", fo
 
 def token_sizes(df: DataFrame, *, key: str, text: str, name: str = "byte_bpe_50k", folder: str = TOKENIZERS, lexicon: str | None = None) -> DataFrame:
     """(key, tokens): the number of ids of every row, as :func:`encode` would give them."""
-    file = lexicon or build_lexicon(df, text, name, folder)
+    published = lexicon or build_lexicon(df, text, name, folder)
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = open_encoder(file, name, folder)
+        encoder = open_encoder(published)
         for whole in batches:
             for batch in chunks(whole, 1):
                 sizes = encoder.sizes(FlatText(batch.column(1)))

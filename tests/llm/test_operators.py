@@ -3,7 +3,7 @@ from collections import defaultdict
 import brute
 import pytest
 from cuegrain.llm.canon import look_alike_pairs, one_form
-from cuegrain.llm.lexicon import TOKENIZERS, count_words, encode, token_sizes, tokenizer
+from cuegrain.llm.lexicon import TOKENIZERS, Transducer, build_lexicon, count_words, encode, token_sizes, tokenizer
 from cuegrain.llm.minmax import expand_pairs, near_duplicates
 from cuegrain.llm.nearest import nearest_in_time
 from cuegrain.llm.packing import pack
@@ -139,12 +139,21 @@ def test_prose_and_keywords_of_any_language(spark, corpus):
     assert {r["id"] for r in pages.filter("spam").collect()} == {k for k, _ in rows if k.startswith("kw ")}
 
 
-def test_encoding_and_packing(spark):
+def test_encoding_and_packing(spark, monkeypatch):
     merge = tokenizer("byte_bpe_50k", TOKENIZERS)
     texts = {1: "it's  a test", 2: "", 3: None, 4: "骨架的骨架，骨架", 5: "word " * 3000, 6: "<|endoftext|>", 7: "it's a test"}
     df = spark.createDataFrame([(k, t, 0) for k, t in texts.items()] + [(7, texts[7], 0)], "id long, text string, ids int")
     rows = encode(df, key="id", text="text").collect()
     assert len(rows) == 8 and all(r["ids"] == merge.encode_ordinary(texts[r["id"]] or "") for r in rows)
+    # However many words share a count, the lexicon takes as many as it may.
+    many = spark.createDataFrame([(1, " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)) + " ")] * 2, "id long, text string")
+    seen = {}
+    build = Transducer.build
+    monkeypatch.setattr(Transducer, "build", staticmethod(lambda words: seen.update(words) or build(words)))
+    small = build_lexicon(many, "text", "byte_bpe_50k", TOKENIZERS, words=150)
+    monkeypatch.undo()
+    assert 60 <= len(seen) <= 150
+    assert all(r["ids"] == merge.encode_ordinary(many.first()["text"]) for r in encode(many, key="id", text="text", lexicon=small).collect())
     counted = {bytes(r["word"]): r["n"] for r in count_words(df, "text").collect()}
     assert counted[b" word"] == 2999 and counted[b"'s"] == 3 and counted[b" test"] == 3
     sizes = token_sizes(df, key="id", text="text")
