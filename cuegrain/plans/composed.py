@@ -13,7 +13,7 @@ from ..operators import segmentation as S
 from ..operators import signals as Sg
 from ..operators import survey as V
 from ..registry import Registry, load
-from .pipeline import blocks, verdicts
+from .pipeline import _BLOCKS, _GATES, blocks, sql_gates, verdicts
 from .signals import series, sql_viterbi
 from .text import reads
 from .timeline import _DEPTHS, _ENDS, _SCORES, _TOPICS, cues, ends, marks
@@ -99,7 +99,10 @@ def closest_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.closest_alpha(L.alpha_sweep(_scores(spark, sf_dir), _ALPHAS, entity="video_id"), wanted, _ALPHAS, entity="video_id")
 
 
-@REGISTRY.add("source_swap")
+_ARMS = "ar AS (SELECT arm || video_id AS video_id, segment_id, block_index, type, text, CASE arm WHEN 'raw' THEN source ELSE coalesce(corrected, '') END AS source, '' AS other, NULL AS corrected, arm FROM bl, (VALUES ('raw'), ('next')) a(arm) WHERE block_index > 0)"
+
+
+@REGISTRY.add("source_swap", f"WITH {_BLOCKS}, {_ARMS}, {sql_gates('ar')} SELECT arm, type, count(*) AS n, round(avg((reason = '')::INT), 9) AS pass_rate FROM vd GROUP BY ALL")
 def source_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pass rates of blocks against the raw text, and against what follows it."""
     return L.swap_sources(blocks(spark, sf_dir).filter("kind = 'transcript'").withColumn("own", F.col("transcript")).withColumn("next", F.col("corrected")), {"raw": "own", "next": "next"})
@@ -227,7 +230,13 @@ def claim_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.claim_support(c, load(spark, sf_dir, "segments").select("segment_id", "video_id", "transcript_raw").distinct(), key="video_id", claim="claim", text="transcript_raw")
 
 
-@REGISTRY.add("debug_reports")
+@REGISTRY.add(
+    "debug_reports",
+    f"""WITH {_GATES}, ur AS (SELECT video_id, min(url) AS url FROM videos GROUP BY ALL), ln AS (SELECT video_id, segment_id, string_agg('- [' || status || '] ' || type || ': ' || text, chr(10) ORDER BY block_index, text) AS b FROM rl GROUP BY ALL),
+    hd AS (SELECT DISTINCT segment_id, video_id, t_start, url, printf('%02d:%02d:%02d', floor(t_start)::INT // 3600, floor(t_start)::INT // 60 % 60, floor(t_start)::INT % 60) AS stamp FROM segments JOIN ur USING (video_id)),
+    pt AS (SELECT video_id, segment_id, t_start, '## ' || stamp || ' ' || segment_id || ' (' || url || '&t=' || floor(t_start)::INT || 's)' || chr(10) || coalesce(b, '') AS x FROM hd LEFT JOIN ln USING (video_id, segment_id)),
+    md AS (SELECT video_id, coalesce(string_agg(x, chr(10) || chr(10) ORDER BY t_start, segment_id, x), '') AS md FROM pt GROUP BY ALL) SELECT video_id, length(md) AS n_chars, substr(sha256(md), 1, 16) AS sha FROM md""",
+)
 def debug_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report on each video's blocks."""
     url = load(spark, sf_dir, "videos").groupBy("video_id").agg(F.min("url").alias("url"))

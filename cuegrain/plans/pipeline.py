@@ -56,7 +56,9 @@ def _gate(src: str, g: str) -> str:
     return f"CASE WHEN CASE WHEN x = '' THEN 0.0 ELSE length({src}) / greatest(length(x), 1) END < 0.15 THEN 'short_source' WHEN {sql_containment('gt', g)} < {_LIMIT} THEN 'unlike' WHEN len(list_filter(ent, lambda e: len(list_filter(coalesce({_FORMS}[e], [e]), lambda w: contains({src}, w))) = 0)) > 0 THEN 'entities' ELSE '' END"
 
 
-_GATES = f"""{_BLOCKS}, cl AS (SELECT *, row_number() OVER () AS k, {sql_strip('text')} AS x, {sql_strip('source')} AS s, {sql_strip('other')} AS o, {sql_strip("coalesce(corrected, '')")} AS c, {_SQL_ENTITIES.format(x='text')} AS ent FROM bl),
+def sql_gates(rows: str) -> str:
+    """CTEs that end in rl: verdicts of the blocks that ``rows`` names (video_id, segment_id, block_index, type, text, source, other, corrected)."""
+    return f"""cl AS (SELECT *, row_number() OVER () AS k, {sql_strip('text')} AS x, {sql_strip('source')} AS s, {sql_strip('other')} AS o, {sql_strip("coalesce(corrected, '')")} AS c, {_SQL_ENTITIES.format(x='text')} AS ent FROM {rows}),
 {sql_longest_common('cl')},
 gr AS (SELECT *, {sql_grams('x')} AS gt, {sql_grams('s')} AS gs, {sql_grams('o')} AS go, {sql_grams('c')} AS gc, coalesce(n, 0) / greatest(length(x), 1) AS copied FROM cl LEFT JOIN lc USING (k)),
 ga AS (SELECT *, {_gate('s', 'gs')} AS gate FROM gr),
@@ -65,6 +67,9 @@ vd AS (SELECT *, CASE WHEN gate = '' AND copied >= 0.98 THEN 'copy' ELSE gate EN
 rl AS (SELECT *, CASE WHEN reason = '' THEN 'verified' WHEN reason <> 'copy' THEN 'unverified' WHEN avg((reason = 'copy')::INT) OVER (PARTITION BY video_id, type) <= CASE type WHEN '圖表描述' THEN 0.5 ELSE 0.8 END THEN 'verified' ELSE 'degenerate_copy' END AS status FROM vd)"""
 
 
+_GATES = f"{_BLOCKS}, {sql_gates('bl')}"
+
+
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts of the blocks, copies relaxed by type."""
     return P.relax_copies(P.check_blocks(blocks(spark, sf_dir)))

@@ -128,3 +128,18 @@ def test_keyed_tables_grow(spark, tmp_path):
     assert table.manifest()[1] == 16 and table.read().count() == 100 and table.read().filter("v = 'b'").count() == 10
     table.drop(some(0, 5, ""))
     assert table.manifest()[1] == 16 and table.read().count() == 95
+
+
+def test_rolling_captions_as_a_stream(spark, tmp_path):
+    from cuegrain.streaming import feeds
+
+    rows = [("v", 0, 0.0, 1.0, "a b", "2026-01-01 00:00:00"), ("v", 1, 1.0, 2.0, "a b c", "2026-01-01 00:00:01"), ("v", 2, 2.0, 3.0, "ab c", "2026-01-01 00:00:02"), ("v", 3, 3.0, 4.0, "d", "2026-01-01 00:00:03"), ("w", 0, 0.0, 1.0, None, "2026-01-01 00:00:03")]
+    later = [("v", 4, 4.0, 5.0, "d e", "2026-01-01 00:00:05"), ("x", 0, 0.0, 1.0, "z", "2026-01-02 00:00:00")]
+    schema = "e string, index int, t_start double, t_end double, text string, at string"
+    for n, part in enumerate((rows, later, [("y", 0, 0.0, 1.0, "q", "2026-01-03 00:00:00")])):
+        spark.createDataFrame(part, schema).withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        feed = spark.readStream.schema("e string, index int, t_start double, t_end double, text string, at timestamp").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        q = feeds.rolling_captions(feed, entity="e", time="at").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = sorted((r["e"], r["t_start"], r["t_end"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got[:2] == [("v", 0.0, 3.0, "a b c"), ("v", 3.0, 5.0, "d e")]
