@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import cut
 
 
 def validate_corrections(proposed: DataFrame, *, key: str, raw: str, sounds: dict[str, str] | None = None) -> DataFrame:
@@ -42,35 +47,153 @@ def _differences(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda s, x: s + x)
 
 
+#: Bits of the filters that texts are read against: 8 MB, however many terms there are. A fuller filter lets more through and loses nothing.
+FILTER_BITS = 1 << 26
+#: Characters that are looked at together.
+TEXT_CHARS = 1 << 19
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _cuts(n: int, similarity: float) -> list[tuple[int, int]]:
+    """(start, length) of the parts of a term of n characters, of which a stretch as similar as asked shares one."""
+    d = int((1 - similarity) * n + 1e-9)
+    size = -(-n // (d + 1))
+    return [(p * size, max(min(size, n - p * size), 0)) for p in range(d + 1)]
+
+
+def _windows(cps: np.ndarray, width: int, salt: int) -> np.ndarray:
+    """The filter's bit for every window of ``width`` characters."""
+    out = np.zeros(max(len(cps) - width + 1, 0), np.uint64)
+    for i in range(width):
+        out = (out ^ (cps[i : i + len(out)].astype(np.uint64) + np.uint64(1))) * _ODD
+        out ^= out >> np.uint64(29)
+    out = (out ^ np.uint64(salt)) * _ODD
+    return (out >> np.uint64(38)).astype(np.int64)
+
+
+def _sounded(texts: list[str], table: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points with each character's lower case or sound, offsets)."""
+    cps = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    kinds, back = np.unique(cps, return_inverse=True)
+    plain = [ord(x) if len(x := chr(c).lower()) == 1 else c for c in kinds.tolist()]
+    said = np.array([table.get(c, c) for c in plain], np.uint32)
+    return said[back.reshape(-1)] if len(cps) else cps, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
+def _filter(rows: DataFrame, bits) -> np.ndarray:
+    """A filter of FILTER_BITS from a column of texts; ``bits`` gives those of a list of texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(bits(batch.column(0).to_pylist()))
+            word, first = np.unique(at >> 6, return_index=True)
+            value = np.bitwise_or.reduceat(np.left_shift(np.int64(1), at & 63), first) if len(at) else at
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value)], ["word", "bits"])
+
+    words = rows.mapInArrow(count, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(FILTER_BITS >> 6, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def _holds(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (table[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def _stretches(texts: DataFrame, schema: str, lengths: range, hits) -> DataFrame:
+    """(key, before) of the windows that ``hits`` (code points, length) finds; a text's equal windows once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, rows = batch.column(0), batch.column(1).fill_null("").to_pylist()
+            total, start = np.cumsum([len(t) for t in rows]), 0
+            while start < len(rows):
+                stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + TEXT_CHARS, "right")))
+                part = rows[start:stop]
+                whole, (cps, at) = "".join(part), hits.sounded(part)
+                owner = np.repeat(np.arange(len(part)), np.diff(at))
+                for n in lengths:
+                    if len(cps) < n:
+                        continue
+                    place = np.flatnonzero(hits(cps, n) & (owner[: len(cps) - n + 1] == owner[n - 1 :]))
+                    found = sorted({(o, whole[i : i + n]) for o, i in zip(owner[place].tolist(), place.tolist())})
+                    if found:
+                        yield pa.RecordBatch.from_arrays([keys.take(pa.array([start + o for o, _ in found])), pa.array([x for _, x in found])], ["key", "before"])
+                start = stop
+
+    return texts.mapInArrow(run, schema)
+
+
+class _Hits:
+    """Windows whose bits a filter holds: of any part of a term of their length, or of the window itself."""
+
+    def __init__(self, table: np.ndarray, sounds: dict[int, int], similarity: float | None) -> None:
+        self.table, self.sounds, self.similarity = table, sounds, similarity
+
+    def sounded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _sounded(texts, self.sounds)
+
+    def __call__(self, cps: np.ndarray, n: int) -> np.ndarray:
+        count = len(cps) - n + 1
+        if self.similarity is None:
+            return _holds(self.table, _windows(cps, n, n))
+        out = np.zeros(count, bool)
+        for p, (start, width) in enumerate(_cuts(n, self.similarity)):
+            out |= True if not width else _holds(self.table, _windows(cps, width, 100 * n + p)[start : start + count])
+        return out
+
+
 def propose(texts: DataFrame, terms: DataFrame, *, key: str, text: str, similarity: float = 0.90, least: int = 3, most: int = 12, sounds: dict[str, str] | None = None) -> DataFrame:
     """(key, before, after, score): stretches of a text that sound like a lexicon term of their length but aren't it.
 
     A stretch and a term of n characters as similar as asked differ in at most
-    d = floor((1 - similarity) * n) places, so that cut into d + 1 parts they share one; an
-    equi-join on (n, part, its sounds) proposes all of them, without trying every
-    term at every place. Stretches that are terms themselves propose nothing. Of several terms
-    for one stretch the best counts, then the least.
+    d = floor((1 - similarity) * n) places, so that cut into d + 1 parts they share one. A first pass
+    over the texts finds the stretches that a filter of all terms' parts lets through; each different
+    one is joined once, on (n, part, its sounds), and compared. A second pass finds the places of
+    those that proved near a term. Both filters have a fixed size and never lose a stretch.
+    Stretches that are terms themselves propose nothing. Of several terms for one stretch the best
+    counts, then the least. Null texts have no stretch; repeated rows count once.
     """
-    sound = lambda c: F.translate(F.lower(c), "".join(sounds), "".join(chr(0xF0000 + sorted(set(sounds.values())).index(v)) for v in sounds.values())) if sounds else F.lower(c)
+    order = sorted(set(sounds.values())) if sounds else []
+    table = {k: chr(0xF0000 + order.index(v)) for k, v in (sounds or {}).items()}
+    sound = lambda c: F.translate(F.lower(c), "".join(table), "".join(table.values())) if table else F.lower(c)
+    codes = {ord(k): ord(v) for k, v in table.items()}
     known = terms.select("term").distinct()
-    windows = []
-    for n in range(least, most + 1):
-        windows.append(texts.select(F.col(key), F.lit(n).alias("n"), F.explode(F.array_distinct(T.gram_list(F.col(text), n))).alias("before")))
-    w = windows[0]
-    for other in windows[1:]:
-        w = w.unionByName(other)
+    lengths = range(least, most + 1)
+    rows = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.length("text") >= least)
+    schema = f"key {dict(rows.dtypes)['key']}, before string"
+
+    def part_bits(found: list[str]) -> np.ndarray:
+        out = [np.zeros(0, np.int64)]
+        for n in lengths:
+            cps, at = _sounded([t for t in found if len(t) == n], codes)
+            for p, (start, width) in enumerate(_cuts(n, similarity)):
+                if width and len(cps):
+                    out.append(_windows(cps, width, 100 * n + p)[at[:-1] + start])
+        return np.concatenate(out)
+
+    def whole_bits(found: list[str]) -> np.ndarray:
+        out = [np.zeros(0, np.int64)]
+        for n in lengths:
+            cps, at = _sounded([t for t in found if len(t) == n], codes)
+            if len(cps):
+                out.append(_windows(cps, n, n)[at[:-1]])
+        return np.concatenate(out)
 
     def parts(df: DataFrame, column: str) -> DataFrame:
         d = F.floor((1 - similarity) * F.col("n") + 1e-9).cast("int")
         size = F.ceil(F.col("n") / (d + 1)).cast("int")
         return df.withColumn("_s", sound(F.col(column))).withColumn("part", F.explode(F.sequence(F.lit(0), d))).withColumn("_key", F.substr("_s", F.col("part") * size + 1, size))
 
-    t = parts(known.withColumn("n", F.length("term")).filter(F.col("n").between(least, most)), "term").withColumnRenamed("_s", "_ts")
-    found = parts(w, "before").join(t, ["n", "part", "_key"]).filter(F.col("before") != F.col("term"))
+    spoken = known.filter(F.length("term").between(least, most))
+    seen = _stretches(rows, schema, lengths, _Hits(_filter(spoken, part_bits), codes, similarity)).select("before").distinct()
+    t = parts(spoken.withColumn("n", F.length("term")), "term").withColumnRenamed("_s", "_ts")
+    found = parts(seen.withColumn("n", F.length("before")), "before").join(t, ["n", "part", "_key"]).filter(F.col("before") != F.col("term"))
     found = found.withColumn("score", F.round(1 - _differences(F.col("_s"), F.col("_ts")) / F.col("n"), 9)).filter(F.col("score") >= similarity - 1e-9)
-    best = found.groupBy(key, "before").agg(F.min(F.struct((-F.col("score")).alias("s"), "term")).alias("b"))
-    best = best.join(known.withColumnRenamed("term", "before"), "before", "left_anti")
-    return best.select(key, "before", F.col("b.term").alias("after"), (-F.col("b.s")).alias("score"))
+    best = found.groupBy("before").agg(F.min(F.struct((-F.col("score")).alias("s"), "term")).alias("b"))
+    best = cut(best.join(known.withColumnRenamed("term", "before"), "before", "left_anti").select("before", F.col("b.term").alias("after"), (-F.col("b.s")).alias("score")), "proposals")
+    places = _stretches(rows, schema, lengths, _Hits(_filter(best.select("before"), whole_bits), codes, None))
+    return places.join(best, "before").select(F.col("key").alias(key), "before", "after", "score").distinct()
 
 
 def _together(**rows: DataFrame) -> DataFrame:
