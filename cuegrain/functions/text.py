@@ -212,6 +212,12 @@ def convert_script(text: Column, table: dict[str, str], where: Column | None = N
     return converted if where is None else F.when(where, converted).otherwise(text)
 
 
+def script_ratio(text: Column, simplified: str) -> Column:
+    """Share of the Han characters that are of the simplified ones given; 0 without any Han character."""
+    han = F.length(F.regexp_replace(text, "[^一-鿿]", ""))
+    return F.when(han > 0, F.length(F.regexp_replace(text, f"[^{simplified}]", "")) / han).otherwise(F.when(text.isNotNull(), 0.0))
+
+
 def differing(a: Column, b: Column) -> Column:
     """Number of places at which two texts of one length differ."""
     return F.size(F.filter(F.zip_with(chars(a), chars(b), lambda x, y: x != y), lambda d: d))

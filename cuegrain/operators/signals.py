@@ -239,3 +239,17 @@ def series_profile(df: DataFrame, *, entity: str, value: str) -> DataFrame:
     counts = y.groupBy(entity).agg(F.count_if((F.col("_v") > F.col("_p99")) & ~F.col("_hi")).alias("between"), F.count_if(odd).alias("outliers"))
     separation = F.when(F.col("_p99") > 0, F.coalesce(F.col("_p1") / F.col("_p99"), F.lit(0.0))).otherwise(0.0)
     return stats.join(counts, entity).select(entity, "n", "cut", "high_ratio", separation.alias("separation"), "between", "outliers")
+
+
+def median_vectors(df: DataFrame, *, entity: str, order: str, vector: str, stride: int = 1) -> DataFrame:
+    """(entity, median): element-wise median of every ``stride``-th vector of an entity, the first one included. Vectors of another length than the entity's longest have no say beyond theirs."""
+    numbered = df.select(entity, vector, (F.row_number().over(W.partitionBy(entity).orderBy(order)) - 1).alias("_i")).filter(F.col("_i") % stride == 0)
+    parts = numbered.select(entity, F.posexplode(vector).alias("_p", "_x")).groupBy(entity, "_p").agg(F.median(F.col("_x").cast("double")).alias("_m"))
+    return parts.groupBy(entity).agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_m"))), lambda x: x["_m"]).alias("median"))
+
+
+def median_distances(df: DataFrame, medians: DataFrame, *, entity: str, vector: str, scale: float = 1.0) -> DataFrame:
+    """Rows with ``distance``: the mean absolute difference to the entity's median, divided by ``scale``; null where the lengths differ."""
+    from .grouping import mean_abs_difference
+
+    return df.join(medians, entity, "left").withColumn("distance", mean_abs_difference(F.col(vector), F.col("median")) / scale).drop("median")

@@ -152,3 +152,32 @@ def within_budget(ledger: DataFrame, *, time: str, order: str, budget: int) -> D
 def stage_graph(spark: SparkSession) -> DataFrame:
     """(stage, affected) of the whole closure."""
     return spark.createDataFrame([(s, x) for s, d in downstream().items() for x in d], "stage string, affected string")
+
+
+class QuotaLedger:
+    """Requests as an append-only table below ``root``, and the limit that was last observed of each model, replaced by model."""
+
+    USE = "model string, at timestamp, tokens_in bigint, tokens_out bigint, segment_id string, outcome string"
+    LIMIT = "model string, limit int, observed_at timestamp"
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        from ..sources.keyed import KeyedTable
+
+        self.spark, self.root = spark, root.rstrip("/")
+        self.limits = KeyedTable(spark, f"{self.root}/limits", "model", self.LIMIT, buckets=1)
+
+    def record(self, rows: DataFrame) -> None:
+        """Append requests."""
+        rows.select(*[c.split()[0] for c in self.USE.split(", ")]).write.mode("append").parquet(f"{self.root}/requests")
+
+    def observe(self, rows: DataFrame) -> None:
+        """Put limits in the place of those known before, unless they were observed earlier."""
+        names = ["model", "limit", "observed_at"]
+        held = self.limits.read().select(*names).unionByName(rows.select(*names))
+        best = held.groupBy("model").agg(F.max(F.struct("observed_at", "limit")).alias("b")).select("model", "b.limit", "b.observed_at")
+        self.limits.replace(best)
+
+    def left(self, configured: int = 20, safety: float = 0.9) -> DataFrame:
+        """(quota_day, model, requests, limit, safe_limit, remaining)."""
+        requests = self.spark.read.schema(self.USE).parquet(f"{self.root}/requests")
+        return remaining(usage_by_day(requests, time="at", model="model"), self.limits.read().select("model", "limit"), configured, safety)

@@ -286,6 +286,13 @@ def rolled_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("video_id", "index", "t_start", "t_end", F.length(F.replace("text", F.lit(" "), F.lit(""))).alias("n_chars"))
 
 
+@REGISTRY.add("script_ratios", f"SELECT DISTINCT segment_id, round(CASE WHEN length(regexp_replace(transcript_raw, '[^一-鿿]', '', 'g')) > 0 THEN length(regexp_replace(transcript_raw, '[^{_FROM}]', '', 'g')) / length(regexp_replace(transcript_raw, '[^一-鿿]', '', 'g')) ELSE 0.0 END, 9) AS ratio FROM segments WHERE transcript_raw IS NOT NULL")
+def script_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of simplified characters in each transcript."""
+    s = load(spark, sf_dir, "segments").filter("transcript_raw IS NOT NULL")
+    return s.select("segment_id", F.round(T.script_ratio(F.col("transcript_raw"), _FROM), 9).alias("ratio")).distinct()
+
+
 # -- sources and small operators --------------------------------------------------------
 
 
@@ -384,3 +391,45 @@ def sound_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of descriptions' stretches that slides have, as written and by sound."""
     r = reads(spark, sf_dir).filter("slide_text IS NOT NULL AND description IS NOT NULL").select("read_id", "slide_text", "description").distinct()
     return r.select("read_id", F.round(T.coverage(F.col("description"), F.col("slide_text")), 9).alias("literal"), F.round(T.sound_coverage(F.col("description"), F.col("slide_text"), _SOUNDS), 9).alias("by_sound"))
+
+
+@REGISTRY.add(
+    "median_distances",
+    """WITH v AS (SELECT vec_id, label, embedding AS e, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i FROM embeddings), u AS (SELECT label, unnest(e)::DOUBLE AS x, generate_subscripts(e, 1) AS p FROM v WHERE i % 3 = 0),
+    m AS (SELECT label, p, median(x) AS m FROM u GROUP BY ALL), w AS (SELECT vec_id, label, unnest(e)::DOUBLE AS x, generate_subscripts(e, 1) AS p FROM v) SELECT vec_id, round(avg(abs(x - m)) / 2, 6) AS distance FROM w JOIN m USING (label, p) GROUP BY vec_id""",
+)
+def median_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's distance to the median of every third one of its label."""
+    v = load(spark, sf_dir, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    m = Sg.median_vectors(v, entity="label", order="vec_id", vector="embedding", stride=3)
+    return Sg.median_distances(v, m, entity="label", vector="embedding", scale=2.0).select("vec_id", F.round("distance", 6).alias("distance"))
+
+
+@REGISTRY.add(
+    "quota_ledger",
+    """WITH e AS (SELECT event_type AS model, ts, event_id FROM events), u AS (SELECT (ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/Los_Angeles')::DATE AS quota_day, model, count(*) AS requests FROM e GROUP BY ALL), l AS (SELECT model, arg_max(30 + event_id % 7, row(ts, 30 + event_id % 7))::INT AS lim FROM e WHERE event_id % 50 = 0 GROUP BY ALL)
+    SELECT quota_day, model, requests, coalesce(lim, 20) AS "limit", greatest(0, floor(coalesce(lim, 20) * 0.9)::INT - requests) AS remaining FROM u LEFT JOIN l USING (model)""",
+)
+def quota_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests appended in two parts and limits observed in either order, read back."""
+    e = load(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).withColumn("model", F.col("event_type"))
+    none = lambda c, t: F.lit(None).cast(t).alias(c)
+    ledger = St.QuotaLedger(spark, scratch(spark, "ledger"))
+    seen = e.filter("event_id % 50 = 0").select("model", (30 + F.col("event_id") % 7).cast("int").alias("limit"), F.col("at").alias("observed_at"))
+    for half in (1, 0):
+        ledger.record(e.filter(F.col("event_id") % 2 == half).select("model", "at", none("tokens_in", "bigint"), none("tokens_out", "bigint"), none("segment_id", "string"), F.lit("ok").alias("outcome")))
+        ledger.observe(seen.filter(F.hour("observed_at") % 2 == half))
+    return ledger.left().select("quota_day", "model", "requests", "limit", "remaining")
+
+
+@REGISTRY.add(
+    "cue_assignments",
+    """WITH h AS (SELECT video_id, unnest(cue_indices) AS m FROM (SELECT DISTINCT segment_id, video_id, cue_indices FROM segments)), c AS (SELECT video_id, m, count(*) AS n FROM h GROUP BY ALL), k AS (SELECT video_id, unnest(range(0, hi + 3)) AS m FROM (SELECT video_id, max(m) AS hi FROM h WHERE m % 40 <> 0 GROUP BY ALL)), kn AS (SELECT * FROM k WHERE m % 40 <> 0)
+    SELECT 'held_twice' AS rule, video_id AS entity, m::VARCHAR AS detail FROM c WHERE n > 1 UNION ALL SELECT 'unassigned', video_id, m::VARCHAR FROM kn WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.video_id = kn.video_id AND c.m = kn.m) UNION ALL SELECT 'unknown', video_id, m::VARCHAR FROM c WHERE NOT EXISTS (SELECT 1 FROM kn WHERE c.video_id = kn.video_id AND c.m = kn.m)""",
+)
+def cue_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cues that several segments hold, that none holds, and that aren't known (every fortieth)."""
+    seg = load(spark, sf_dir, "segments").select("segment_id", "video_id", "cue_indices").distinct()
+    top = seg.select("video_id", F.explode("cue_indices").alias("m")).filter("m % 40 <> 0").groupBy("video_id").agg(F.max("m").alias("hi"))
+    known = top.select("video_id", F.explode(F.sequence(F.lit(0), F.col("hi") + 2)).alias("member")).filter("member % 40 <> 0")
+    return V.assigned_once(seg, entity="video_id", members="cue_indices", known=known)
