@@ -305,8 +305,9 @@ def _starts(at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def longest_common(left: list[str], right: list[str]) -> np.ndarray:
     """Length of the longest common substring of each pair.
 
-    All pairs halve their range of lengths together: the windows of a pair's present
-    length are compared by hashes, those of equal hash character by character.
+    All pairs look for their length together, doubling it from eight on and then halving what is
+    left: the windows of a pair's present length are compared by hashes, those of equal hash
+    character by character.
     """
     pairs, odd = len(left), np.uint64(0x9E3779B97F4A7C15)
     (a, a_at), (b, b_at) = _flat(left), _flat(right)
@@ -316,8 +317,9 @@ def longest_common(left: list[str], right: list[str]) -> np.ndarray:
     mixed ^= mixed >> np.uint64(31)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers[:-1])])
     lo, hi = np.zeros(pairs, np.int64), np.minimum(np.diff(a_at), np.diff(b_at))
+    doubling = np.ones(pairs, bool)
     while (lo < hi).any():
-        size = (lo + hi + 1) >> 1
+        size = np.where(doubling, np.minimum(np.maximum(2 * lo, 8), hi), (lo + hi + 1) >> 1)
         live = lo < hi
         asked = np.where(live, size, len(cps) + 1)
         sides = []
@@ -338,7 +340,7 @@ def longest_common(left: list[str], right: list[str]) -> np.ndarray:
             p = pa[i]
             same = (cps[wa[i] : wa[i] + size[p]] == cps[wb[near[i]] : wb[near[i]] + size[p]]).all()
             found[p] = same or a[a_at[p] : a_at[p + 1]].tobytes() != b"" and _holds(left[p], right[p], int(size[p]))
-        lo, hi = np.where(live & found, size, lo), np.where(live & ~found, size - 1, hi)
+        lo, hi, doubling = np.where(live & found, size, lo), np.where(live & ~found, size - 1, hi), doubling & found
     return lo
 
 

@@ -62,7 +62,9 @@ def nearest_vectors(queries: DataFrame, corpus: DataFrame, *, ident: str, vector
                     bar = bar | (qg[part][:, None] == cg[None, :])
                 scores = np.where(bar, -np.inf, scores)
                 for i, row in enumerate(scores):
-                    top = np.argsort(-row, kind="stable")[:k]
+                    # All rows as good as the k-th, in order of goodness, then of id.
+                    near = np.flatnonzero(row >= np.partition(row, -k)[-k]) if len(row) > k else np.arange(len(row))
+                    top = near[np.argsort(-row[near], kind="stable")][:k]
                     top = top[np.isfinite(row[top])]
                     out_q += [qi[start + i]] * len(top)
                     out_c += ids[top].tolist()

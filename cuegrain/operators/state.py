@@ -39,7 +39,7 @@ def stale_stages(states: DataFrame, wanted: DataFrame) -> DataFrame:
     """(video_id, stage): stages to run again, as their own parameters or those of a stage that they need have changed. wanted (stage, want)."""
     spark = states.sparkSession
     table = spark.createDataFrame([(s, [s, *d]) for s, d in downstream().items()], "stage string, affected array<string>")
-    changed = states.join(F.broadcast(wanted), "stage").filter(F.col("params_hash").isNotNull() & ~F.col("params_hash").eqNullSafe(F.col("want")))
+    changed = states.join(wanted, "stage").filter(F.col("params_hash").isNotNull() & ~F.col("params_hash").eqNullSafe(F.col("want")))
     hit = changed.select("video_id", "stage").join(F.broadcast(table), "stage").select("video_id", F.explode("affected").alias("stage")).distinct()
     return states.select("video_id", "stage").join(hit, ["video_id", "stage"], "left_semi")
 
@@ -80,7 +80,7 @@ def synced(states: DataFrame, wanted: DataFrame) -> DataFrame:
 
     wanted (stage, want). A stage without a hash isn't compared; one below a changed stage is forgotten, changed or not.
     """
-    changed = states.join(F.broadcast(wanted), "stage").filter(F.col("params_hash").isNotNull() & ~F.col("params_hash").eqNullSafe(F.col("want")))
+    changed = states.join(wanted, "stage").filter(F.col("params_hash").isNotNull() & ~F.col("params_hash").eqNullSafe(F.col("want")))
     below = _closure(changed).join(states.select("video_id", "stage"), ["video_id", "stage"], "left_semi")
     own = changed.join(below, ["video_id", "stage"], "left_anti").select("video_id", "stage", "status", F.lit(None).cast("string").alias("params_hash"), "finished_at", "error", "note")
     return _reset(below).withColumn("invalidated", F.lit(True)).unionByName(own.withColumn("invalidated", F.lit(False)))
@@ -93,7 +93,7 @@ def saved(log: DataFrame, records: DataFrame, at: Column) -> DataFrame:
 
 def ready_for(states: DataFrame, wanted: DataFrame, stage: str, inputs: DataFrame) -> DataFrame:
     """Videos whose ``stage`` is satisfied and that have rows in ``inputs``."""
-    x = states.filter(F.col("stage") == stage).join(F.broadcast(wanted), "stage")
+    x = states.filter(F.col("stage") == stage).join(wanted, "stage")
     return x.filter(satisfied(F.col("status"), F.col("params_hash"), F.col("want"))).select("video_id").join(inputs.select("video_id"), "video_id", "left_semi")
 
 
