@@ -30,8 +30,8 @@ _MARKUP = re.compile(
     r"|(?<![A-Za-z0-9.-])(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,12}+/[^\s<>\"'()\[\]，。；、｜]*"
     r"|[#＃@＠][^\s#＃@＠,，。;；、]+"
 )
-#: Every match of the pattern holds one of these.
-_OPENERS = "</.#＃@＠"
+#: Every match of the pattern holds one of these; a full stop alone opens none.
+_OPENERS = ("<", "/", "www.", "#", "＃", "@", "＠")
 _MARK, _DIGIT = 0xE000, 0x30
 
 #: Bits that a character tells about the text: a letter or sign, one of a large script, a number. A substring
@@ -54,6 +54,34 @@ FIRST = np.array([-1.17, 0.94, 4.61, -0.13, 1.45, -0.91, -1.11, -3.39, 0.15, 2.5
 SECOND = np.array([3.43, 0.62, 2.26, 0.34, 0.01, -0.19, -0.25, -1.58, 1.21, 2.23, 1.59, 0.31, 1.25, -1.69, -2.18])
 
 
+def _in_order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys in ascending order, their places), equal keys by place. Keys are 0 or more.
+
+    Key and place are sorted as one word where they fit into it, which takes a fifth of the time of argsort.
+    """
+    n = len(key)
+    wide = n.bit_length()
+    if not n or int(key.max()).bit_length() + wide > 63:
+        place = np.argsort(key, kind="stable")
+        return key[place], place
+    word = (key << wide) | np.arange(n)
+    word.sort()
+    return word >> wide, word & ((1 << wide) - 1)
+
+
+def _hashes_in_order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for int64 hashes: their first bits are sorted, and where those of different hashes agree the whole."""
+    low = (1 << len(key).bit_length()) - 1
+    word = (key & ~low) | np.arange(len(key))
+    word.sort()
+    place = word & low
+    ordered = key[place]
+    if (((word[1:] | low) == (word[:-1] | low)) & (ordered[1:] != ordered[:-1])).any():
+        place = np.argsort(key, kind="stable")
+        ordered = key[place]
+    return ordered, place
+
+
 class SuffixAutomaton:
     """The suffix automata of many pages at once, in array form.
 
@@ -68,30 +96,39 @@ class SuffixAutomaton:
     def __init__(self, symbols: np.ndarray, at: np.ndarray) -> None:
         n = len(symbols)
         self.n = n
+        kind = np.int32 if n < 2**31 else np.int64
+        self.order = np.empty(n, kind)
+        #: By position what stands for the 1, 2, 4, ... symbols from there on: equal where they are.
+        self.levels: list[np.ndarray] = []
+        if not n:
+            return
         page = np.repeat(np.arange(len(at) - 1), np.diff(at))[::-1]
-        key = (page << 21) | symbols[::-1]
+        there = np.zeros(int(symbols.max()) + 1, bool)
+        there[symbols] = True
+        code = np.cumsum(there)
+        many = int(code[-1]) + 1
+        symbol = code[symbols][::-1]
         # End (exclusive) of every reversed prefix: where its page begins.
         stop = n - np.repeat(at[:-1], np.diff(at))[::-1]
-        order = np.argsort(key)
-        self.levels: list[np.ndarray] = []
-        kind = np.int32 if n < 2**31 else np.int64
+        single = page * many + symbol
+        second = np.zeros(n, np.int64)
+        second[:-1] = np.where(page[1:] == page[:-1], symbol[1:], 0)
+        pair, place = _in_order(single * many + second)
         rank = np.empty(n, kind)
-        rank[order] = self._starts(key[order])
-        width, active = 1, self._shared(rank[order], order)
-        self.levels.append(rank)
+        rank[place] = self._starts(pair)
+        self.levels += [single, rank]
+        width, active = 2, self._shared(pair, place)
         while len(active):
             beyond = active + width
             second = np.where(beyond < stop[active], rank[np.minimum(beyond, n - 1)] + 1, 0)
-            pair = rank[active].astype(np.int64) * (n + 1) + second
-            sort = np.argsort(pair)
+            pair, sort = _in_order(rank[active].astype(np.int64) * (n + 1) + second)
             place = active[sort]
             first = rank[place]
             rank = rank.copy()
-            rank[place] = first + self._starts(pair[sort]) - self._starts(first)
+            rank[place] = first + self._starts(pair) - self._starts(first)
             self.levels.append(rank)
-            active = self._shared(rank[place], place)
+            active = self._shared(pair, place)
             width *= 2
-        self.order = np.empty(n, kind)
         self.order[rank] = np.arange(n, dtype=kind)
 
     @staticmethod
@@ -111,19 +148,25 @@ class SuffixAutomaton:
         n = self.n
         if n < 2:
             return np.zeros(n, np.int64)
-        a, b = self.order[:-1].copy(), self.order[1:].copy()
+        a, b = self.order[:-1], self.order[1:]
         common = np.zeros(n - 1, np.int64)
         # Neighbours that agree on a level's width, from the narrowest on; then their common part from the widest back.
-        agreeing = [np.flatnonzero(self.levels[0][a] == self.levels[0][b])]
+        ordered = self.levels[0][self.order]
+        pairs = np.flatnonzero(ordered[1:] == ordered[:-1])
+        agreeing = []
         for rank in self.levels[1:]:
-            pairs = agreeing[-1]
-            agreeing.append(pairs[rank[a[pairs]] == rank[b[pairs]]])
+            wider = rank[a[pairs]] == rank[b[pairs]]
+            agreeing.append((pairs[~wider], pairs[wider]))
+            pairs = pairs[wider]
+        agreeing.append((pairs, pairs[:0]))
+        # Those that agree on no wider level begin with this one's width; the others' common part goes on behind what is known of it.
         for level in range(len(self.levels) - 1, -1, -1):
-            pairs, rank = agreeing[level], self.levels[level]
-            pairs = pairs[(a[pairs] < n) & (b[pairs] < n)]
-            pairs = pairs[rank[a[pairs]] == rank[b[pairs]]]
-            for x in (common, a, b):
-                x[pairs] += 1 << level
+            rank, (widest, longer) = self.levels[level], agreeing[level]
+            common[widest] = 1 << level
+            left, right = a[longer] + common[longer], b[longer] + common[longer]
+            inside = np.flatnonzero((left < n) & (right < n))
+            inside = inside[rank[left[inside]] == rank[right[inside]]]
+            common[longer[inside]] += 1 << level
         most = np.zeros(n, np.int64)
         most[1:] = common
         most[:-1] = np.maximum(most[:-1], common)
@@ -217,9 +260,10 @@ def copied_passages(pages: Pages, unit_at: np.ndarray | None = None) -> np.ndarr
     owner = pages.owner()
     hashes = window_hashes(pages.symbols, PASSAGE)
     inside = np.flatnonzero(owner[: len(hashes)] == owner[PASSAGE - 1 :])
-    key = hashes[inside] ^ (owner[inside].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.argsort(key)
-    key, place = key[order], inside[order]
+    if not len(inside):
+        return source
+    key, order = _hashes_in_order((hashes[inside] ^ (owner[inside].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64))
+    place = inside[order]
     same = key[1:] == key[:-1]
     shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
     key, place = key[shared], place[shared]
@@ -264,7 +308,7 @@ def covered_symbols(pages: Pages) -> np.ndarray:
     end = np.arange(1, n + 1)
     hit = np.flatnonzero((repeats > 0) & (total[end] - total[end - repeats] >= need - 1e-6))
     cover = np.zeros(n + 1, np.int64)
-    np.add.at(cover, hit + 1 - repeats[hit], 1)
+    cover += np.bincount(hit + 1 - repeats[hit], minlength=n + 1)
     cover[hit + 1] -= 1
     return np.cumsum(cover)[:n] > 0
 
@@ -340,7 +384,8 @@ class Clauses:
         inside = covered_symbols(once)
         if not kept.all():
             unit_at, unit = units(symbols, at)
-        total = lambda by: np.bincount(clause, by, count)
+        opened = np.flatnonzero(opens)
+        total = lambda by: np.add.reduceat(by.astype(float), opened) if count else np.zeros(0)
         shown, is_unit = total(once.shown), np.zeros(n)
         is_unit[unit_at] = 1
         many = total(is_unit)
@@ -371,13 +416,21 @@ class Clauses:
     def teach(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
         """(unit, pages whose sentences have it, pages whose lists have it, pages with sentences, pages with lists), by the first model."""
         score = self.features @ FIRST
-        unit, code = np.unique(self.unit, return_inverse=True)
+        ordered, place = _hashes_in_order(self.unit)
+        new = np.ones(len(ordered), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        unit, code = ordered[new], np.empty(len(ordered), np.int64)
+        code[place] = np.cumsum(new) - 1
         found, sizes = [], []
         for chosen in (score < -TEACHES, score > TEACHES):
-            sizes.append(len(np.unique(self.page[chosen])))
+            page = self.page[chosen]  # in order
+            sizes.append(int((page[1:] != page[:-1]).sum()) + 1 if len(page) else 0)
             mine = chosen[self.unit_clause]
-            once = np.unique(self.page[self.unit_clause[mine]] * np.int64(len(unit) + 1) + code[mine])
-            found.append(np.bincount(once % (len(unit) + 1), minlength=len(unit)))
+            each = self.page[self.unit_clause[mine]] * np.int64(len(unit) + 1) + code[mine]
+            each.sort()
+            new = np.ones(len(each), bool)
+            new[1:] = each[1:] != each[:-1]
+            found.append(np.bincount(each[new] % (len(unit) + 1), minlength=len(unit)))
         return unit, found[0], found[1], sizes[0], sizes[1]
 
     def by_page(self, values: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ from cuegrain.llm.nearest import bisect_slices
 from cuegrain.llm.packing import best_fit_plan, bucket_bounds, bucket_plan
 from cuegrain.llm.repeats import repeated_shares, window_hashes
 from cuegrain.llm.split import boundary_strengths, cut_points
-from cuegrain.llm.stuffing import PASSAGE, Clauses, Learned, Pages, SuffixAutomaton, copied_passages, covered_symbols, units
+from cuegrain.llm.stuffing import PASSAGE, Clauses, Learned, Pages, SuffixAutomaton, _hashes_in_order, _in_order, copied_passages, covered_symbols, units
 
 HARD = ["", "'s", "it's we'll  x", " 's", "''s", "'re's", "\n's x", "  \n  y", "x  ", " a", "a　　b", "'l l", "'sfoo bar", "I'D i'd", "１２3 ½", "éa", "<|endoftext|>", "😀've", "x'", "'ll", "͸ a͸'s", "\x1cs \x85 t"]
 
@@ -210,6 +210,30 @@ def test_bad_parameters():
         split_oversized(None, key="k", text="t", t_start="a", t_end="b", limit=10, least=10)
 
 
+def test_pages_shorter_than_a_passage():
+    for texts in (["short page one", "short page two"], ["", "word word word word"] * 3):
+        c = Clauses.of(texts)
+        alone = [Clauses.of([t]) for t in texts]
+        assert c.by_page(c.shown).tolist() == [int(x.shown.sum()) for x in alone]
+        assert c.by_page(c.covered).tolist() == [int(x.covered.sum()) for x in alone]
+
+
+def test_few_symbols_go_through_argsort(monkeypatch):
+    """Keys and places are sorted as one word, which is much cheaper; hashes that agree in their first bits are told apart."""
+    texts = some_texts(8, "the cat nation甲乙丙丁，。 ", 60, 400)
+    sizes, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, *rest, **more: (sizes.append(len(a)), argsort(a, *rest, **more))[1])
+    Clauses.of(texts).teach()
+    assert sum(sizes) <= sum(map(len, texts))  # once for the units
+    monkeypatch.undo()
+    for hashes in ([5, 3, 4, 3, -1, -2, -1], [2**62, -(2**62), 0, 2**62], [], [7]):
+        ordered, place = _hashes_in_order(np.array(hashes, np.int64))
+        assert ordered.tolist() == sorted(hashes) and place.tolist() == sorted(range(len(hashes)), key=lambda i: (hashes[i], i))
+    for keys in ([2**62, 1, 2**62, 0], [3, 1, 2, 1], []):
+        ordered, place = _in_order(np.array(keys, np.int64))
+        assert ordered.tolist() == sorted(keys) and place.tolist() == sorted(range(len(keys)), key=lambda i: (keys[i], i))
+
+
 def test_very_long_texts():
     from time import monotonic
 
