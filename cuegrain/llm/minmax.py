@@ -121,7 +121,8 @@ def near_duplicates(df: DataFrame, *, key: str, text: str, n: int = 3, threshold
     left = banded.select(F.col("rep").alias("a"), F.col("size").alias("size_a"), "hash")
     right = banded.select(F.col("rep").alias("b"), F.col("size").alias("size_b"), "hash")
     possible = F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")
-    pairs = left.join(right, "hash").filter((F.col("a") < F.col("b")) & possible).select("a", "b").distinct()
+    # Spark sizes the exploded hashes as their texts, some twenty times too low, and would send them through the driver.
+    pairs = left.hint("merge").join(right.hint("merge"), "hash").filter((F.col("a") < F.col("b")) & possible).select("a", "b").distinct()
     ta, tb = (texts.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     both = pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(compare, f"a {kind}, b {kind}, similarity double"), members

@@ -93,6 +93,15 @@ def test_near_duplicates(spark):
     assert links.count() == 0 == members.count()
 
 
+def test_hashes_are_never_broadcast(spark):
+    base = "控制律的飽和介面要先量測再記錄，軌道來源不要跟星圖混在一起，畫一條線就知道了，請把漁網想成容器"
+    df = spark.createDataFrame([(f"k{i}", base + str(i)) for i in range(50)], "id string, t string")
+    links, _ = near_duplicates(df, key="id", text="t")
+    assert len(links.collect()) == 50 * 49 // 2
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [hash" not in plan and "SortMergeJoin [hash" in plan
+
+
 def test_repeats_and_pages(spark):
     loop, prose = "這一句話一直重複出現，" * 9, "另外，有同學問骨架為什麼要乘以二，我畫給你看，這是慣例。" * 2
     tags = "#骨架 #血脈 #骨架溫度 #氣海 #骨架 #血脈傳訊 #骨架溫度"
