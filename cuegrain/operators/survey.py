@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -86,20 +87,84 @@ def barren(segments: DataFrame, *, entity: str, blocks: str, share: float = 0.3,
     return x.filter((F.col("n") >= least) & (F.col("ratio") > share))
 
 
+#: Claims of a key that travel with a text at once, and characters that are searched together.
+CLAIMS_AT_ONCE, TEXT_CHARS = 500, 1 << 19
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, offsets)."""
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
+def supports(texts: list[str], groups: np.ndarray, claims: list[str], claim_groups: np.ndarray) -> np.ndarray:
+    """For every claim, none empty and none twice, the number of texts of its group that contain it.
+
+    Hashes of all places grow by one character at a time together with those of the claims. From the third
+    character on only places go on that begin like a claim of their group; what is found by its hash is
+    compared character by character.
+    """
+    cps, at = _codes(texts)
+    said, said_at = _codes(claims)
+    sizes, owner = np.diff(said_at), np.repeat(np.arange(len(texts)), np.diff(at))
+    grow = lambda h, c: (x := (h ^ (c.astype(np.uint64) + np.uint64(1))) * _ODD) ^ (x >> np.uint64(29))
+    start = lambda g: (g.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    place, h = np.arange(len(cps)), start(groups)[owner]
+    mine, own = np.arange(len(claims)), start(claim_groups)
+    found = [np.zeros(0, np.int64)]
+    for n in range(1, int(sizes.max(initial=0)) + 1):
+        fits, longer = place + n <= at[1:][owner[place]], sizes[mine] >= n
+        place, mine = place[fits], mine[longer]
+        h, own = grow(h[fits], cps[place + n - 1]), grow(own[longer], said[said_at[mine] + n - 1])
+        if n == min(3, sizes.min()):
+            begun = np.zeros(1 << 22, bool)
+            begun[own >> np.uint64(42)] = True
+            near = begun[h >> np.uint64(42)]
+            place, h = place[near], h[near]
+        whole = sizes[mine] == n
+        if whole.any() and len(place):
+            order = np.argsort(own[whole])
+            known, which = own[whole][order], mine[whole][order]
+            k = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = known[k] == h
+            i, c = place[hit], which[k[hit]]
+            same = np.ones(len(i), bool)
+            for x in range(n):
+                same &= cps[i + x] == said[said_at[c] + x]
+            found.append(np.unique(owner[i[same]] * len(claims) + c[same]))
+    return np.bincount(np.concatenate(found) % max(len(claims), 1), minlength=len(claims))
+
+
 def claim_support(claims: DataFrame, texts: DataFrame, *, key: str, claim: str, text: str) -> DataFrame:
     """(key, claim, n): number of texts of the key that contain the claim.
 
-    A text that contains a claim contains its first characters, up to three; an equi-join on
-    them proposes the texts, so that not every claim meets every text of its key. Empty claims have no text.
+    Each text meets the claims of its key as lists of at most :data:`CLAIMS_AT_ONCE`, and a batch of texts is searched for
+    all of them in one pass. Nothing is made of a text but its counts. Empty claims have no text.
     """
-    probe = lambda c, n: F.substring(c, 1, n)
-    own = claims.withColumn("_n", F.least(F.length(claim), F.lit(3))).withColumn("_p", F.when(F.col("_n") == 1, probe(claim, 1)).when(F.col("_n") == 2, probe(claim, 2)).otherwise(probe(claim, 3)))
-    numbered = texts.select(key, F.col(text).alias("_t"))
-    pieces = F.explode(F.array_distinct(F.concat(*[T.gram_list(F.col("_t"), n) for n in (1, 2, 3)])))
-    # Only pieces that some claim begins with go on, each with its text.
-    parts = numbered.filter(F.col("_t").isNotNull()).select(key, "_t", pieces.alias("_p")).join(own.select(key, "_p").distinct(), [key, "_p"], "left_semi")
-    found = own.join(parts, [key, "_p"]).filter(F.contains(F.col("_t"), F.col(claim))).groupBy(*claims.columns).agg(F.count(F.lit(1)).alias("n"))
-    return claims.distinct().join(found, claims.columns, "left").fillna(0, ["n"])
+    kinds = dict(claims.dtypes)
+    own = claims.select(F.col(key).alias("k"), F.col(claim).alias("claim")).filter(F.col(key).isNotNull() & (F.length(claim) > 0)).distinct()
+    own = own.withColumn("part", F.floor((F.row_number().over(W.partitionBy("k").orderBy("claim")) - 1) / CLAIMS_AT_ONCE).cast("int"))
+    lists = own.groupBy("k", "part").agg(F.collect_list("claim").alias("claims"))
+    met = texts.select(F.col(key).alias("k"), F.col(text).alias("text")).filter(F.col(text).isNotNull()).join(lists, "k").select("k", "part", "claims", "text")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(3).to_pylist()
+            coded, part = batch.column(0).dictionary_encode().indices.to_numpy(), batch.column(1).to_numpy()
+            total, begin = np.cumsum([len(t) for t in rows]), 0
+            while begin < len(rows):
+                end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + TEXT_CHARS, "right")))
+                _, first, groups = np.unique(np.stack([coded[begin:end], part[begin:end]]), axis=1, return_index=True, return_inverse=True)
+                taken = batch.column(2).take(pa.array(first + begin))
+                which, listed = taken.value_parent_indices().to_numpy(), taken.flatten()
+                n = supports(rows[begin:end], groups.reshape(-1), listed.to_pylist(), which)
+                seen = np.flatnonzero(n)
+                keys = batch.column(0).take(pa.array((first + begin)[which[seen]]))
+                yield pa.RecordBatch.from_arrays([keys, listed.take(pa.array(seen)), pa.array(n[seen])], ["k", "claim", "n"])
+                begin = end
+
+    counts = met.mapInArrow(search, f"k {kinds[key]}, claim string, n bigint").groupBy(F.col("k").alias(key), F.col("claim").alias(claim)).agg(F.sum("n").alias("n"))
+    return claims.distinct().join(counts, [key, claim], "left").fillna(0, ["n"]).select(*claims.columns, "n")
 
 
 def cross_check(terms: DataFrame, first: DataFrame, second: DataFrame, *, entity: str, term: str, span: tuple[str, str], cue_span: tuple[str, str], text: str, pad: float = 0.0) -> DataFrame:

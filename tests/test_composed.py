@@ -1,3 +1,5 @@
+import random
+
 import __spark_entry__ as entry
 import pyarrow as pa
 from cuegrain.operators import pipelines as L
@@ -32,6 +34,18 @@ def test_detect_slides(spark):
     assert sorted((r["t_start"], r["t_end"]) for r in out.collect()) == [(0.0, 40.0), (40.0, 60.0)]
 
 
+def test_claims_are_searched_without_pieces_of_texts(spark):
+    rng = random.Random(3)
+    word = lambda least, most: "".join(rng.choice("ab甲𠀀") for _ in range(rng.randrange(least, most)))
+    texts = [(rng.choice(["u", "v", "w", None]), word(0, 40)) for _ in range(300)] + [("u", None)]
+    claims = {(rng.choice(["u", "v", "x", None]), word(0, 9)) for _ in range(1500)} | {("u", None), ("u", "甲" * 50)}
+    texts += [("u", "b" + "甲" * 60), ("v", "甲" * 60)]
+    found = V.claim_support(spark.createDataFrame(sorted(claims, key=repr) * 2, "k string, c string"), spark.createDataFrame(texts, "k string, x string"), key="k", claim="c", text="x")
+    rows = list(map(tuple, found.collect()))
+    assert {(k, c): n for k, c, n in rows} == {(k, c): sum(k == e and bool(c) and c in (x or "") for e, x in texts) if k else 0 for k, c in claims} and len(rows) == len(claims)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_survey(spark):
     p = spark.createDataFrame([("s", 0.5, 2.0, 1.0, 0.0), ("s", 0.99, 0.1, 4.0, 0.2), ("t", 0.1, 9.0, 1.0, 0.0)], "s string, ratio double, separation double, density double, midband double")
     assert sorted(map(tuple, V.mismatches(p, series="s").collect())) == [("s", "density", 4.0), ("s", "separation", 2.0)]
