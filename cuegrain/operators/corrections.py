@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -43,157 +45,182 @@ def new_corrections(proposed: DataFrame, existing: DataFrame, *, key: str, sound
     return fresh.filter(T.rejection(F.col("before"), F.col("after"), sounds).isNull())
 
 
-def _differences(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda s, x: s + x)
-
-
-#: Bits of the filters that texts are read against: 8 MB, however many terms there are. A fuller filter lets more through and loses nothing.
-FILTER_BITS = 1 << 26
-#: Characters that are looked at together.
-TEXT_CHARS = 1 << 19
+#: Terms that are held in memory at once, and characters of texts that are looked at together.
+TERMS_AT_ONCE, TEXT_CHARS = 1 << 18, 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _cuts(n: int, similarity: float) -> list[tuple[int, int]]:
     """(start, length) of the parts of a term of n characters, of which a stretch as similar as asked shares one."""
-    d = int((1 - similarity) * n + 1e-9)
-    size = -(-n // (d + 1))
-    return [(p * size, max(min(size, n - p * size), 0)) for p in range(d + 1)]
+    parts = int((1 - similarity) * n + 1e-9) + 1
+    at = [n * p // parts for p in range(parts + 1)]
+    return [(i, j - i) for i, j in zip(at, at[1:])]
 
 
-def _windows(cps: np.ndarray, width: int, salt: int) -> np.ndarray:
-    """The filter's bit for every window of ``width`` characters."""
+def _windows(cps: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every window of ``width`` characters."""
     out = np.zeros(max(len(cps) - width + 1, 0), np.uint64)
     for i in range(width):
         out = (out ^ (cps[i : i + len(out)].astype(np.uint64) + np.uint64(1))) * _ODD
         out ^= out >> np.uint64(29)
-    out = (out ^ np.uint64(salt)) * _ODD
-    return (out >> np.uint64(38)).astype(np.int64)
+    return out
 
 
-def _sounded(texts: list[str], table: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(code points with each character's lower case or sound, offsets)."""
+def _sounded(texts: list[str], table: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points, the same with each character's lower case or sound, offsets)."""
     cps = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     kinds, back = np.unique(cps, return_inverse=True)
     plain = [ord(x) if len(x := chr(c).lower()) == 1 else c for c in kinds.tolist()]
     said = np.array([table.get(c, c) for c in plain], np.uint32)
-    return said[back.reshape(-1)] if len(cps) else cps, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-
-
-def _filter(rows: DataFrame, bits) -> np.ndarray:
-    """A filter of FILTER_BITS from a column of texts; ``bits`` gives those of a list of texts."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.unique(bits(batch.column(0).to_pylist()))
-            word, first = np.unique(at >> 6, return_index=True)
-            value = np.bitwise_or.reduceat(np.left_shift(np.int64(1), at & 63), first) if len(at) else at
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value)], ["word", "bits"])
-
-    words = rows.mapInArrow(count, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
-    out = np.zeros(FILTER_BITS >> 6, np.int64)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return out
-
-
-def _holds(table: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (table[at >> 6] >> (at & 63)) & 1 == 1
-
-
-def _stretches(texts: DataFrame, schema: str, lengths: range, hits) -> DataFrame:
-    """(key, before) of the windows that ``hits`` (code points, length) finds; a text's equal windows once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, rows = batch.column(0), batch.column(1).fill_null("").to_pylist()
-            total, start = np.cumsum([len(t) for t in rows]), 0
-            while start < len(rows):
-                stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + TEXT_CHARS, "right")))
-                part = rows[start:stop]
-                whole, (cps, at) = "".join(part), hits.sounded(part)
-                owner = np.repeat(np.arange(len(part)), np.diff(at))
-                for n in lengths:
-                    if len(cps) < n:
-                        continue
-                    place = np.flatnonzero(hits(cps, n) & (owner[: len(cps) - n + 1] == owner[n - 1 :]))
-                    found = sorted({(o, whole[i : i + n]) for o, i in zip(owner[place].tolist(), place.tolist())})
-                    if found:
-                        yield pa.RecordBatch.from_arrays([keys.take(pa.array([start + o for o, _ in found])), pa.array([x for _, x in found])], ["key", "before"])
-                start = stop
-
-    return texts.mapInArrow(run, schema)
-
-
-class _Hits:
-    """Windows whose bits a filter holds: of any part of a term of their length, or of the window itself."""
-
-    def __init__(self, table: np.ndarray, sounds: dict[int, int], similarity: float | None) -> None:
-        self.table, self.sounds, self.similarity = table, sounds, similarity
-
-    def sounded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return _sounded(texts, self.sounds)
-
-    def __call__(self, cps: np.ndarray, n: int) -> np.ndarray:
-        count = len(cps) - n + 1
-        if self.similarity is None:
-            return _holds(self.table, _windows(cps, n, n))
-        out = np.zeros(count, bool)
-        for p, (start, width) in enumerate(_cuts(n, self.similarity)):
-            out |= True if not width else _holds(self.table, _windows(cps, width, 100 * n + p)[start : start + count])
-        return out
+    return cps, said[back.reshape(-1)] if len(cps) else cps, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
+class _Near:
+    """Terms of one length, in order, by all that is left of their sounds without any ``d`` places."""
+
+    def __init__(self, terms: list[str], n: int, d: int, table: dict[int, int]) -> None:
+        self.terms, self.n, self.d = terms, n, d
+        raw, said, _ = _sounded(terms, table)
+        self.raw, self.said = raw.reshape(-1, n), said.reshape(-1, n)
+        self.odd = np.random.default_rng(n).integers(1, 2**63, n).astype(np.uint64) | np.uint64(1)
+        self.kept, self.begun = [], np.zeros(1 << 22, bool)
+        for _, h in self.left(self.said):
+            order = np.argsort(h)
+            self.kept.append((h[order], order))
+            self.begun[h >> np.uint64(42)] = True
+
+    def left(self, said: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        x = (said.astype(np.uint64) + np.uint64(1)) * self.odd
+        each = ((x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)).T.copy()
+        total = each.sum(axis=0, dtype=np.uint64)
+        for k, places in enumerate(combinations(range(self.n), self.d)):
+            h = total.copy()
+            for i in places:
+                h -= each[i]
+            h = (h ^ (h >> np.uint64(32)) ^ np.uint64(k)) * _ODD
+            yield k, h
+
+    def best(self, raw: np.ndarray, said: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(term, differences) of the nearest term of every stretch, the least of several; -1 where there is none or it is a term itself."""
+        none = np.iinfo(np.int64).max
+        out, itself = np.full(len(raw), none), np.zeros(len(raw), bool)
+        for k, h in self.left(said):
+            some = np.flatnonzero(self.begun[h >> np.uint64(42)])
+            known, order = self.kept[k]
+            lo, hi = np.searchsorted(known, h[some]), np.searchsorted(known, h[some], "right")
+            some, lo, count = some[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+            done = np.cumsum(count)
+            begin = 0
+            while begin < len(some):  # a few pairs at a time, however many terms are near
+                end = max(begin + 1, int(np.searchsorted(done, (done[begin - 1] if begin else 0) + (1 << 20), "right")))
+                c = count[begin:end]
+                u = np.repeat(some[begin:end], c)
+                t = order[np.repeat(lo[begin:end], c) + np.arange(len(u)) - np.repeat(np.cumsum(c) - c, c)]
+                differ = (said[u] != self.said[t]).sum(axis=1)
+                same = (raw[u] == self.raw[t]).all(axis=1)
+                itself[u[same]] = True
+                ok = ~same & (differ <= self.d)
+                np.minimum.at(out, u[ok], differ[ok] * len(self.terms) + t[ok])
+                begin = end
+        off = itself | (out == none)
+        return np.where(off, -1, out % len(self.terms)), out // len(self.terms)
+
+
+class _Lexicon:
+    """Terms in memory: which windows of texts share a part with one of their length, and which are near one."""
+
+    def __init__(self, terms: list[str], lengths: range, similarity: float, table: dict[int, int]) -> None:
+        self.table, self.near, self.parts, self.masks = table, {}, {}, {}
+        for n in lengths:
+            own = sorted(t for t in terms if len(t) == n)
+            if not own:
+                continue
+            self.near[n] = _Near(own, n, int((1 - similarity) * n + 1e-9), table)
+            self.parts[n] = []
+            for start, width in _cuts(n, similarity):
+                masks = self.masks.setdefault(width, [[], 64])
+                if masks[1] == 64:
+                    masks[0].append(np.zeros(1 << 20, np.uint64))
+                    masks[1] = 0
+                self.parts[n].append((start, width, len(masks[0]) - 1, np.uint64(1 << masks[1])))
+                h = _windows(self.near[n].said[:, start : start + width].reshape(-1), width)[:: max(width, 1)] if width else np.zeros(1, np.uint64)
+                masks[0][-1][np.unique(h >> np.uint64(44))] |= np.uint64(1 << masks[1])
+                masks[1] += 1
+
+    def search(self, texts: list[str]) -> Iterator[tuple[np.ndarray, list[str], list[str], list[float]]]:
+        """(text, before, after, score) by length, a text's equal stretches once."""
+        whole = "".join(texts)
+        raw, said, at = _sounded(texts, self.table)
+        owner = np.repeat(np.arange(len(texts)), np.diff(at))
+        held = {w: [m[(_windows(said, w) if w else np.zeros(len(said) + 1, np.uint64)) >> np.uint64(44)] for m in masks] for w, (masks, _) in self.masks.items()}
+        for n, near in self.near.items():
+            count = len(raw) - n + 1
+            if count <= 0:
+                continue
+            hit = np.zeros(count, bool)
+            for start, width, which, bit in self.parts[n]:
+                hit |= (held[width][which][start : start + count] & bit) != 0
+            place = np.flatnonzero(hit & (owner[:count] == owner[n - 1 :]))
+            across = np.arange(n)
+            h = np.zeros(len(place), np.uint64)
+            for i in range(n):
+                h = (h ^ (raw[place + i].astype(np.uint64) + np.uint64(1))) * _ODD
+                h ^= h >> np.uint64(29)
+            _, first, back = np.unique(h, return_index=True, return_inverse=True)
+            back = back.reshape(-1)
+            if any((raw[place + i] != raw[place[first[back]] + i]).any() for i in range(n)):  # two stretches of one hash
+                _, first, back = np.unique(raw[place[:, None] + across], axis=0, return_index=True, return_inverse=True)
+                back = back.reshape(-1)
+            spot = place[first][:, None] + across
+            term, differ = near.best(raw[spot], said[spot])
+            good = np.flatnonzero(term[back] >= 0)
+            pair = np.unique(owner[place[good]] * max(len(first), 1) + back[good])
+            text, u = pair // max(len(first), 1), pair % max(len(first), 1)
+            if len(pair):
+                begin = place[first[u]].tolist()
+                yield text, [whole[i : i + n] for i in begin], [near.terms[t] for t in term[u].tolist()], np.round(1 - differ[u] / n, 9)
 
 
 def propose(texts: DataFrame, terms: DataFrame, *, key: str, text: str, similarity: float = 0.90, least: int = 3, most: int = 12, sounds: dict[str, str] | None = None) -> DataFrame:
     """(key, before, after, score): stretches of a text that sound like a lexicon term of their length but aren't it.
 
     A stretch and a term of n characters as similar as asked differ in at most
-    d = floor((1 - similarity) * n) places, so that cut into d + 1 parts they share one. A first pass
-    over the texts finds the stretches that a filter of all terms' parts lets through; each different
-    one is joined once, on (n, part, its sounds), and compared. A second pass finds the places of
-    those that proved near a term. Both filters have a fixed size and never lose a stretch.
+    d = floor((1 - similarity) * n) places, so that cut into d + 1 parts they share one, and without some d places
+    they are the same. Texts are read against the terms in memory: the different stretches that share a part
+    with any term are looked up without every d places, and what is found so is compared. Terms come
+    :data:`TERMS_AT_ONCE` at a time, about; where there are more, the texts are read once for each lot and the lots' best are joined.
     Stretches that are terms themselves propose nothing. Of several terms for one stretch the best
     counts, then the least. Null texts have no stretch; repeated rows count once.
     """
     order = sorted(set(sounds.values())) if sounds else []
-    table = {k: chr(0xF0000 + order.index(v)) for k, v in (sounds or {}).items()}
-    sound = lambda c: F.translate(F.lower(c), "".join(table), "".join(table.values())) if table else F.lower(c)
-    codes = {ord(k): ord(v) for k, v in table.items()}
-    known = terms.select("term").distinct()
-    lengths = range(least, most + 1)
+    codes = {ord(k): 0xF0000 + order.index(v) for k, v in (sounds or {}).items()}
+    spoken = terms.select("term").filter(F.length("term").between(least, most)).distinct()
     rows = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.length("text") >= least)
-    schema = f"key {dict(rows.dtypes)['key']}, before string"
-
-    def part_bits(found: list[str]) -> np.ndarray:
-        out = [np.zeros(0, np.int64)]
-        for n in lengths:
-            cps, at = _sounded([t for t in found if len(t) == n], codes)
-            for p, (start, width) in enumerate(_cuts(n, similarity)):
-                if width and len(cps):
-                    out.append(_windows(cps, width, 100 * n + p)[at[:-1] + start])
-        return np.concatenate(out)
-
-    def whole_bits(found: list[str]) -> np.ndarray:
-        out = [np.zeros(0, np.int64)]
-        for n in lengths:
-            cps, at = _sounded([t for t in found if len(t) == n], codes)
-            if len(cps):
-                out.append(_windows(cps, n, n)[at[:-1]])
-        return np.concatenate(out)
-
-    def parts(df: DataFrame, column: str) -> DataFrame:
-        d = F.floor((1 - similarity) * F.col("n") + 1e-9).cast("int")
-        size = F.ceil(F.col("n") / (d + 1)).cast("int")
-        return df.withColumn("_s", sound(F.col(column))).withColumn("part", F.explode(F.sequence(F.lit(0), d))).withColumn("_key", F.substr("_s", F.col("part") * size + 1, size))
-
-    spoken = known.filter(F.length("term").between(least, most))
-    seen = _stretches(rows, schema, lengths, _Hits(_filter(spoken, part_bits), codes, similarity)).select("before").distinct()
-    t = parts(spoken.withColumn("n", F.length("term")), "term").withColumnRenamed("_s", "_ts")
-    found = parts(seen.withColumn("n", F.length("before")), "before").join(t, ["n", "part", "_key"]).filter(F.col("before") != F.col("term"))
-    found = found.withColumn("score", F.round(1 - _differences(F.col("_s"), F.col("_ts")) / F.col("n"), 9)).filter(F.col("score") >= similarity - 1e-9)
-    best = found.groupBy("before").agg(F.min(F.struct((-F.col("score")).alias("s"), "term")).alias("b"))
-    best = cut(best.join(known.withColumnRenamed("term", "before"), "before", "left_anti").select("before", F.col("b.term").alias("after"), (-F.col("b.s")).alias("score")), "proposals")
-    places = _stretches(rows, schema, lengths, _Hits(_filter(best.select("before"), whole_bits), codes, None))
-    return places.join(best, "before").select(F.col("key").alias(key), "before", "after", "score").distinct()
+    schema = f"key {dict(rows.dtypes)['key']}, before string, after string, score double"
+
+    def near(lot: list[str]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = _Lexicon(lot, range(least, most + 1), similarity, codes)
+            for batch in batches:
+                keys, found = batch.column(0), batch.column(1).to_pylist()
+                total, start = np.cumsum([len(t) for t in found]), 0
+                while start < len(found):
+                    stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + TEXT_CHARS, "right")))
+                    for at, before, after, score in held.search(found[start:stop]):
+                        yield pa.RecordBatch.from_arrays([keys.take(pa.array(start + at)), pa.array(before), pa.array(after), pa.array(score)], ["key", "before", "after", "score"])
+                    start = stop
+
+        return rows.mapInArrow(run, schema)
+
+    lots = max(1, -(-spoken.count() // TERMS_AT_ONCE))
+    lot = lambda i: spoken.filter(F.pmod(F.xxhash64("term"), F.lit(lots)) == i).toArrow().column(0).to_pylist()
+    if lots == 1:
+        found = near(lot(0)).distinct()
+    else:
+        found = reduce(DataFrame.unionByName, [cut(near(lot(i)), "proposals") for i in range(lots)])
+        best = found.groupBy("key", "before").agg(F.min(F.struct((-F.col("score")).alias("s"), "after")).alias("b"))
+        found = best.join(spoken.withColumnRenamed("term", "before"), "before", "left_anti").select("key", "before", F.col("b.after").alias("after"), (-F.col("b.s")).alias("score"))
+    return found.select(F.col("key").alias(key), "before", "after", "score")
 
 
 def _together(**rows: DataFrame) -> DataFrame:

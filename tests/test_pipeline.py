@@ -162,6 +162,26 @@ def test_proposals_take_all_lengths_of_transcripts(spark, tmp_path):
     assert set(map(tuple, Q.proposed_corrections(spark, str(tmp_path)).collect())) == want
 
 
+def test_proposals_are_found_where_the_texts_are(spark, monkeypatch):
+    rng = random.Random(5)
+    word = lambda least, most: "".join(rng.choice("甲乙丙aA𠀀") for _ in range(rng.randrange(least, most)))
+    terms, texts = sorted({word(2, 9) for _ in range(60)}), [(i, word(0, 40)) for i in range(60)]
+    want = set()
+    for i, x in texts:
+        for n in range(3, 9):
+            for w in {x[k : k + n] for k in range(len(x) - n + 1)} - set(terms):
+                near = [(sum(a != b for a, b in zip(w.lower(), t.lower())), t) for t in terms if len(t) == n]
+                if near and 1 - min(near)[0] / n >= 0.75:
+                    want.add((i, w, min(near)[1], round(1 - min(near)[0] / n, 9)))
+    for at in (None, 7):  # all terms at once, and in lots
+        if at:
+            monkeypatch.setattr(C, "TERMS_AT_ONCE", at)
+        found = C.propose(spark.createDataFrame([*texts, *texts, (99, None)], "k int, t string"), spark.createDataFrame([(t,) for t in terms], "term string"), key="k", text="t", similarity=0.75, most=8)
+        rows = list(map(tuple, found.collect()))
+        assert set(rows) == want and len(rows) == len(want) > 100
+        assert at or "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_states_and_quota(spark):
     assert St.downstream()["S1b"] == ["S1c", "S3", "S4", "S4a", "S5", "S6"] and St.downstream()["S6"] == []
     day = lambda x: spark.createDataFrame([(x,)], "t timestamp").select(St.quota_day(F.col("t")), St.next_reset(F.col("t"))).first()
