@@ -1,4 +1,7 @@
+import collections
+import math
 import random
+import time
 
 import pytest
 from cuegrain.operators import intervals as I
@@ -99,6 +102,35 @@ def test_cuts_and_dp(spark):
     assert S.dp_segments(texts, 5.0) == [5] and S.dp_segments(texts, 5.0, [3, 5]) == [5] and S.dp_segments(["甲"], 1.0) == []
 
 
+def test_dp_segments_equal_plain_and_take_long_entities():
+    rng = random.Random(1)
+
+    def plain(texts, prior, allowed, longest):
+        nodes = sorted({0, len(texts), *(c for c in (range(len(texts)) if allowed is None else allowed) if 0 < c < len(texts))})
+        k = len({t[i : i + 2] for t in texts for i in range(len(t) - 1)}) or 1
+        best = {0: (0.0, [])}
+        for a, j in enumerate(nodes[1:]):
+            for i in nodes[: a + 1]:
+                if j - i <= longest or i == nodes[a]:
+                    seen = collections.Counter(t[x : x + 2] for t in texts[i:j] for x in range(len(t) - 1))
+                    n = sum(seen.values())
+                    cost = best[i][0] + n * math.log(n + k) - sum(c * math.log(c + 1) for c in seen.values()) + prior
+                    best[j] = min(best.get(j, (math.inf, [])), (cost, best[i][1] + [j]), key=lambda x: round(x[0], 6))
+        return best[len(texts)][1][:-1]
+
+    cuts = 0
+    for _ in range(60):
+        texts = ["".join(rng.choice(["甲乙丙丁", "子丑寅卯甲"][i // 7 % 2]) for _ in range(rng.choice([0, 1, 3, 20, 60]))) for i in range(rng.randrange(2, 30))]
+        allowed, longest = rng.choice([None, sorted(rng.sample(range(-1, len(texts) + 2), 2))]), rng.choice([1_000, 10, 3])
+        cuts += len(want := plain(texts, 5.0, allowed, longest))
+        assert S.dp_segments(texts, 5.0, allowed, longest=longest) == want
+    assert cuts > 50
+    words = ["".join(map(chr, rng.sample(range(0x4E00, 0x4F00), 3))) for _ in range(300)]
+    began = time.thread_time()
+    S.dp_segments(["".join(rng.choices(words, k=100)) for _ in range(2_000)], 20.0)
+    assert time.thread_time() - began < 15
+
+
 def test_blocks_across_stretches(spark):
     import random
 
